@@ -4,8 +4,7 @@ from lake_queries.registry import ORACLES, QUERIES
 
 from lake_queries import (  # noqa: F401  (importing registers)
     columns_rows,
-
-
+    nested_tables,
 
 )
 
