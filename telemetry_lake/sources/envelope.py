@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,19 +36,44 @@ def unwrap_envelope(df: DataFrame, body: str = "body", record: str = "record") -
     return parsed.select(*others, F.explode(records).alias(record))
 
 
-def record_schema(df: DataFrame, record: str = "record") -> str:
-    """One type covering all records, as DDL: a single partial aggregation over the data.
+def record_schema(df: DataFrame, record: str = "record") -> T.StructType:
+    """One type covering all records: a single partial aggregation over the data.
 
-    For tables without a declared schema; declare one to spare the extra pass.
+    For tables without a declared schema; declare one to spare the extra pass. Fractions become doubles, and
+    fields that are null in every record text.
     """
     merged = df.select(F.schema_of_variant_agg(quoted(record))).first()[0]
-    return merged.replace("OBJECT<", "STRUCT<")
+    found = T.DataType.fromDDL(re.sub(r"(^|: |<)OBJECT<", r"\1STRUCT<", merged))
+    return _storable(found) if isinstance(found, T.StructType) else T.StructType()
+
+
+def _storable(dtype: T.DataType) -> T.DataType:
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, _storable(f.dataType)) for f in dtype.fields])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_storable(dtype.elementType))
+    if isinstance(dtype, (T.NullType, T.VariantType)):
+        return T.StringType()
+    if isinstance(dtype, T.DecimalType) and dtype.scale > 0:
+        return T.DoubleType()
+    return dtype
+
+
+def _type_text(dtype: T.DataType) -> str:
+    """DDL of a type with every field name quoted."""
+    if isinstance(dtype, T.StructType):
+        return "struct<" + ", ".join(f"`{f.name.replace('`', '``')}`: {_type_text(f.dataType)}" for f in dtype.fields) + ">"
+    if isinstance(dtype, T.ArrayType):
+        return f"array<{_type_text(dtype.elementType)}>"
+    if isinstance(dtype, T.MapType):
+        return f"map<{_type_text(dtype.keyType)}, {_type_text(dtype.valueType)}>"
+    return dtype.simpleString()
 
 
 def records_to_columns(df: DataFrame, schema: T.StructType | str, record: str = "record") -> DataFrame:
     """Records read with a type, nested objects flattened to one cleaned column per leaf, lists kept.
     Fields a record lacks are null."""
-    ddl = schema if isinstance(schema, str) else schema.simpleString()
+    target = schema if isinstance(schema, str) else _type_text(schema)
     others = [quoted(n) for n in df.columns if n != record]
-    typed = df.select(*others, F.try_variant_get(quoted(record), "$", ddl).alias("__record"))
+    typed = df.select(*others, F.try_variant_get(quoted(record), "$", target).alias("__record"))
     return flatten(typed.select(*others, "__record.*"))
