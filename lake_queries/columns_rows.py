@@ -448,7 +448,7 @@ def date_label(spark, sf_dir):
     step = F.when(F.col("event_type").isin("click", "view"), 1).otherwise(2)
     return table(spark, sf_dir, "events").select(
         "event_id",
-        time.date_label(time.iso_text(start), time.iso_text(start + F.expr("INTERVAL 2 DAYS")), step).alias("label"),
+        time.date_label(start, start + F.expr("INTERVAL 2 DAYS"), step).alias("label"),
     )
 
 

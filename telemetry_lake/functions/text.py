@@ -12,11 +12,24 @@ from telemetry_lake.functions.names import quoted
 
 # A comma ends a parameter only if a key and "=" follow before the next comma.
 PARAM_BOUNDARY = ",(?=[^,=]*=)"
+PARAM_KEY = "(?:^|,)([^,=]*)="
 
 
 def parse_params(params: Column) -> Column:
     """``k=v,k2=v2,more`` to a map: a part without ``=`` continues the value before it,
     values of a repeated key are joined by commas. Null, empty and key-less texts give null or no entries."""
+    keys = F.regexp_extract_all(params, F.lit(PARAM_KEY), F.lit(1))
+    single = F.size(keys) == F.size(F.array_distinct(keys))
+    readable = F.instr(F.substring_index(params, ",", 1), "=") > 0
+    return (
+        F.when(readable & single, F.str_to_map(params, F.lit(PARAM_BOUNDARY), F.lit("=")))
+        .when(readable, _joined_params(params))
+        .when(params == "", F.create_map().cast("map<string,string>"))
+    )
+
+
+def _joined_params(params: Column) -> Column:
+    """Map of a text in which some key stands several times."""
     pairs = F.transform(
         F.split(params, PARAM_BOUNDARY),
         lambda part: F.struct(
@@ -24,20 +37,12 @@ def parse_params(params: Column) -> Column:
             F.substr(part, F.instr(part, "=") + 1).alias("v"),
         ),
     )
-    keys = F.array_distinct(F.transform(pairs, lambda pair: pair["k"]))
-    entries = F.transform(
-        keys,
-        lambda key: F.struct(
-            key.alias("key"),
-            F.array_join(
-                F.transform(F.filter(pairs, lambda pair: pair["k"] == key), lambda pair: pair["v"]), ","
-            ).alias("value"),
-        ),
-    )
-    readable = F.instr(F.substring_index(params, ",", 1), "=") > 0
-    return F.when(readable, F.map_from_entries(entries)).when(
-        params == "", F.create_map().cast("map<string,string>")
-    )
+
+    def entry(key: Column) -> Column:
+        values = F.transform(F.filter(pairs, lambda pair: pair["k"] == key), lambda pair: pair["v"])
+        return F.struct(key.alias("key"), F.array_join(values, ",").alias("value"))
+
+    return F.map_from_entries(F.transform(F.array_distinct(F.transform(pairs, lambda pair: pair["k"])), entry))
 
 
 def params_have_leading_value(params: Column) -> Column:

@@ -104,8 +104,7 @@ def zoneless(value: Column) -> Column:
 def iso_text(value: Column) -> Column:
     """ISO-8601 text with offset; the fraction is printed only where there is one."""
     return F.when(
-        F.extract(F.lit("SECOND"), value) == F.floor(F.extract(F.lit("SECOND"), value)),
-        F.date_format(value, "yyyy-MM-dd'T'HH:mm:ssxxx"),
+        value == F.date_trunc("second", value), F.date_format(value, "yyyy-MM-dd'T'HH:mm:ssxxx")
     ).otherwise(F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"))
 
 
@@ -170,10 +169,7 @@ def days_between(first: Column, after_last: Column) -> Column:
     )
 
 
-def date_label(start_text: Column, end_text: Column, delta_days: Column) -> Column:
-    """``yyyy_mm_dd`` for one-day windows, ``a_to_b`` otherwise, from ISO texts."""
-
-    def day(text: Column) -> Column:
-        return F.translate(F.substring(text, 1, 10), "-", "_")
-
-    return F.when(delta_days == 1, day(start_text)).otherwise(F.concat(day(start_text), F.lit("_to_"), day(end_text)))
+def date_label(start: Column, end: Column, delta_days: Column) -> Column:
+    """Label of a window's file: ``yyyy_mm_dd`` for one-day windows, ``a_to_b`` otherwise."""
+    first = F.date_format(start, FILE_DAY_FORMAT)
+    return F.when(delta_days == 1, first).otherwise(F.concat(first, F.lit("_to_"), F.date_format(end, FILE_DAY_FORMAT)))

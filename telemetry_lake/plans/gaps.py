@@ -38,7 +38,7 @@ def missing_days(
     else at the beginning of history. Files are reduced to distinct days before they meet the calendar.
     """
     default_start = F.to_date(F.lit(HISTORY_START)) if start is None else start.cast("date")
-    days = covered_days(files)
+    days = covered_days(files).select("table_name", "day").distinct()
     covered = resolve_alias(days, alias).select(F.col("main_table").alias("table_name"), "day").distinct()
     timed = (
         catalogue.filter(

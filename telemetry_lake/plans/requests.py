@@ -161,7 +161,7 @@ def window_requests(plan: DataFrame) -> DataFrame:
         {
             "start_text": render_bound(F.col("window_start"), rendered_as),
             "end_text": render_bound(F.col("window_end"), rendered_as),
-            "file_label": date_label(iso_text(F.col("window_start")), iso_text(F.col("window_end")), step),
+            "file_label": date_label(F.col("window_start"), F.col("window_end"), step),
             "folder": table_folder(F.col("family"), F.col("table_name")),
         }
     )

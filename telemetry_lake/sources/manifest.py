@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemetry_lake.functions.names import quoted
-from telemetry_lake.functions.time import FILE_DAY_FORMAT, days_between
+from telemetry_lake.functions.time import days_between
 from telemetry_lake.operators.numbering import batch_keys
 
 # The layout family/main_family/table[_date][_to_date][_index].parquet and the dates in a name.
@@ -15,12 +15,16 @@ PATH_PATTERN = (
     r"(?:_(\d{4}_\d{2}_\d{2}))?(?:_to_(\d{4}_\d{2}_\d{2}))?(?:_(\d+))?\.parquet$"
 )
 PATH_PARTS = ("family", "main_family", "table_name", "start_date", "end_date", "index")
+MANIFEST_TYPE = (
+    "struct<family: string, main_family: string, table_name: string, start_date: date, end_date: date, index: int>"
+)
+SEPARATOR = "\x01"
 NAME_DATE = r"_(\d{4}_\d{2}_\d{2})"
 NAME_RANGE = r"_\d{4}_\d{2}_\d{2}_to_(\d{4}_\d{2}_\d{2})"
 
 
 def _day(text: Column) -> Column:
-    return F.try_to_timestamp(F.nullif(text, F.lit("")), F.lit(FILE_DAY_FORMAT)).cast("date")
+    return F.replace(text, F.lit("_"), F.lit("-")).try_cast("date")
 
 
 def path_part(path: Column, part: str) -> Column:
@@ -29,12 +33,21 @@ def path_part(path: Column, part: str) -> Column:
 
 
 def manifest(df: DataFrame, path: str = "path") -> DataFrame:
-    """Add family, main_family, table_name, start_date, end_date and index read from each path."""
-    texts = {part: path_part(quoted(path), part) for part in PATH_PARTS}
-    texts["start_date"] = _day(texts["start_date"])
-    texts["end_date"] = _day(texts["end_date"])
-    texts["index"] = texts["index"].cast("int")
-    return df.withColumns(texts)
+    """Add family, main_family, table_name, start_date, end_date and index read from each path.
+
+    The pattern runs once per path: the parts come back in one text that is cut at a separator.
+    """
+    joined = SEPARATOR.join(f"${i}" for i in range(1, len(PATH_PARTS) + 1))
+    cut = df.withColumn("__parts", F.split(F.regexp_replace(quoted(path), PATH_PATTERN, joined), SEPARATOR))
+    part = {name: F.nullif(F.get("__parts", F.lit(i)), F.lit("")) for i, name in enumerate(PATH_PARTS)}
+    part["start_date"] = _day(part["start_date"])
+    part["end_date"] = _day(part["end_date"])
+    part["index"] = part["index"].cast("int")
+    parsed = F.struct(*[column.alias(name) for name, column in part.items()])
+    none = F.lit(None).cast(MANIFEST_TYPE)
+    # A one-element list keeps later filters above the parsing, so they do not run the pattern again.
+    row = F.array(F.when(F.size("__parts") == len(PATH_PARTS), parsed).otherwise(none))
+    return cut.select(*[quoted(n) for n in df.columns], F.inline(row))
 
 
 def covered_days(df: DataFrame, path: str = "path", day: str = "day") -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from telemetry_lake.functions.names import quoted
 from telemetry_lake.operators.columns import zoneless_timestamps
 from telemetry_lake.plans.tables import split_and_transform, transform_table
-from telemetry_lake.functions.names import quoted
 
 BATCH_COLUMN = "batch_id"
 
@@ -56,16 +57,14 @@ def write_tables(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        from pyspark.sql import functions as F
-
         for name, table in outputs(batch).items():
-            numbered = zoneless_timestamps(table).withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
-            keys = [*partitions, BATCH_COLUMN]
+            out = zoneless_timestamps(table).withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
+            if partitions:
+                out = out.hint("rebalance", *[quoted(n) for n in partitions])
             (
-                numbered.hint("rebalance", *[quoted(k) for k in keys])
-                .write.mode("overwrite")
+                out.write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*keys)
+                .partitionBy(*partitions, BATCH_COLUMN)
                 .parquet(f"{root.rstrip('/')}/{name}")
             )
 
