@@ -45,11 +45,6 @@ def _joined_params(params: Column) -> Column:
     return F.map_from_entries(F.transform(F.array_distinct(F.transform(pairs, lambda pair: pair["k"])), entry))
 
 
-def params_have_leading_value(params: Column) -> Column:
-    """True where a value stands before any key, which no request can carry."""
-    return (params != "") & (F.instr(F.substring_index(params, ",", 1), "=") == 0)
-
-
 def params_text(params: Column) -> Column:
     """Map back to ``k=v`` text, keys in order."""
     entries = F.array_sort(F.map_entries(params))

@@ -58,8 +58,15 @@ def distinct_nested(df: DataFrame, serialize: bool = False) -> DataFrame:
     return distinct_rows(df)
 
 
-def distinct_on(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] | None = None) -> DataFrame:
+def distinct_on(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str | Column] | None = None,
+    scope: Sequence[str] = (),
+) -> DataFrame:
     """First row per key. The order is explicit: the given columns, then all others, so results repeat.
+    Columns of ``scope`` that exist join the key: with a file's day there, results do not depend on which
+    days run together.
 
     ``row_number() = 1`` lets Spark keep one row per key and task before the shuffle, so a hot key costs
     one row per task.
@@ -67,11 +74,13 @@ def distinct_on(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Col
     absent = [k for k in keys if k not in df.columns]
     if absent:
         raise ValueError(f"no such columns: {', '.join(absent)}")
+    keys = [*keys, *[n for n in scope if n in df.columns and n not in keys]]
     first = [quoted(o) if isinstance(o, str) else o for o in (order_by or [])]
+    named = {o for o in (order_by or []) if isinstance(o, str)}
     rest = [
         quoted(f.name)
         for f in df.schema.fields
-        if f.name not in keys and f.name not in (order_by or []) and not _holds_map(f.dataType)
+        if f.name not in keys and f.name not in named and not _holds_map(f.dataType)
     ]
     order = first + rest
     if not order:

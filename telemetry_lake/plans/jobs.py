@@ -1,15 +1,17 @@
-"""The two batch stages over lake folders: raw to flattened, flattened to warehouse."""
+"""The batch stages over lake folders: pages to raw, raw to flattened, flattened to warehouse."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from telemetry_lake.plans.tables import SPLITS, TRANSFORMED_AT_LANDING, split_and_transform, transform_table
+from telemetry_lake.operators.split import split_table
+from telemetry_lake.plans.tables import SPLITS, TABLE_STEPS, TRANSFORMED_AT_LANDING, transform_table
+from telemetry_lake.sources.envelope import record_schema, records_to_columns, unwrap_envelope
 from telemetry_lake.sources.lake import read_since, read_table, table_path, write_partitioned
 from telemetry_lake.sources.warehouse import LoadSpec, load_table
 
@@ -18,23 +20,33 @@ FILE_DATE = "file_date"
 
 @dataclass(frozen=True)
 class TableJob:
-    """One table to move: where it lives, how it is kept, and from which day on."""
+    """One table to move: where it lives, how it is kept, from which day on, and (to load) its main table."""
 
     family: str | None
     table: str
     download_type: str = "time"
     watermark: str | None = None
     schema: T.StructType | str | None = None
+    parent: str | None = None
 
 
-def _read_from(spark: SparkSession, root: str, job: TableJob) -> DataFrame:
-    raw = read_table(spark, root, job.family, job.table, job.schema)
-    if FILE_DATE not in raw.columns:
-        raw = raw.withColumn(FILE_DATE, F.lit(None).cast("date"))
-    if job.download_type == "time" and job.watermark:
-        # A filter on the partition column: earlier days are never listed for reading.
-        raw = read_since(raw, F.lit(job.watermark).cast("date"), F.col(FILE_DATE))
-    return raw
+def _since(df: DataFrame, job: TableJob) -> DataFrame:
+    """A ``time`` table from its watermark day on: a filter on the partition column, so earlier days are not read."""
+    if job.download_type != "time" or job.watermark is None:
+        return df
+    return read_since(df, F.lit(job.watermark).cast("date"), F.col(FILE_DATE))
+
+
+def land_stage(pages: DataFrame, raw_root: str, job: TableJob) -> str:
+    """Response pages (``body``, ``file_date``) to the raw files of their table, one folder per day."""
+    records = unwrap_envelope(pages.select("body", FILE_DATE))
+    schema = job.schema if job.schema is not None else record_schema(records)
+    landed = records_to_columns(records, schema)
+    if job.table in TRANSFORMED_AT_LANDING:
+        landed = transform_table(landed, job.table, date=F.col(FILE_DATE).cast("string"))
+    target = table_path(raw_root, job.family, job.table)
+    write_partitioned(landed, target, [FILE_DATE])
+    return target
 
 
 def transform_stage(
@@ -43,51 +55,47 @@ def transform_stage(
     """Run each table's steps over its raw files and write ``family/table/sub_table/file_date=…``.
 
     The file's day stays a column through the steps, so duplicates are removed per day and a day that is done
-    again replaces itself. A table that splits after costly steps is written once and split from there.
+    again replaces itself. A table that splits after steps of its own is written once and split from there.
     """
     written = []
     for job in jobs:
-        raw = _read_from(spark, raw_root, job)
-        flat = transform_table(raw, job.table, TRANSFORMED_AT_LANDING, on_error)
+        raw = read_table(spark, raw_root, job.family, job.table, job.schema)
+        if FILE_DATE not in raw.columns:
+            raw = raw.withColumn(FILE_DATE, F.lit(None).cast("date"))
+        flat = transform_table(_since(raw, job), job.table, TRANSFORMED_AT_LANDING, on_error)
         base = table_path(flat_root, job.family, job.table)
-        if job.table in SPLITS and flat is not raw:
-            parent = f"{base}/_parent"
-            write_partitioned(flat, parent, [FILE_DATE])
-            flat = spark.read.schema(flat.schema).parquet(parent)
-        for name, part in _split_with_day(flat, job.table, on_error).items():
-            target = f"{base}/{name}"
-            write_partitioned(part, target, [FILE_DATE])
-            written.append(target)
+        parts = {job.table: flat}
+        if job.table in SPLITS:
+            if job.table in TABLE_STEPS:
+                whole = f"{base}/_whole"
+                write_partitioned(flat, whole, [FILE_DATE])
+                stored = spark.read.schema(T.StructType([f for f in flat.schema if f.name != FILE_DATE]))
+                flat = _since(stored.parquet(whole).withColumn(FILE_DATE, F.col(FILE_DATE).cast("date")), job)
+            shared, outputs = SPLITS[job.table]
+            parts = {
+                name: transform_table(part, name, on_error=on_error)
+                for name, part in split_table(flat, [*shared, FILE_DATE], outputs).items()
+            }
+        for name, part in parts.items():
+            write_partitioned(part, f"{base}/{name}", [FILE_DATE])
+            written.append(f"{base}/{name}")
     return written
 
 
-def _split_with_day(df: DataFrame, table: str, on_error: str) -> dict[str, DataFrame]:
-    if table not in SPLITS:
-        return {table: df}
-    from telemetry_lake.operators.split import split_table
-
-    shared, outputs = SPLITS[table]
-    parts = split_table(df, [*shared, FILE_DATE], outputs)
-    return {name: transform_table(part, name, on_error=on_error) for name, part in parts.items()}
-
-
 def load_stage(
     spark: SparkSession,
     flat_root: str,
     warehouse_root: str,
     jobs: Sequence[TableJob],
-    specs: dict[str, LoadSpec],
+    specs: Mapping[str, LoadSpec],
+    replace_days: bool = False,
 ) -> list[str]:
-    """Load the flattened tables, one write per table; only days from the watermark on are read."""
+    """Load flattened tables, one write per table; only files from the watermark day on are read."""
     loaded = []
     for job in jobs:
-        flat = spark.read.option("mergeSchema", "true").parquet(table_path(flat_root, job.family, job.table))
-        if job.download_type == "time" and job.watermark:
-            flat = read_since(flat, F.lit(job.watermark).cast("date"), F.col(FILE_DATE))
-        target = f"{warehouse_root.rstrip('/')}/{job.table.split('/')[-1]}"
-        load_table(flat.drop(FILE_DATE), target, specs.get(job.table, LoadSpec(job.download_type)))
+        folder = f"{table_path(flat_root, job.family, job.parent or job.table)}/{job.table}"
+        flat = _since(spark.read.option("mergeSchema", "true").parquet(folder), job).drop(FILE_DATE)
+        target = f"{warehouse_root.rstrip('/')}/{job.table}"
+        load_table(flat, target, specs.get(job.table, LoadSpec(job.download_type)), replace_days)
         loaded.append(target)
     return loaded
-
-
-__all__ = ["TableJob", "load_stage", "transform_stage", "split_and_transform"]

@@ -88,32 +88,44 @@ def slice_windows(
     return sliced.withColumn("window_end", window_end(F.col("window_start"), quoted(end), step))
 
 
-def fan_out(templates: DataFrame, keys: DataFrame) -> DataFrame:
+def _templates(catalogue: DataFrame, lists: bool) -> DataFrame:
+    """Catalogue rows that need keys of another table, one per request or in lists."""
+    config = F.col("exception_config")
+    in_list = F.coalesce(config["is_list"], F.lit(1)) != 0
+    return catalogue.filter(
+        (config["exception_type"] == "table")
+        & (config["constraint"] == "dynamic_url")
+        & (in_list if lists else ~in_list)
+    )
+
+
+def _with_templates(keys: DataFrame, templates: DataFrame) -> DataFrame:
+    """Add the templates that take keys of each row's ``source_table``.
+
+    Templates are catalogue rows, a handful at most: they travel as one array, so keys neither move nor meet a
+    join on a column in which they all agree.
+    """
+    listed = templates.agg(F.collect_list(F.struct(*[quoted(n) for n in templates.columns]))).scalar()
+    offered = keys.withColumn("__template", F.explode(listed))
+    return offered.filter(F.col("__template.exception_config.table_name") == F.col("source_table")).select(
+        *[quoted(n) for n in keys.columns if n != "source_table"], "__template.*"
+    )
+
+
+def fan_out(catalogue: DataFrame, keys: DataFrame) -> DataFrame:
     """One request per key of another table, with the key's position.
 
-    ``templates`` are catalogue rows whose exception takes single keys; ``keys`` is (source_table, key) with
-    distinct keys. The catalogue is the small side; which join is used is left to Spark.
+    ``keys`` is (source_table, key), distinct; catalogue rows whose exception takes single keys are filled.
     """
-    config = F.col("exception_config")
-    singles = templates.filter(
-        (config["exception_type"] == "table") & (config["constraint"] == "dynamic_url") & (config["is_list"] == 0)
-    ).withColumn("source_table", config["table_name"])
     numbered = number_rows(keys, "key", ["source_table"], "key_index")
-    joined = numbered.join(singles, "source_table", "inner")
-    return _fill_key(joined, F.col("key").cast("string")).drop("source_table")
+    return _fill_key(_with_templates(numbered, _templates(catalogue, lists=False)), F.col("key").cast("string"))
 
 
-def fan_out_batches(templates: DataFrame, keys: DataFrame, size: int = KEYS_PER_REQUEST) -> DataFrame:
+def fan_out_batches(catalogue: DataFrame, keys: DataFrame, size: int = KEYS_PER_REQUEST) -> DataFrame:
     """One request per list of at most ``size`` keys, joined by commas; every key is in exactly one list."""
-    config = F.col("exception_config")
-    lists = templates.filter(
-        (config["exception_type"] == "table")
-        & (config["constraint"] == "dynamic_url")
-        & (F.coalesce(config["is_list"], F.lit(1)) != 0)
-    ).withColumn("source_table", config["table_name"])
     batches = batch_keys(keys, "key", size, ["source_table"], batch="key_batch")
-    joined = batches.join(lists, "source_table", "inner")
-    return _fill_key(joined, F.array_join("keys", ",")).drop("source_table", "keys")
+    filled = _fill_key(_with_templates(batches, _templates(catalogue, lists=True)), F.array_join("keys", ","))
+    return filled.drop("keys")
 
 
 def _fill_key(df: DataFrame, value: Column) -> DataFrame:
@@ -131,10 +143,13 @@ def window_requests(plan: DataFrame) -> DataFrame:
     """Plan rows with filled parameters to one row per request window.
 
     Adds the parsed parameters, the window bounds as the request carries them, the label of the file the
-    answer goes to and its folder. Rows without a date range give one request without bounds. Tables that
-    take dates but need times (see the exceptions) carry times.
+    answer goes to and its folder. Rows without a date range give one request without bounds; rows whose
+    parameters cannot be read (a value before any key) give none. Tables that take dates but need times (see the
+    exceptions) carry times.
     """
-    parsed = plan.withColumn("request_params", F.coalesce(parse_params(F.col("params")), _no_params()))
+    parsed = plan.withColumn(
+        "request_params", F.when(F.col("params").isNull(), _no_params()).otherwise(parse_params(F.col("params")))
+    ).filter(F.col("request_params").isNotNull())
     parsed = parsed.withColumn("kind", date_param_kind(F.col("request_params")))
     kind = F.col("kind")
     parsed = parsed.withColumns(

@@ -81,7 +81,7 @@ def reefer_steps(feed: str) -> tuple[Step, ...]:
         step("epoch", columns=["changedAtMs"], unit="ms"),
         *nested,
         step("drop_nulls", columns=required),
-        step("distinct_on", keys=["id", "changedAtMs"]),
+        step("distinct_on", keys=["id", "changedAtMs"], scope=["file_date"]),
         step("rename", mapping=names),
         *closing,
     )
