@@ -18,12 +18,14 @@ def number_rows(df: DataFrame, key: str, within: Sequence[str] = (), output: str
 
     The order is that of the key's MD5 (then the key): fixed for a given set of keys, and its leading digits
     cut every group, however large, into even buckets. Rows are ranked inside buckets; the bucket sizes, at
-    most 4096 per group, give the offsets. No group is ever in one task.
+    most 4096 per group, give the offsets. No group is ever in one task. Null keys have no position.
     """
     group = [quoted(n) for n in within]
     hashed = df.withColumn("__hash", F.md5(quoted(key).cast("string"))).withColumn(
         "__bucket", F.substring("__hash", 1, BUCKET_DIGITS)
     )
+    # Stated here, for both uses alike, so that Spark computes the keys once and reuses the exchange.
+    hashed = hashed.filter(F.col("__bucket").isNotNull())
     before = Window.partitionBy(*(group or [F.lit(0)])).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         hashed.groupBy(*group, "__bucket")

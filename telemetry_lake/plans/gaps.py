@@ -35,24 +35,34 @@ def missing_days(
 
     Only ``time`` tables of the catalogue that have a family and some dated file take part; files of
     sub-tables count for their main table. A table starts at its own download watermark, else at ``start``,
-    else at the beginning of history. Files are reduced to distinct days before they meet the calendar.
+    else at the beginning of history.
+
+    Files are read once and reduced to distinct days before anything else, so a table's set of days is bounded
+    by the calendar; from there on there is one row per table until its missing days are listed.
     """
     default_start = F.to_date(F.lit(HISTORY_START)) if start is None else start.cast("date")
-    days = covered_days(files).select("table_name", "day").distinct()
-    covered = resolve_alias(days, alias).select(F.col("main_table").alias("table_name"), "day").distinct()
+    none = F.array().cast("array<date>")
+    days = covered_days(files, keep_empty=True).select("table_name", "day").distinct()
+    covered = (
+        resolve_alias(days, alias)
+        .groupBy(F.col("main_table").alias("table_name"))
+        .agg(F.collect_set("day").alias("__covered"))
+    )
     timed = (
         catalogue.filter(
             (F.length("family") > 0) & (F.length("table_name") > 0) & ~F.col("download_type").eqNullSafe("oneshot")
         )
         .select("table_name")
         .distinct()
-        .join(covered.select("table_name").distinct(), "table_name", "left_semi")
-        .join(state.select("table_name", "last_download_time"), "table_name", "left")
     )
-    first = F.coalesce("last_download_time", default_start)
-    calendar = timed.select("table_name", F.explode(days_between(first, end.cast("date"))).alias("day"))
-    known = union_days(covered, empty_days(state))
-    return calendar.join(known, ["table_name", "day"], "left_anti")
+    known = state.select("table_name", "last_download_time", "date_no_data")
+    calendar = days_between(F.coalesce("last_download_time", default_start), end.cast("date"))
+    return (
+        timed.join(covered, "table_name", "inner")
+        .join(known, "table_name", "left")
+        .withColumn("__done", F.concat("__covered", F.coalesce("date_no_data", none)))
+        .select("table_name", F.explode(F.array_except(calendar, F.col("__done"))).alias("day"))
+    )
 
 
 def gap_summary(missing: DataFrame) -> DataFrame:

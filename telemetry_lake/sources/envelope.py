@@ -12,13 +12,18 @@ from telemetry_lake.functions.names import quoted
 from telemetry_lake.operators.nested import flatten
 
 
-def unwrap_envelope(df: DataFrame, body: str = "body", record: str = "record") -> DataFrame:
-    """One row per record of a page, as VARIANT; the other columns stay.
+def unwrap_envelope(
+    df: DataFrame, body: str = "body", record: str = "record", malformed: str = "raise"
+) -> DataFrame:
+    """One row per record of a page, as VARIANT; the other columns stay. Text that is no JSON stops the job, or is
+    left out with ``malformed="drop"``.
 
     No ``data`` (or null): the whole object is the record. A list: its elements. An object with one key that
     holds a list: the elements of that list. Another object: itself. An empty list or object: no rows.
     """
-    page = F.parse_json(quoted(body))
+    if malformed not in ("raise", "drop"):
+        raise ValueError(f"unknown policy: {malformed}")
+    page = F.parse_json(quoted(body)) if malformed == "raise" else F.try_parse_json(quoted(body))
     data = F.try_variant_get(F.col("__page"), "$.data", "variant")
     parsed = df.withColumn("__page", page).withColumn("__data", data)
     as_list = F.try_variant_get(F.col("__data"), "$", "array<variant>")
@@ -27,7 +32,8 @@ def unwrap_envelope(df: DataFrame, body: str = "body", record: str = "record") -
     parsed = parsed.withColumn("__list", as_list).withColumn("__map", as_map)
     parsed = parsed.withColumn("__inner", F.when(F.size("__map") == 1, inner))
     records = (
-        F.when(F.col("__data").isNull() | F.is_variant_null(F.col("__data")), F.array("__page"))
+        F.when(F.col("__page").isNull(), F.lit(None).cast("array<variant>"))
+        .when(F.col("__data").isNull() | F.is_variant_null(F.col("__data")), F.array("__page"))
         .when(F.col("__list").isNotNull(), F.col("__list"))
         .when(F.col("__inner").isNotNull(), F.col("__inner"))
         .when(F.size("__map") > 0, F.array("__data"))

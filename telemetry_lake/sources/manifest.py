@@ -50,14 +50,20 @@ def manifest(df: DataFrame, path: str = "path") -> DataFrame:
     return cut.select(*[quoted(n) for n in df.columns], F.inline(row))
 
 
-def covered_days(df: DataFrame, path: str = "path", day: str = "day") -> DataFrame:
+def covered_days(df: DataFrame, path: str = "path", day: str = "day", keep_empty: bool = False) -> DataFrame:
     """One row per day a file covers: a single date covers itself, a range all days but its end,
-    a name without date none."""
+    a name without date none. ``keep_empty`` keeps a dated file that covers no day, with null."""
     name = F.substring_index(quoted(path), "/", -1)
-    first = _day(F.regexp_extract(name, NAME_DATE, 1))
-    last = _day(F.regexp_extract(name, NAME_RANGE, 1))
-    days = F.when(last.isNull(), F.when(first.isNotNull(), F.array(first))).otherwise(days_between(first, last))
-    return df.select("*", F.explode(days).alias(day))
+    dated = df.withColumns(
+        {
+            "__first": _day(F.regexp_extract(name, NAME_DATE, 1)),
+            "__last": _day(F.regexp_extract(name, NAME_RANGE, 1)),
+        }
+    )
+    first, last = F.col("__first"), F.col("__last")
+    days = F.when(last.isNull(), F.array(first)).otherwise(days_between(first, last))
+    explode = F.explode_outer if keep_empty else F.explode
+    return dated.filter(first.isNotNull()).select(*[quoted(n) for n in df.columns], explode(days).alias(day))
 
 
 def newest_first(df: DataFrame, table: str = "table_name", path: str = "path") -> DataFrame:

@@ -44,7 +44,7 @@ def load_spec(catalogue: DataFrame, table: str, alias: Column | None = None) ->
 
 def warehouse_type(name: str, dtype: T.DataType) -> str:
     """Warehouse type of a column type; types the warehouse does not know raise."""
-    if isinstance(dtype, (T.StringType, T.StructType, T.ArrayType, T.MapType)):
+    if isinstance(dtype, (T.StringType, T.DateType, T.DecimalType, T.StructType, T.ArrayType, T.MapType)):
         return "STRING"
     if isinstance(dtype, T.IntegralType):
         return "INTEGER"

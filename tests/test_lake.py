@@ -190,6 +190,8 @@ def test_gaps_of_the_built_in_tables(spark, rows):
             [
                 "vehicle_stats/fleet_vehicle_stats_engineRpm/fleet_vehicle_stats_engineRpm_2024_01_02.parquet",
                 "core/fleet_tags/fleet_tags_drivers_2024_01_02.parquet",
+                "safety/fleet_safety_events/fleet_safety_events.parquet",
+                "fuel_energy/fleet_vehicle_idling/fleet_vehicle_idling_2024_01_03_to_2024_01_03.parquet",
                 f"{FAULTS}_obdii_2024_01_01_to_2024_01_03.parquet",
             ],
         )
@@ -201,6 +203,7 @@ def test_gaps_of_the_built_in_tables(spark, rows):
         cat.catalogue(spark), files, state, F.to_date(F.lit("2024-01-05")), F.to_date(F.lit("2023-12-31"))
     )
     assert rows(missing) == [
+        *[("fleet_vehicle_idling", d) for d in (DAY(2023, 12, 31), *[DAY(2024, 1, i) for i in range(1, 5)])],
         ("fleet_vehicle_stats_engineRpm", DAY(2024, 1, 1)),
         ("fleet_vehicle_stats_engineRpm", DAY(2024, 1, 3)),
         ("fleet_vehicle_stats_faultCodes", DAY(2023, 12, 31)),
@@ -208,7 +211,7 @@ def test_gaps_of_the_built_in_tables(spark, rows):
         ("fleet_vehicle_stats_faultCodes", DAY(2024, 1, 4)),
     ]
     again = gaps.replan_gaps(missing, cat.catalogue(spark))
-    assert again.count() == 5
+    assert again.count() == 10
     first = requests.window_requests(requests.fill_range(again, "start_date", "end_date")).orderBy("start_text").first()
     assert first.start_text == "2023-12-31T00:00:00+00:00" and first.file_label == "2023_12_31"
 
@@ -224,6 +227,10 @@ def test_envelope_shapes(spark, rows):
     assert [r[0] for r in rows(records_to_columns(records, "struct<id: bigint>"))] == [1, 2, 3, 4, 5, 6, 7]
     flat = records_to_columns(records, record_schema(records))
     assert sorted(flat.columns) == ["data", "id", "z"] and flat.count() == 7
+    broken = df.union(spark.sql("SELECT 'no json'"))
+    assert unwrap_envelope(broken, malformed="drop").count() == 7
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        unwrap_envelope(broken).count()
 
 
 # --- folders and warehouse
