@@ -33,14 +33,21 @@ def ingest(stream: DataFrame, target: str, checkpoint: str, partitions: Sequence
     writer.trigger(availableNow=True).format("parquet").outputMode("append").start(target).awaitTermination()
 
 
-def deduplicated(stream: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
+def deduplicated(stream: DataFrame, keys: Sequence[str], time: str, delay: str, salts: int = 16) -> DataFrame:
     """Stream without rows delivered again.
 
     ``delay`` says how much later a repetition may come, in the time of the data; state older than that is
-    let go, so it stays bounded by the rows of that span. Keys are spread by hash: a key delivered very often
-    costs one state row.
+    let go, so it stays bounded by the rows of that span.
+
+    A key delivered very often would send all its copies to one task. With ``salts`` the copies are first
+    reduced within that many parts, by the task that read them, and then across the parts; which part a copy
+    falls in has no effect on the result. ``salts=0`` spares the second state where keys repeat rarely.
     """
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
+    timed = stream.withWatermark(time, delay)
+    if salts:
+        parted = timed.withColumn("__part", F.spark_partition_id() % F.lit(salts))
+        timed = parted.dropDuplicatesWithinWatermark([*keys, "__part"]).drop("__part")
+    return timed.dropDuplicatesWithinWatermark(list(keys))
 
 
 def write_tables(

@@ -406,12 +406,16 @@ def test_split_stream_runs_the_declared_steps(spark, sf_dir):
         assert spark.read.parquet(f"{target}/{name}").count() == part.count()
 
 
-def test_redelivered_rows_leave_no_second_row(spark):
+@pytest.mark.parametrize("salts", [0, 4])
+def test_redelivered_rows_leave_no_second_row(spark, salts):
+    """One key is delivered as often as all others together."""
     source, target, checkpoint = (scratch_path(spark, n) for n in ("source", "target", "checkpoint"))
-    df = spark.range(100).selectExpr("id", "TIMESTAMP'2024-01-01' + make_dt_interval(0, id) AS time")
+    hot = spark.range(100).selectExpr("0L AS id", "TIMESTAMP'2024-01-01' AS time")
+    df = spark.range(100).selectExpr("id", "TIMESTAMP'2024-01-01' + make_dt_interval(0, id) AS time").union(hot)
     for _ in range(2):
-        df.write.mode("append").parquet(source)
-        stream = incremental.deduplicated(incremental.read_stream(spark, source, df.schema), ["id"], "time", "10 days")
+        df.repartition(6).write.mode("append").parquet(source)
+        read = incremental.read_stream(spark, source, df.schema)
+        stream = incremental.deduplicated(read, ["id"], "time", "10 days", salts)
         incremental.ingest(stream, target, checkpoint)
     assert spark.read.parquet(target).count() == 100
 
