@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,9 +88,9 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> Da
         .option("pathGlobFilter", pattern)
         .load(root)
     )
-    marker = "/" + root.rstrip("/").split(":")[-1].lstrip("/") + "/"
+    base = urlparse(root).path.rstrip("/") + "/"
     return files.select(
-        F.substring_index(F.col("path"), marker, -1).alias("path"),
+        F.substr("path", F.instr("path", base) + len(base)).alias("path"),
         F.col("modificationTime").alias("modified_at"),
         F.col("length").alias("bytes"),
     )
