@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lake_queries import fixtures
 from lake_queries.fixtures import table
 from lake_queries.registry import query
+from telemetry_lake.plans.catalogue import catalogue
 from telemetry_lake.plans.tables import split_only
 from telemetry_lake.session import scratch_path
 from telemetry_lake.sources import envelope, lake, warehouse
@@ -15,13 +16,13 @@ from telemetry_lake.streaming import incremental
 # --- scans -------------------------------------------------------------------------------------------------------
 
 
-@query("scan_table", "SELECT * FROM nation")
+@query("scan_table", "SELECT * FROM orders")
 def scan_table(spark, sf_dir):
     """A table whose name starts another table's name: only its own folder is read."""
     root = scratch_path(spark, "lake")
-    lake.write_parquet(table(spark, sf_dir, "nation"), lake.table_path(root, "core", "nation"))
-    lake.write_parquet(table(spark, sf_dir, "customer"), lake.table_path(root, "core", "nation_customers"))
-    return lake.read_table(spark, root, "core", "nation")
+    lake.write_parquet(table(spark, sf_dir, "orders"), lake.table_path(root, "core", "orders"))
+    lake.write_parquet(table(spark, sf_dir, "customer"), lake.table_path(root, "core", "orders_customers"))
+    return lake.read_table(spark, root, "core", "orders")
 
 
 @query("scan_events", "SELECT * FROM events")
@@ -104,21 +105,27 @@ def write_partitioned(spark, sf_dir):
 
 @query(
     "warehouse_load",
-    """SELECT event_id, user_id, ts, CAST(ts AS DATE) AS load_day, 'time' AS kind FROM events
-    UNION ALL SELECT s_suppkey, s_nationkey, NULL, NULL, 'oneshot' FROM supplier""",
+    """SELECT CAST(event_id AS VARCHAR) AS event_id, user_id AS vehicle_id, ts AS time, CAST(ts AS DATE) AS load_day,
+      'time' AS kind FROM events
+    UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_nationkey, NULL, NULL, 'oneshot' FROM supplier""",
 )
 def warehouse_load(spark, sf_dir):
     """A timed table loaded in two batches, the second twice (its days replace themselves); a one-shot table loaded
-    twice (the second load is what stays)."""
+    twice (the second load is what stays). How each is loaded comes from the catalogue, by main table."""
     timed, once = scratch_path(spark, "timed"), scratch_path(spark, "oneshot")
-    by_day = warehouse.LoadSpec("time", "ts", ["user_id"])
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    warehouse.load_table(events.filter("ts < TIMESTAMP_NTZ'2024-01-11'"), timed, by_day)
-    rest = events.filter("ts >= TIMESTAMP_NTZ'2024-01-11'")
+    tables = catalogue(spark)
+    by_day = warehouse.load_spec(tables, "fleet_safety_events")
+    events = table(spark, sf_dir, "events").selectExpr(
+        "cast(event_id AS string) AS event_id", "user_id AS vehicle_id", "ts AS time"
+    )
+    warehouse.load_table(events.filter("time < TIMESTAMP_NTZ'2024-01-11'"), timed, by_day)
+    rest = events.filter("time >= TIMESTAMP_NTZ'2024-01-11'")
     warehouse.load_table(rest, timed, by_day, replace_days=True)
     warehouse.load_table(rest, timed, by_day, replace_days=True)
-    whole = warehouse.LoadSpec("oneshot")
-    suppliers = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS event_id", "cast(s_nationkey AS bigint) AS user_id")
+    whole = warehouse.load_spec(tables, "fleet_tags_drivers")
+    suppliers = table(spark, sf_dir, "supplier").selectExpr(
+        "cast(s_suppkey AS string) AS event_id", "cast(s_nationkey AS bigint) AS vehicle_id"
+    )
     warehouse.load_table(suppliers, once, whole)
     warehouse.load_table(suppliers, once, whole)
     loaded = warehouse.read_loaded(spark, timed).withColumn("kind", F.lit("time"))

@@ -59,6 +59,17 @@ def explode(df: DataFrame, column: str) -> DataFrame:
     return df.select(*[F.explode_outer(quoted(n)).alias(n) if n == column else quoted(n) for n in df.columns])
 
 
+def unique_items(df: DataFrame, column: str) -> DataFrame:
+    """Drop repeated items inside each list of a column; absent columns and other types pass unchanged.
+
+    Before several lists of a row are combined and the combinations made distinct, this keeps repeated items
+    from multiplying; the outcome is the same.
+    """
+    if column not in df.columns or not isinstance(df.schema[column].dataType, T.ArrayType):
+        return df
+    return df.withColumn(column, F.array_distinct(quoted(column)))
+
+
 def explode_coerced(df: DataFrame, column: str) -> DataFrame:
     """Like explode, but a scalar counts as a list of one element and null as an empty list."""
     dtype = df.schema[column].dataType

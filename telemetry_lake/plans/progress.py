@@ -30,6 +30,20 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], STATE_TYPE)
 
 
+def import_state(spark: SparkSession, path: str) -> DataFrame:
+    """State from a JSON file ``{table: {download_type, last_…: "dd/MM/yyyy", date_no_data: [...]}}``."""
+    entry = "struct<download_type: string, " + ", ".join(f"{n}: string" for n in WATERMARKS)
+    text = spark.read.text(path, wholetext=True)
+    tables = text.select(F.explode(F.from_json("value", f"map<string, {entry}, date_no_data: array<string>>>")))
+    day = "dd/MM/yyyy"
+    return tables.select(
+        F.col("key").alias("table_name"),
+        F.col("value.download_type").alias("download_type"),
+        *[F.to_date(F.col(f"value.{n}"), day).alias(n) for n in WATERMARKS],
+        F.transform("value.date_no_data", lambda text: F.to_date(text, day)).alias("date_no_data"),
+    )
+
+
 def upsert_state(state: DataFrame, updates: DataFrame, watermark: str, end_time: Column) -> DataFrame:
     """Set one watermark of the updated tables to ``end_time`` and their type to the given one (``time`` if
     none); other values stay, new tables are added. ``updates`` is (table_name, download_type)."""

@@ -32,6 +32,7 @@ OPERATIONS: dict[str, Callable[..., DataFrame]] = {
     "prefix": columns.add_prefix,
     "rename": columns.rename_columns,
     "set": columns.set_column,
+    "unique_items": nested.unique_items,
 }
 
 

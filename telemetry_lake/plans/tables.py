@@ -101,6 +101,7 @@ def obdii_steps() -> tuple[Step, ...]:
     return (
         step("explode", column="obdii_diagnosticTroubleCodes"),
         step("normalize", column="obdii_diagnosticTroubleCodes", prefix="obdii_"),
+        *(step("unique_items", column=f"obdii_{kind}Dtcs") for kind in kinds),
         *(step("explode", column=f"obdii_{kind}Dtcs") for kind in kinds),
         *(step("normalize", column=f"obdii_{kind}Dtcs", prefix=f"obdii_{kind}_") for kind in kinds),
         step("rename", mapping={"obdii_checkEngineLightIsOn": "obdii_engine_light_on"}),

@@ -169,6 +169,19 @@ def test_state_versions(spark):
         progress.upsert_state(again, updates, "date_no_data", F.lit("2024-02-01"))
 
 
+def test_state_from_json(spark, tmp_path):
+    path = tmp_path / "state.json"
+    path.write_text(
+        '{"a": {"download_type": "time", "last_download_time": "01/02/2024", "date_no_data": ["03/01/2024"]}, "b": {"download_type": "oneshot"}}'
+    )
+    state = progress.import_state(spark, str(path))
+    assert state.schema.simpleString() == progress.STATE_TYPE.simpleString()
+    assert sorted(tuple(r) for r in state.collect()) == [
+        ("a", "time", DAY(2024, 2, 1), None, None, [DAY(2024, 1, 3)]),
+        ("b", "oneshot", None, None, None, None),
+    ]
+
+
 def test_watermark_day_is_done_again(spark):
     files = manifest.manifest(
         paths_frame(spark, ["f/t/t_2024_01_04.parquet", "f/t/t_2024_01_05.parquet", "f/t/t.parquet",
