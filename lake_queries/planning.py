@@ -12,7 +12,6 @@ from lake_queries import fixtures
 from lake_queries.columns_rows import batched
 from lake_queries.fixtures import table
 from lake_queries.registry import query
-from telemetry_lake.functions.time import zoneless
 from telemetry_lake.plans import catalogue, gaps, progress, requests
 from telemetry_lake.sources import lake, manifest
 
@@ -419,3 +418,26 @@ def fanout_chunks(spark, sf_dir):
         "'alerts_configurations' AS source_table", "concat('c', o_custkey) AS key"
     )
     return requests.fan_out_batches(catalogue.catalogue(spark), keys.distinct()).select("key_batch", "params")
+
+
+@query(
+    "keyed_requests",
+    """WITH k AS (SELECT CAST(c_custkey AS VARCHAR) AS k FROM customer),
+    n AS (SELECT k, row_number() OVER (ORDER BY md5(k), k) - 1 AS i FROM k),
+    b AS (SELECT i // 50 AS i, string_agg(k, ',' ORDER BY k) AS ks FROM n GROUP BY 1)
+    SELECT 'fleet_vehicle_safety_score' AS table_name, 'v1/fleet/vehicles/' || k || '/safety/score' AS endpoint,
+      NULL AS keys, '1706745600000' AS start_text, '1707004800000' AS end_text, '2024_02_01_' || i AS file_label FROM n
+    UNION ALL SELECT 'alerts_incidents', 'alerts/incidents/stream', ks, strftime(d, '%Y-%m-%dT00:00:00+00:00'),
+      strftime(d, '%Y-%m-%dT23:59:59+00:00'), strftime(d, '%Y_%m_%d') || '_' || i
+    FROM b, (SELECT unnest([DATE '2024-02-01', DATE '2024-02-02', DATE '2024-02-03']) AS d)""",
+)
+def keyed_requests(spark, sf_dir):
+    day = F.to_date
+    ranged = catalogue.catalogue(spark).withColumns(
+        {"last_download_time": day(F.lit("2024-02-01")), "end_date": day(F.lit("2024-02-04"))}
+    )
+    sources = F.explode(F.array(F.lit("fleet_vehicles"), F.lit("alerts_configurations")))
+    keys = table(spark, sf_dir, "customer").select(sources.alias("source_table"), F.col("c_custkey").cast("string").alias("key"))
+    out = requests.keyed_requests(requests.fill_range(ranged), keys.distinct())
+    sent = F.try_element_at("request_params", F.lit("configurationIds"))
+    return out.select("table_name", "endpoint", sent.alias("keys"), "start_text", "end_text", "file_label")

@@ -17,6 +17,7 @@ from telemetry_lake.functions.time import (
     window_starts,
 )
 from telemetry_lake.operators.numbering import batch_keys, number_rows
+from telemetry_lake.operators.rows import union_by_name
 from telemetry_lake.plans.gaps import HISTORY_START
 
 # Fixed value: keys carried by one request.
@@ -139,6 +140,19 @@ def _fill_key(df: DataFrame, value: Column) -> DataFrame:
     )
 
 
+def _with_range(plan: DataFrame) -> DataFrame:
+    """Add the parsed parameters, the kind of range they hold, its bounds, and the request's folder."""
+    parsed = plan.withColumn(
+        "request_params", F.when(F.col("params").isNull(), _no_params()).otherwise(parse_params(F.col("params")))
+    ).filter(F.col("request_params").isNotNull())
+    parsed = parsed.withColumn("kind", date_param_kind(F.col("request_params")))
+    kind = F.col("kind")
+    bounds = {
+        f"range_{side}": parse_bound(date_param(F.col("request_params"), kind, side), kind) for side in ("start", "end")
+    }
+    return parsed.withColumns({**bounds, "folder": table_folder(F.col("family"), F.col("table_name"))})
+
+
 def window_requests(plan: DataFrame) -> DataFrame:
     """Plan rows with filled parameters to one row per request window.
 
@@ -147,17 +161,8 @@ def window_requests(plan: DataFrame) -> DataFrame:
     parameters cannot be read (a value before any key) give none. Tables that take dates but need times (see the
     exceptions) carry times.
     """
-    parsed = plan.withColumn(
-        "request_params", F.when(F.col("params").isNull(), _no_params()).otherwise(parse_params(F.col("params")))
-    ).filter(F.col("request_params").isNotNull())
-    parsed = parsed.withColumn("kind", date_param_kind(F.col("request_params")))
+    parsed = _with_range(plan)
     kind = F.col("kind")
-    parsed = parsed.withColumns(
-        {
-            "range_start": parse_bound(date_param(F.col("request_params"), kind, "start"), kind),
-            "range_end": parse_bound(date_param(F.col("request_params"), kind, "end"), kind),
-        }
-    )
     step = F.coalesce("delta_days", F.lit(1))
     windows = F.when(kind.isNull(), F.array(F.lit(None).cast("timestamp"))).otherwise(
         window_starts(F.col("range_start"), F.col("range_end"), step)
@@ -172,15 +177,45 @@ def window_requests(plan: DataFrame) -> DataFrame:
     sliced = parsed.withColumn("window_start", F.explode(windows)).withColumn(
         "window_end", window_end(F.col("window_start"), F.col("range_end"), step)
     )
-    bounded = sliced.withColumns(
+    return sliced.withColumns(
         {
             "start_text": render_bound(F.col("window_start"), rendered_as),
             "end_text": render_bound(F.col("window_end"), rendered_as),
             "file_label": date_label(F.col("window_start"), F.col("window_end"), step),
-            "folder": table_folder(F.col("family"), F.col("table_name")),
         }
+    ).drop("range_start", "range_end")
+
+
+def keyed_requests(plan: DataFrame, keys: DataFrame) -> DataFrame:
+    """Requests of the tables that need keys of another table.
+
+    Tables that take one key each are asked once per key for the whole range, the key's position ending the
+    file label; tables that take lists are asked per list and window, the list's number ending the label.
+    """
+    singles = _with_range(fan_out(plan, keys))
+    kind = F.col("kind")
+    label = date_label(F.col("range_start"), F.col("range_end"), F.coalesce("delta_days", F.lit(1)))
+    asked_once = singles.withColumns(
+        {
+            "window_start": F.col("range_start"),
+            "window_end": F.col("range_end"),
+            "start_text": render_bound(F.col("range_start"), kind),
+            "end_text": render_bound(F.col("range_end"), kind),
+            "file_label": F.concat_ws("_", label, "key_index"),
+        }
+    ).drop("range_start", "range_end", "key_index", "key")
+    per_list = window_requests(fan_out_batches(plan, keys))
+    numbered = per_list.withColumn("file_label", F.concat_ws("_", "file_label", "key_batch")).drop("key_batch")
+    return union_by_name(asked_once, numbered)
+
+
+def all_requests(plan: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """Every request of a plan: windows of the ordinary tables, and keyed requests if keys are given."""
+    on_table = F.coalesce(F.col("exception_config")["exception_type"] == "table", F.lit(False)) & (
+        F.col("is_exception") == 1
     )
-    return bounded.drop("range_start", "range_end")
+    ordinary = window_requests(plan.filter(~on_table))
+    return ordinary if keys is None else union_by_name(ordinary, keyed_requests(plan, keys))
 
 
 def _no_params() -> Column:

@@ -131,6 +131,18 @@ def test_default_requests(spark):
     assert audit.request_params == {"startTime": "2024-01-08T00:00:00+00:00"}
 
 
+def test_all_requests_of_a_day(spark):
+    ranged = cat.catalogue(spark).withColumns(
+        {"last_download_time": F.to_date(F.lit("2024-02-01")), "end_date": F.to_date(F.lit("2024-02-02"))}
+    )
+    plan = requests.fill_range(ranged)
+    keys = spark.range(60).selectExpr("'fleet_vehicles' AS source_table", "cast(id AS string) AS key")
+    assert requests.all_requests(plan).count() == 48
+    assert requests.all_requests(plan, keys).count() == 48 + 60
+    lists = keys.union(keys.selectExpr("'alerts_configurations'", "key"))
+    assert requests.all_requests(plan, lists).count() == 48 + 60 + 2
+
+
 def test_unreadable_parameters_plan_nothing(spark):
     df = cat.catalogue(spark).filter("table_name = 'fleet_tags'").withColumn("params", F.lit("oops,a=1"))
     assert requests.window_requests(df).count() == 0

@@ -145,6 +145,17 @@ def test_explode_rules(spark, rows):
     assert rows(nested.explode_coerced(df, "k"), "k") == [(1,), (2,), (3,), (4,)]
 
 
+def test_repeated_items_do_not_change_distinct_combinations(spark, rows):
+    df = spark.sql("SELECT array(named_struct('x', 1), named_struct('x', 1)) AS a, array(2, 2, NULL, NULL) AS b, 3 AS c")
+
+    def combined(frame):
+        return rows(rowops.distinct_rows(nested.explode(nested.explode(frame, "a"), "b")))
+
+    slim = nested.unique_items(nested.unique_items(nested.unique_items(df, "a"), "b"), "c")
+    assert combined(slim) == combined(df)
+    assert slim.first().b == [2, None] and nested.unique_items(df, "absent") is df
+
+
 def test_normalize_rules(spark):
     df = spark.sql("SELECT 1 AS id, named_struct('a', named_struct('b', 1), 'l', array(1)) AS o, 5 AS scalar")
     assert nested.normalize(df, "o", prefix="p_").columns == ["id", "scalar", "p_a_b", "p_l"]
