@@ -10,7 +10,7 @@ from lake_queries.registry import query
 from telemetry_lake.plans.catalogue import catalogue
 from telemetry_lake.plans.tables import split_only
 from telemetry_lake.session import scratch_path
-from telemetry_lake.sources import envelope, lake, warehouse
+from telemetry_lake.sources import envelope, lake, manifest, warehouse
 from telemetry_lake.streaming import incremental
 
 # --- scans -------------------------------------------------------------------------------------------------------
@@ -30,6 +30,24 @@ def scan_events(spark, sf_dir):
     return lake.read_table(spark, sf_dir, None, "events.parquet", schema=table(spark, sf_dir, "events").schema)
 
 
+@query(
+    "scan_named_files",
+    """SELECT event_id, user_id, CASE WHEN ts < TIMESTAMP '2024-01-21' THEN DATE '2024-01-11' ELSE DATE '2024-01-21' END AS file_date
+    FROM events WHERE ts >= TIMESTAMP '2024-01-11'""",
+)
+def scan_named_files(spark, sf_dir):
+    """A folder of files named by range, one of them of a sub-table, read from a watermark on."""
+    root = scratch_path(spark, "named")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    for first, last in (("01", "11"), ("11", "21"), ("21", "31")):
+        day, end = (f"TIMESTAMP_NTZ'2024-01-{d}'" for d in (first, last))
+        part = events.filter(f"ts >= {day} AND ts < {end}").drop("ts")
+        part.write.parquet(f"{root}/core/readings/readings_2024_01_{first}_to_2024_01_{last}.parquet")
+    events.drop("ts").write.parquet(f"{root}/core/readings/readings_extra_2024_01_21.parquet")
+    named = manifest.read_named_files(spark, root, "core", "readings")
+    return lake.read_since(named, F.to_date(F.lit("2024-01-11")), F.col("file_date"))
+
+
 @query("scan_pruned", "SELECT l_suppkey FROM lineitem")
 def scan_pruned(spark, sf_dir):
     return lake.read_table(spark, sf_dir, None, "lineitem.parquet", columns=["l_suppkey"])

@@ -13,6 +13,7 @@ from telemetry_lake.operators.split import split_table
 from telemetry_lake.plans.tables import SPLITS, TABLE_STEPS, TRANSFORMED_AT_LANDING, transform_table
 from telemetry_lake.sources.envelope import record_schema, records_to_columns, unwrap_envelope
 from telemetry_lake.sources.lake import read_since, read_table, table_path, write_partitioned
+from telemetry_lake.sources.manifest import read_named_files
 from telemetry_lake.sources.warehouse import LoadSpec, load_table
 
 FILE_DATE = "file_date"
@@ -20,7 +21,10 @@ FILE_DATE = "file_date"
 
 @dataclass(frozen=True)
 class TableJob:
-    """One table to move: where it lives, how it is kept, from which day on, and (to load) its main table."""
+    """One table to move: where it lives, how it is kept, from which day on, and (to load) its main table.
+
+    ``layout`` is ``days`` for ``file_date=…`` folders and ``named`` for raw files that carry the day in their name.
+    """
 
     family: str | None
     table: str
@@ -28,6 +32,7 @@ class TableJob:
     watermark: str | None = None
     schema: T.StructType | str | None = None
     parent: str | None = None
+    layout: str = "days"
 
 
 def _since(df: DataFrame, job: TableJob) -> DataFrame:
@@ -59,7 +64,10 @@ def transform_stage(
     """
     written = []
     for job in jobs:
-        raw = read_table(spark, raw_root, job.family, job.table, job.schema)
+        if job.layout == "named":
+            raw = read_named_files(spark, raw_root, job.family, job.table, schema=job.schema, file_date=FILE_DATE)
+        else:
+            raw = read_table(spark, raw_root, job.family, job.table, job.schema)
         if FILE_DATE not in raw.columns:
             raw = raw.withColumn(FILE_DATE, F.lit(None).cast("date"))
         flat = transform_table(_since(raw, job), job.table, TRANSFORMED_AT_LANDING, on_error)

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from telemetry_lake.functions.names import quoted
 from telemetry_lake.functions.time import days_between
 from telemetry_lake.operators.numbering import batch_keys
+from telemetry_lake.sources.lake import table_path
 
 # The layout family/main_family/table[_date][_to_date][_index].parquet and the dates in a name.
-PATH_PATTERN = (
-    r"^([^/]+)/([^/]+)/(.+?)"
-    r"(?:_(\d{4}_\d{2}_\d{2}))?(?:_to_(\d{4}_\d{2}_\d{2}))?(?:_(\d+))?\.parquet$"
-)
+NAME_ENDING = r"(?:_(\d{4}_\d{2}_\d{2}))?(?:_to_(\d{4}_\d{2}_\d{2}))?(?:_(\d+))?\.parquet"
+PATH_PATTERN = rf"^([^/]+)/([^/]+)/(.+?){NAME_ENDING}$"
 PATH_PARTS = ("family", "main_family", "table_name", "start_date", "end_date", "index")
 MANIFEST_TYPE = (
     "struct<family: string, main_family: string, table_name: string, start_date: date, end_date: date, index: int>"
@@ -50,6 +50,32 @@ def manifest(df: DataFrame, path: str = "path") -> DataFrame:
     return cut.select(*[quoted(n) for n in df.columns], F.inline(row))
 
 
+def read_named_files(
+    spark: SparkSession,
+    root: str,
+    family: str | None,
+    folder: str,
+    table: str | None = None,
+    schema: T.StructType | str | None = None,
+    file_date: str = "file_date",
+) -> DataFrame:
+    """Rows of the files of one table in a folder of named files, with the first day of their name.
+
+    A folder may hold files of several tables (sub-tables stay with their parent); ``table`` names the one to
+    read, the folder's own if none. Table and day come from the file's path, so filters on them skip files
+    before they are opened.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true")
+    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
+    df = reader.parquet(table_path(root, family, folder))
+    # The first part of the path that ends like a file of the layout: the file, or the folder a job wrote as one.
+    pattern = rf"/([^/]+?){NAME_ENDING}(?:/|$)"
+    path = F.col("_metadata.file_path")
+    return df.filter(F.regexp_extract(path, pattern, 1) == F.lit(table or folder)).withColumn(
+        file_date, _day(F.regexp_extract(path, pattern, 2))
+    )
+
+
 def covered_days(df: DataFrame, path: str = "path", day: str = "day", keep_empty: bool = False) -> DataFrame:
     """One row per day a file covers: a single date covers itself, a range all days but its end,
     a name without date none. ``keep_empty`` keeps a dated file that covers no day, with null."""

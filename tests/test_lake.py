@@ -372,6 +372,21 @@ def test_land_transform_load_and_run_again(spark):
     }
 
 
+def test_named_files_outside_the_watermark_are_not_opened(spark):
+    root = scratch_path(spark, "named")
+    for name in ("t_2024_01_01", "t_2024_01_02", "t_2024_01_03_7", "t_sub_2024_01_03", "t"):
+        spark.range(2).coalesce(1).write.parquet(f"{root}/f/t/{name}.parquet")
+    df = manifest.read_named_files(spark, root, "f", "t", schema="id bigint")
+    assert df.count() == 8
+    later = lake.read_since(df, F.to_date(F.lit("2024-01-02")), F.col("file_date"))
+    assert sorted((r.file_date or DAY(1, 1, 1)) for r in later.collect()) == [
+        DAY(1, 1, 1), DAY(1, 1, 1), DAY(2024, 1, 2), DAY(2024, 1, 2), DAY(2024, 1, 3), DAY(2024, 1, 3),
+    ]
+    later._jdf.collectToPython()
+    scan = later._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().get("numFiles").get().value() == 3
+
+
 def test_fuel_report_takes_its_day_at_landing(spark):
     raw, flat = (scratch_path(spark, n) for n in ("raw", "flat"))
     body = '{"data": {"vehicleReports": [{"vehicle": {"id": "1", "name": "V", "externalIds": {"x.serial": "s"}}, "energyUsedKwh": 2}]}}'
