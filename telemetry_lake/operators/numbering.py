@@ -20,12 +20,17 @@ def number_rows(df: DataFrame, key: str, within: Sequence[str] = (), output: str
     cut every group, however large, into even buckets. Rows are ranked inside buckets; the bucket sizes, at
     most 4096 per group, give the offsets. No group is ever in one task. Null keys have no position.
     """
-    group = [quoted(n) for n in within]
     hashed = df.withColumn("__hash", F.md5(quoted(key).cast("string"))).withColumn(
         "__bucket", F.substring("__hash", 1, BUCKET_DIGITS)
     )
     # Stated here, for both uses alike, so that Spark computes the keys once and reuses the exchange.
     hashed = hashed.filter(F.col("__bucket").isNotNull())
+    group = []
+    if within:
+        # An object is equal to another with the same nulls inside, so null groups join without a null-safe
+        # condition, which would shuffle the ranked rows once more.
+        hashed = hashed.withColumn("__group", F.struct(*[quoted(n) for n in within]))
+        group = ["__group"]
     before = Window.partitionBy(*(group or [F.lit(0)])).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         hashed.groupBy(*group, "__bucket")
@@ -35,13 +40,7 @@ def number_rows(df: DataFrame, key: str, within: Sequence[str] = (), output: str
     )
     inside = Window.partitionBy(*group, "__bucket").orderBy("__hash", quoted(key).cast("string"))
     ranked = hashed.withColumn("__rank", F.row_number().over(inside))
-    renamed = offsets.select(
-        *[quoted(n).alias(f"__group_{n}") for n in within], F.col("__bucket").alias("__offset_bucket"), "__offset"
-    )
-    condition = F.col("__bucket") == F.col("__offset_bucket")
-    for name in within:
-        condition = condition & quoted(name).eqNullSafe(quoted(f"__group_{name}"))
-    return ranked.join(renamed, condition, "inner").select(
+    return ranked.join(offsets, [*group, "__bucket"], "inner").select(
         *[quoted(n) for n in df.columns], (F.col("__offset") + F.col("__rank") - 1).cast("bigint").alias(output)
     )
 

@@ -382,7 +382,6 @@ def test_named_files_outside_the_watermark_are_not_opened(spark):
     assert sorted((r.file_date or DAY(1, 1, 1)) for r in later.collect()) == [
         DAY(1, 1, 1), DAY(1, 1, 1), DAY(2024, 1, 2), DAY(2024, 1, 2), DAY(2024, 1, 3), DAY(2024, 1, 3),
     ]
-    later._jdf.collectToPython()
     scan = later._jdf.queryExecution().executedPlan().collectLeaves().head()
     assert scan.metrics().get("numFiles").get().value() == 3
 

@@ -197,7 +197,9 @@ def test_canonical_json_as_a_json_library_writes_it(spark):
 
 def test_positions_are_whole_with_a_hot_group(spark):
     """One group holds most keys: positions stay 0..n-1, every batch but the last is full."""
-    df = spark.range(5000).selectExpr("CASE WHEN id < 4000 THEN 'hot' ELSE concat('g', id DIV 100) END AS g", "id AS k")
+    df = spark.range(5000).selectExpr(
+        "CASE WHEN id < 4000 THEN 'hot' WHEN id < 4900 THEN concat('g', id DIV 100) END AS g", "id AS k"
+    )
     numbered = numbering.number_rows(df, "k", ["g"])
     checked = numbered.groupBy("g").agg(
         F.count("*").alias("n"), F.min("position").alias("lo"), F.max("position").alias("hi"), F.countDistinct("position").alias("d")
