@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,7 @@ from telemetry_lake.functions.names import quoted
 from telemetry_lake.functions.text import canonical_json
 from telemetry_lake.functions.time import parse_timestamp
 from telemetry_lake.operators.columns import zoneless_timestamps
+from telemetry_lake.plans.catalogue import MAIN_TABLE
 
 DAY_COLUMN = "load_day"
 
@@ -26,14 +27,11 @@ class LoadSpec:
     clustering_fields: Sequence[str] = ()
 
 
-def load_spec(catalogue: DataFrame, table: str, alias: Column | None = None) -> LoadSpec:
-    """Settings of a table (or of its main table), from the first catalogue row in name order."""
-    from telemetry_lake.plans.catalogue import main_table
-
-    wanted = main_table(F.lit(table)) if alias is None else alias
+def load_spec(catalogue: DataFrame, table: str) -> LoadSpec:
+    """Settings of a table, or of its main table, from the first catalogue row in endpoint order."""
     row = (
-        catalogue.filter(F.col("table_name") == wanted)
-        .orderBy("table_name", "endpoint")
+        catalogue.filter(F.col("table_name") == MAIN_TABLE.get(table, table))
+        .orderBy("endpoint")
         .select("download_type", "time_partitioning_field", "clustering_fields")
         .first()
     )
