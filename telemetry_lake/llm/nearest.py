@@ -31,7 +31,7 @@ class Index:
     hashes: int = 4
     width: float = 1.6
     distance: float = 1.08
-    mass: float = 0.75
+    mass: float = 0.85
     reach: int = 2
     seed: int = 17
     scale: float = 1.0
