@@ -9,7 +9,7 @@ from math import erf, sqrt
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemetry_lake.session import scratch_path
@@ -94,14 +94,9 @@ def _search(k: int, held: int):
     """Best ``k`` of each query over blocks, by exact products; at most ``held`` queries are kept before rows leave."""
 
     def rows(best: dict[int, tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
-        sizes = [len(v[0]) for v in best.values()]
-        return pd.DataFrame(
-            {
-                "query_id": np.repeat(np.fromiter(best, np.int64, len(best)), sizes),
-                "vec_id": np.concatenate([v[0] for v in best.values()]),
-                "score": np.concatenate([v[1] for v in best.values()]),
-            }
-        )
+        """One row a query, with what it found as (negative score, id)."""
+        found = [[(-s, i) for i, s in zip(ids.tolist(), scores.tolist())] for ids, scores in best.values()]
+        return pd.DataFrame({"query_id": list(best), "found": found})
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -206,16 +201,19 @@ def nearest(
     kept = vectors.mapInPandas(hashed, "table int, bucket bigint, vec_id bigint, vector binary")
     asked = queries.mapInPandas(probed, "table int, bucket bigint, query_id bigint, vector binary")
     blocks = _blocks(kept, "vec_id", "ids", "vectors", block)
-    result = "query_id bigint, vec_id bigint, score double"
+    result = "query_id bigint, found array<struct<away: double, vec_id: bigint>>"
 
     def met(probes: DataFrame) -> DataFrame:
         pairs = blocks.join(_blocks(probes, "query_id", "query_ids", "queries", block // 4), ["table", "bucket"])
         return pairs.mapInPandas(_search(k, held), result)
 
     def ranked(found: DataFrame) -> DataFrame:
-        best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-        single = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-        return single.withColumn("rank", best).filter(F.col("rank") <= k)
+        """A query has at most ``k`` candidates of every task; equal pairs have equal scores, so they merge."""
+        merged = found.groupBy("query_id").agg(F.flatten(F.collect_list("found")).alias("found"))
+        best = F.slice(F.array_sort(F.array_distinct("found")), 1, k)
+        return merged.select("query_id", F.posexplode(best).alias("at", "hit")).select(
+            "query_id", F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.away")).alias("score"), (F.col("at") + 1).alias("rank")
+        )
 
     path = scratch_path(spark, "nearest")
     ranked(met(asked)).write.parquet(path)
