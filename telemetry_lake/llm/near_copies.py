@@ -9,14 +9,14 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_lake.llm.words import GOLDEN, mix, runs, salted, unit, word_hashes, words
 from telemetry_lake.session import scratch_path
 
 # Edges of the regions of the plane (weight x rank) into which darts are thrown, for every element alike.
-RANK_EDGES = np.array([0, 2.0**-6, 2.0**-4, 2.0**-2, *(2.0**i for i in range(40))])
+RANK_EDGES = np.array([0, 2.0**-4, 2.0**-2, *(2.0**i for i in range(40))])
 WEIGHT_EDGES = np.array([0, *(2.0**i for i in range(40))])
 
 
@@ -131,18 +131,30 @@ def features(docs: DataFrame, like: Likeness) -> DataFrame:
     )
 
 
+def shared_runs(one: np.ndarray, other: np.ndarray) -> int:
+    both = np.concatenate([one, other])
+    both.sort()
+    return int((both[1:] == both[:-1]).sum())
+
+
+def alike(one: np.ndarray, other: np.ndarray, least: float) -> bool:
+    """Whether two texts' runs reach the similarity; texts without runs are like none."""
+    total = len(one) + len(other)
+    if not total or min(len(one), len(other)) < least * max(len(one), len(other)):
+        return False
+    shared = shared_runs(one, other)
+    return shared >= least * (total - shared)
+
+
 def similar(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Pairs (``a``, ``b``) whose texts are as similar as ``least``; ``texts`` has one row (``key``, ``runs``) a key."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            kept = []
-            for one, other in zip(batch["runs_a"], batch["runs_b"]):
-                x, y = np.frombuffer(one, "<u4"), np.frombuffer(other, "<u4")
-                both = np.concatenate([x, y])
-                both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                kept.append(bool(len(both)) and shared >= least * (len(both) - shared))
+            kept = [
+                alike(np.frombuffer(one, "<u4"), np.frombuffer(other, "<u4"), least)
+                for one, other in zip(batch["runs_a"], batch["runs_b"])
+            ]
             yield batch.loc[kept, ["a", "b"]]
 
     whole = pairs.join(texts.select(F.col("key").alias("a"), F.col("runs").alias("runs_a")), "a").join(
@@ -151,6 +163,48 @@ def similar(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return whole.select("a", "b", "runs_a", "runs_b").mapInPandas(check, "a binary, b binary")
 
 
+def _blocks(members: DataFrame, name: str, size: int) -> DataFrame:
+    """Members of a bucket packed in blocks of about ``size``, as many as a bucket needs."""
+    counts = members.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("_n"))
+    block = F.pmod(F.xxhash64("key"), F.ceil(F.col("_n") / size)).cast("int")
+    row = F.struct("key", "class", "stray", "bands", "runs")
+    return (
+        members.join(counts, ["band", "hash"])
+        .groupBy("band", "hash", block.alias("_block"))
+        .agg(F.collect_list(row).alias(name))
+        .drop("_block")
+    )
+
+
+def strays(members: DataFrame, like: Likeness, size: int = 128) -> DataFrame:
+    """Similar pairs of buckets that hold several classes: each stray against all keys of other classes.
+
+    ``members`` has ``band, hash, key, class, stray, bands, runs``. Blocks of strays meet blocks of members of their
+    bucket, and only similar pairs leave the task. A pair is looked at in the first band that its keys share.
+    """
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            kept = []
+            for band, lone, others in zip(batch["band"], batch["lone"], batch["others"]):
+                bands = np.array([list(o["bands"]) for o in others])
+                owners = np.array([o["class"] for o in others], object)
+                keys = np.array([o["key"] for o in others], object)
+                done = np.array([o["stray"] for o in others], bool)
+                runs_of = [np.frombuffer(o["runs"], "<u4") for o in others]
+                for one in lone:
+                    equal = bands == np.array(list(one["bands"]))
+                    fresh = (equal.argmax(axis=1) == band) & (owners != one["class"]) & (~done | (keys > one["key"]))
+                    own = np.frombuffer(one["runs"], "<u4")
+                    for i in np.flatnonzero(fresh):
+                        if alike(own, runs_of[i], like.least):
+                            kept.append((one["key"], keys[i]))
+            yield pd.DataFrame(kept, columns=["a", "b"])
+
+    met = _blocks(members.filter("stray"), "lone", size).join(_blocks(members, "others", size), ["band", "hash"])
+    return met.select("band", "lone", "others").mapInPandas(check, "a binary, b binary")
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """``key`` and ``class`` (the least key that it is linked to) of every key in ``edges`` (``a``, ``b``).
 
@@ -196,10 +250,10 @@ def classes(spark: SparkSession, docs: DataFrame, like: Likeness = Likeness()) -
     that id one is kept. Texts without words (null ones too) are equal to each other; rows without id are in classes
     as others are, and a class of such rows alone has a null id. Only ``doc_id`` and ``text`` are read.
 
-    Of a bucket (equal hashes of a band), the least key is held against all others first. Then, while a bucket holds
-    keys of several classes, members of its smaller classes are held against all keys of other classes, twice as many
-    in every round; a member that has been held against all leaves the bucket. So no pair of a bucket is left out but
-    those that are of one class already, and a large group of near copies takes a number of pairs like its size.
+    Of a bucket (equal hashes of a band), one key is held against all others first; four choices of it, by the band,
+    tie most of a large group with a number of pairs like its size. In a bucket that still holds several classes, all
+    members outside its largest class are then held against all keys of other classes. So every pair of a bucket is
+    looked at but those that are of one class already.
     """
     path = scratch_path(spark, "runs")
     features(docs, like).write.parquet(path)
@@ -212,43 +266,31 @@ def classes(spark: SparkSession, docs: DataFrame, like: Likeness = Likeness()) -
 
     keys = rows.select("key", "bands").groupBy("key").agg(F.first("bands").alias("bands"))
     banded = keys.select("key", F.posexplode("bands").alias("band", "hash"))
-    firsts = banded.groupBy("band", "hash").agg(F.min("key").alias("hub"), F.count(F.lit(1)).alias("n"))
-    shared = stored(
+    turn = F.struct(F.xxhash64(F.col("band") % 4, F.col("key")).alias("turn"), F.col("key").alias("key"))
+    firsts = banded.groupBy("band", "hash").agg(F.min(turn)["key"].alias("hub"), F.count(F.lit(1)).alias("n"))
+    bucket = stored(
         banded.join(firsts.filter("n > 1").drop("n"), ["band", "hash"]).select("band", "hash", "key", "hub"), "buckets"
     )
-    pairs = stored(shared.filter("key != hub").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct(), "pairs")
-    bucket = shared.filter("key != hub").select("band", "hash", "key")
-    needed = shared.select("key").distinct()
+    needed = bucket.select("key").distinct()
     texts = stored(
-        rows.select("key", "runs").join(needed, "key", "left_semi").groupBy("key").agg(F.first("runs").alias("runs")),
+        rows.join(needed, "key", "left_semi")
+        .groupBy("key")
+        .agg(F.first("runs").alias("runs"), F.first("bands").alias("bands")),
         "texts",
     )
-    edges = tried = None
-    hubs = 1
-    while True:
-        found = stored(similar(pairs, texts, like.least), "similar")
-        edges = found if edges is None else stored(edges.unionByName(found), "edges")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        grouped = stored(components(spark, edges), "classes")
-        named = bucket.join(grouped, "key", "left").withColumn("class", F.coalesce("class", "key"))
-        parts = named.groupBy("band", "hash", "class").agg(F.min("key").alias("hub"), F.count(F.lit(1)).alias("n"))
-        # In every bucket of several classes, one member of each of the smallest, the largest class left out.
-        sizes = Window.partitionBy("band", "hash").orderBy("n", "hub")
-        rank = F.row_number().over(sizes)
-        last = F.lead("hub").over(sizes).isNull()
-        asked = parts.select("*", rank.alias("_rank"), last.alias("_last")).filter(
-            ~F.col("_last") & (F.col("_rank") <= hubs)
-        )
-        asked = stored(asked.select("band", "hash", F.col("class").alias("own"), "hub"), "hubs")
-        if asked.isEmpty():
-            break
-        met = named.join(asked, ["band", "hash"]).filter(F.col("own") != F.col("class"))
-        new = met.select(F.least("hub", "key").alias("a"), F.greatest("hub", "key").alias("b")).distinct()
-        known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = stored(new.join(known, ["a", "b"], "left_anti"), "pairs")
-        left = bucket.join(asked.select("band", "hash", F.col("hub").alias("key")), ["band", "hash", "key"], "left_anti")
-        bucket = stored(left, "buckets")
-        hubs *= 2
+    pairs = bucket.filter("key != hub").select(F.least("hub", "key").alias("a"), F.greatest("hub", "key").alias("b"))
+    edges = stored(similar(pairs.distinct(), texts, like.least), "similar")
+    grouped = stored(components(spark, edges), "classes")
+    named = bucket.join(grouped, "key", "left").select("band", "hash", "key", F.coalesce("class", "key").alias("class"))
+    parts = named.groupBy("band", "hash", "class").agg(F.count(F.lit(1)).alias("n"))
+    mixed = parts.groupBy("band", "hash").agg(
+        F.max(F.struct("n", "class"))["class"].alias("largest"), F.count(F.lit(1)).alias("classes")
+    )
+    members = named.join(mixed.filter("classes > 1").drop("classes"), ["band", "hash"]).join(texts, "key")
+    members = members.withColumn("stray", F.col("class") != F.col("largest"))
+    found = stored(strays(members, like), "similar")
+    if not found.isEmpty():
+        grouped = stored(components(spark, edges.unionByName(found)), "classes")
 
     by_key = rows.groupBy("key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
     by_key = by_key.join(grouped, "key", "left").withColumn("class", F.coalesce("class", "key"))
