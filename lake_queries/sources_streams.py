@@ -8,6 +8,7 @@ from lake_queries import fixtures
 from lake_queries.fixtures import table
 from lake_queries.registry import query
 from telemetry_lake.plans.catalogue import catalogue
+from telemetry_lake.plans.jobs import TableJob, load_stage
 from telemetry_lake.plans.tables import split_only
 from telemetry_lake.session import scratch_path
 from telemetry_lake.sources import envelope, lake, manifest, warehouse
@@ -151,6 +152,61 @@ def warehouse_load(spark, sf_dir):
     return loaded.unionByName(kept, allowMissingColumns=True)
 
 
+LATE = """event_id, user_id AS vehicle_id, CASE WHEN event_id % 50 <> 0 THEN ts END AS time,
+    CAST(ts AS DATE) + CAST(CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS INT) AS file_date"""
+
+
+@query(
+    "load_late_rows",
+    f"SELECT *, CAST(time AS DATE) AS load_day FROM (SELECT {LATE} FROM events)",
+)
+def load_late_rows(spark, sf_dir):
+    """Through the load stage in two batches, the second twice: files hold readings of the day before and rows
+    without a time, and everything stays once."""
+    flat, house = scratch_path(spark, "flat"), scratch_path(spark, "house")
+    job = TableJob("safety", "fleet_safety_events")
+    events = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "user_id AS vehicle_id", "CASE WHEN event_id % 50 <> 0 THEN ts END AS time",
+        "date_add(CAST(ts AS DATE), CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END) AS file_date",
+    )
+    lake.write_partitioned(events, f"{lake.table_path(flat, job.family, job.table)}/{job.table}")
+    specs = {job.table: warehouse.LoadSpec("time", "time", ("vehicle_id",))}
+    load_stage(spark, flat, house, [job], specs, end="2024-01-12")
+    for _ in range(2):
+        load_stage(spark, flat, house, [job], specs, start="2024-01-12")
+    return spark.read.parquet(f"{house}/{job.table}")
+
+
+@query(
+    "load_twice_unpartitioned",
+    "SELECT event_id, user_id AS vehicle_id, CAST(ts AS DATE) AS file_date FROM events",
+)
+def load_twice_unpartitioned(spark, sf_dir):
+    """A table without partitioning field, loaded twice through the stage: the same rows."""
+    flat, house = scratch_path(spark, "flat"), scratch_path(spark, "house")
+    job = TableJob("alerts", "alerts_incidents")
+    events = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "user_id AS vehicle_id", "CAST(ts AS DATE) AS file_date"
+    )
+    lake.write_partitioned(events, f"{lake.table_path(flat, job.family, job.table)}/{job.table}")
+    for _ in range(2):
+        load_stage(spark, flat, house, [job], {})
+    return spark.read.parquet(f"{house}/{job.table}")
+
+
+@query("load_oneshot_snapshots", "SELECT s_suppkey, s_nationkey FROM supplier WHERE s_suppkey % 3 > 0")
+def load_oneshot_snapshots(spark, sf_dir):
+    """Two snapshots of a one-shot table, a day apart: the newest is the table, and what it lacks is gone."""
+    flat, house = scratch_path(spark, "flat"), scratch_path(spark, "house")
+    job = TableJob("vehicles", "fleet_vehicles", "oneshot")
+    folder = f"{lake.table_path(flat, job.family, job.table)}/{job.table}"
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    for day, kept in (("2024-01-01", "true"), ("2024-01-02", "s_suppkey % 3 > 0")):
+        lake.write_partitioned(suppliers.filter(kept).withColumn("file_date", F.to_date(F.lit(day))), folder)
+        load_stage(spark, flat, house, [job], {})
+    return spark.read.parquet(f"{house}/{job.table}")
+
+
 @query(
     "schema_evolution",
     """SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN l_shipdate >= TIMESTAMP '1998-01-01' THEN l_tax END AS l_tax,

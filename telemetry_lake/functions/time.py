@@ -33,8 +33,8 @@ STRFTIME_TO_JAVA = {
 # Microseconds per unit of an epoch count.
 MICROS_PER_UNIT = {"s": 1_000_000, "ms": 1_000, "us": 1}
 
-# A nanosecond clock held in 64 bits ends in 2262; later epochs count as bad values.
-LAST_MICRO = (2**63 - 1) // 1000
+# Spark's timestamps are microseconds held in 64 bits; epochs beyond them count as bad values.
+LAST_MICRO = 2**63 - 1
 
 
 def java_pattern(strftime: str) -> str:

@@ -40,17 +40,24 @@ def number_rows(df: DataFrame, key: str, within: Sequence[str] = (), output: str
     )
     inside = Window.partitionBy(*group, "__bucket").orderBy("__hash", quoted(key).cast("string"))
     ranked = hashed.withColumn("__rank", F.row_number().over(inside))
-    return ranked.join(offsets, [*group, "__bucket"], "inner").select(
-        *[quoted(n) for n in df.columns], (F.col("__offset") + F.col("__rank") - 1).cast("bigint").alias(output)
+    columns = [quoted(n) for n in df.columns]
+    found = ranked.join(offsets, [*group, "__bucket"], "inner").select(
+        *columns, (F.col("__offset") + F.col("__rank") - 1).cast("bigint").alias(output)
     )
+    keyless = df.filter(quoted(key).isNull())
+    return found.unionByName(keyless.select(*columns, F.lit(None).cast("bigint").alias(output)))
 
 
 def batch_keys(
     df: DataFrame, key: str, size: int, within: Sequence[str] = (), batch: str = "batch", output: str = "keys"
 ) -> DataFrame:
-    """Collect distinct keys of each group into lists of at most ``size``; every key is in exactly one list."""
+    """Collect distinct keys of each group into lists of at most ``size``; every key is in exactly one list.
+
+    Null keys are in none.
+    """
     group = [quoted(n) for n in within]
-    numbered = number_rows(df.select(*group, quoted(key)), key, within, "__position")
+    keyed = df.select(*group, quoted(key)).filter(quoted(key).isNotNull())
+    numbered = number_rows(keyed, key, within, "__position")
     return (
         numbered.withColumn(batch, F.expr(f"__position div {int(size)}"))
         .groupBy(*group, batch)

@@ -96,14 +96,34 @@ def load_stage(
     warehouse_root: str,
     jobs: Sequence[TableJob],
     specs: Mapping[str, LoadSpec],
-    replace_days: bool = False,
+    replace_days: bool = True,
+    start: str | None = None,
+    end: str | None = None,
 ) -> list[str]:
-    """Load flattened tables, one write per table; only files from the watermark day on are read."""
+    """Load flattened tables, one write per table; only files from the watermark day on are read.
+
+    ``start`` and ``end`` (days, both within) bound the files further. By default a load may be run again: the file
+    days that it reads replace themselves in the warehouse table, which keeps ``file_date`` as its first partition.
+    Rows that a file brings for an earlier day, or without a time, stay beside what other files brought. Of a
+    ``oneshot`` table the newest file day is the whole table. ``replace_days=False`` appends, without ``file_date``.
+    """
     loaded = []
     for job in jobs:
         folder = f"{table_path(flat_root, job.family, job.parent or job.table)}/{job.table}"
-        flat = _since(spark.read.option("mergeSchema", "true").parquet(folder), job).drop(FILE_DATE)
+        flat = _since(spark.read.option("mergeSchema", "true").parquet(folder), job)
+        day = F.col(FILE_DATE).cast("date")
+        if start is not None:
+            flat = flat.filter(day >= F.lit(start).cast("date"))
+        if end is not None:
+            flat = flat.filter(day <= F.lit(end).cast("date"))
+        spec = specs.get(job.table, LoadSpec(job.download_type))
         target = f"{warehouse_root.rstrip('/')}/{job.table}"
-        load_table(flat, target, specs.get(job.table, LoadSpec(job.download_type)), replace_days)
+        if spec.download_type == "oneshot":
+            newest = flat.agg(F.max(FILE_DATE)).first()[0]
+            flat = flat.filter(F.col(FILE_DATE).eqNullSafe(F.lit(newest)))
+        if spec.download_type == "oneshot" or not replace_days:
+            load_table(flat.drop(FILE_DATE), target, spec)
+        else:
+            load_table(flat, target, spec, batch_day=FILE_DATE)
         loaded.append(target)
     return loaded

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -39,7 +40,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) is a temporary folder made, once per context.
+    Only where the session names none and runs on one machine (master ``local``) is a temporary folder made, once
+    per context; elsewhere executors would not share it, so a session without the setting raises.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -47,6 +49,8 @@ def shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is None:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="telemetry-lake-"))
         current = context.getCheckpointDir()
     return current.rstrip("/")

@@ -81,32 +81,39 @@ def conform_types(df: DataFrame, time_column: str | None = None) -> DataFrame:
     return df.select(*columns)
 
 
-def load_table(df: DataFrame, path: str, spec: LoadSpec, replace_days: bool = False) -> None:
+def load_table(
+    df: DataFrame, path: str, spec: LoadSpec, replace_days: bool = False, batch_day: str | None = None
+) -> None:
     """Load one table in one write.
 
-    ``oneshot`` tables are overwritten, ``time`` tables appended. ``replace_days`` makes a load repeatable: the
-    days in the batch replace the same days of the table (the batch must then hold whole days). With a
-    partitioning field the table is laid out by day; clustering fields order the rows inside.
+    ``oneshot`` tables are overwritten, ``time`` tables appended. With a partitioning field the table is laid out by
+    its day; clustering fields order the rows inside. Two ways make a load repeatable. ``batch_day`` names a column
+    with the day of the file that a row came in: the table is laid out by it first, and the batch replaces its own
+    file days, so rows of other files stay, whatever day they tell of. ``replace_days`` replaces the days of the
+    partitioning field instead (the batch must then hold them whole) and raises for a table without one.
     """
     out = zoneless_timestamps(df)
     cluster = [n for n in spec.clustering_fields if n in out.columns]
     field = spec.time_partitioning_field
     by_day = field is not None and field in out.columns
+    oneshot = spec.download_type == "oneshot"
+    layout = [batch_day] if batch_day is not None and not oneshot else []
     if by_day:
         out = out.withColumn(DAY_COLUMN, quoted(field).cast("date"))
-        out = out.hint("rebalance", F.col(DAY_COLUMN)).sortWithinPartitions(
-            DAY_COLUMN, *[quoted(n) for n in cluster]
-        )
-    elif cluster:
-        out = out.hint("rebalance", *[quoted(n) for n in cluster]).sortWithinPartitions(*[quoted(n) for n in cluster])
-    if spec.download_type == "oneshot":
+        layout.append(DAY_COLUMN)
+    if replace_days and not layout and not oneshot:
+        raise ValueError("a table without partitioning field is replaced by its file days: give batch_day")
+    keys = [quoted(n) for n in layout or cluster]
+    if keys:
+        out = out.hint("rebalance", *keys).sortWithinPartitions(*[quoted(n) for n in [*layout, *cluster]])
+    if oneshot:
         writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    elif replace_days and by_day:
+    elif layout and (replace_days or batch_day is not None):
         writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
         writer = out.write.mode("append")
-    if by_day:
-        writer = writer.partitionBy(DAY_COLUMN)
+    if layout:
+        writer = writer.partitionBy(*layout)
     writer.parquet(path)
 
 

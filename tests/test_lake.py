@@ -360,7 +360,7 @@ def test_land_transform_load_and_run_again(spark):
     transform_stage(spark, raw, flat, [job])
     load_stage(spark, flat, house, [job], specs, replace_days=True)
     loaded = spark.read.parquet(f"{house}/{table}")
-    assert loaded.count() == 7 and set(loaded.columns) == {"vehicle_id", "parc_id", "time", "engineRpm", "load_day"}
+    assert loaded.count() == 7 and set(loaded.columns) == {"vehicle_id", "parc_id", "time", "engineRpm", "load_day", "file_date"}
     later = TableJob("vehicle_stats", table, watermark="2024-01-02")
     land_stage(pages(spark, "2024-01-02", 5), raw, job)
     transform_stage(spark, raw, flat, [later])
@@ -372,6 +372,16 @@ def test_land_transform_load_and_run_again(spark):
     }
 
 
+def test_loads_need_a_way_to_replace(spark):
+    df = spark.sql("SELECT 1 AS id, DATE'2024-01-01' AS file_date")
+    path = scratch_path(spark, "whole")
+    with pytest.raises(ValueError, match="batch_day"):
+        warehouse.load_table(df, path, warehouse.LoadSpec("time"), replace_days=True)
+    for _ in range(2):
+        warehouse.load_table(df, path, warehouse.LoadSpec("time"), batch_day="file_date")
+    assert spark.read.parquet(path).count() == 1
+
+
 def test_named_files_outside_the_watermark_are_not_opened(spark):
     root = scratch_path(spark, "named")
     for name in ("t_2024_01_01", "t_2024_01_02", "t_2024_01_03_7", "t_sub_2024_01_03", "t"):
