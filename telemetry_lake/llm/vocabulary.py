@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 
@@ -31,60 +31,62 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+class Recent(dict):
+    """Results of a function for the keys met of late: a full table becomes the old one, which is asked before making."""
+
+    def __init__(self, make: Callable[[str], bytes], limit: int):
+        super().__init__()
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.old.pop(key, None)
+        if found is None:
+            found = self.make(key)
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
 class Vocabulary:
     """A tokenizer file of the tokenizers library; ``encode`` gives ids without special tokens being added.
 
-    ``limit`` bounds the entries of each cache (a full one is emptied); it changes no result.
+    ``limit`` bounds the entries of each cache; it changes no result.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.limit = limit
         self.stand_in = byte_letters()
         self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         rule, changed = self.tokenizer.pre_tokenizer, self.tokenizer.normalizer
         self.lowers = isinstance(changed, normalizers.Sequence) and isinstance(rule, pre_tokenizers.Sequence)
         self.cuts = self.lowers or (changed is None and isinstance(rule, pre_tokenizers.ByteLevel))
-        self.chunks: dict[str, bytes] = {}
-        self.tokens: dict[str, bytes] = {}
+        self.tokens = Recent(self._token, 2 * limit)
+        self.chunks = Recent(self._cut if self.lowers else lambda chunk: self._cut(" " + chunk), limit)
 
     def _token(self, token: str) -> bytes:
-        found = self.tokens.get(token)
-        if found is None:
-            spelled = token.encode().decode("latin-1").translate(self.stand_in)
-            found = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
-            if len(self.tokens) >= self.limit:
-                self.tokens.clear()
-            self.tokens[token] = found
-        return found
+        spelled = token.encode().decode("latin-1").translate(self.stand_in)
+        return np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
 
     def _cut(self, text: str) -> bytes:
-        return b"".join(map(self._token, (LOWERED if self.lowers else WITH_SPACE).findall(text)))
-
-    def _chunk(self, chunk: str) -> bytes:
-        found = self.chunks.get(chunk)
-        if found is None:
-            found = self._cut(chunk if self.lowers else " " + chunk)
-            if len(self.chunks) >= self.limit:
-                self.chunks.clear()
-            self.chunks[chunk] = found
-        return found
+        return b"".join(map(self.tokens.__getitem__, (LOWERED if self.lowers else WITH_SPACE).findall(text)))
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of one text, unsigned 32-bit."""
         if not self.cuts or NOT_PLAIN.search(text) or any(m in text for m in self.marks):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
         if self.lowers:
-            found = b"".join(map(self._chunk, text.lower().split()))
+            found = b"".join(map(self.chunks.__getitem__, text.lower().split()))
         elif "  " in text or "\n " in text:
             found = self._cut(text)
         else:
             first, *rest = text.split(" ")
-            found = self._cut(first) + b"".join(map(self._chunk, rest))
+            found = self._cut(first) + b"".join(map(self.chunks.__getitem__, rest))
         return np.frombuffer(found, "<u4")
 
     def encode_all(self, texts: Sequence[str | None]) -> list[np.ndarray]:
