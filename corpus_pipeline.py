@@ -8,23 +8,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from telemetry_lake.llm import decontamination, near_copies, packing, toxicity
-from telemetry_lake.session import configure, scratch_path
+from telemetry_lake.llm.queries import ready
+from telemetry_lake.session import scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labelled ones among them, does not reject."""
-    labels = configure(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    labels = ready(spark).read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.without_toxic(docs, toxicity.train(docs, labels))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies."""
-    return near_copies.without_copies(configure(spark), docs)
+    return near_copies.without_copies(ready(spark), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    benchmark = configure(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
+    benchmark = ready(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.decontaminated(docs, benchmark)
 
 
@@ -33,7 +34,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    return packing.pack_documents(configure(spark), docs, tokenizer, end_id=0, capacity=2048)
+    return packing.pack_documents(ready(spark), docs, tokenizer, end_id=0, capacity=2048)
 
 
 STAGES = [
@@ -48,7 +49,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = ready(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -22,6 +22,12 @@ from telemetry_lake.llm import (
 from telemetry_lake.session import configure, scratch_path
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """The session with its settings, and Arrow batches that stay small where texts are long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return configure(spark)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -33,52 +39,52 @@ def _tokenizer(name: str) -> str:
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(configure(spark), sf_dir, "documents")
+    docs = _table(ready(spark), sf_dir, "documents")
     return packing.pack_documents(spark, docs, _tokenizer("word_bpe_49k.json"), end_id=0, capacity=2048)
 
 
 def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = nearest.usable(_table(configure(spark), sf_dir, "embeddings"), "vec_id", "embedding")
+    vectors = nearest.usable(_table(ready(spark), sf_dir, "embeddings"), "vec_id", "embedding")
     queries = vectors.filter(F.col("vec_id") % 20 == 0)
     return nearest.nearest(vectors, queries, 20, nearest.Index(dimension=64))
 
 
 def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(configure(spark), sf_dir, "documents")
+    docs = _table(ready(spark), sf_dir, "documents")
     return near_copies.classes(spark, docs).select("doc_id", "class_id", "class_size", "kept")
 
 
 def op4_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shards.shard_slots(_table(configure(spark), sf_dir, "documents"), 24)
+    return shards.shard_slots(_table(ready(spark), sf_dir, "documents"), 24)
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(configure(spark), sf_dir, "documents")
+    docs = _table(ready(spark), sf_dir, "documents")
     return token_counts.count_tokens(docs, _tokenizer("piece_bpe_32k.model"), limit=4096)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = _table(configure(spark), sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    docs, labels = _table(ready(spark), sf_dir, "documents"), _table(spark, sf_dir, "labels")
     return toxicity.score_documents(docs, toxicity.train(docs, labels))
 
 
 def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _table(configure(spark), sf_dir, "pages")
+    pages = _table(ready(spark), sf_dir, "pages")
     return main_text.extract(pages, main_text.train(pages))
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, benchmark = _table(configure(spark), sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    docs, benchmark = _table(ready(spark), sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontamination.overlaps(docs, benchmark)
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _table(configure(spark), sf_dir, "pages")
+    pages = _table(ready(spark), sf_dir, "pages")
     return url_filter.judge(pages, block=["net/", "example.com/de/"], allow=["example.net/en/", "org/fr/"])
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(configure(spark), sf_dir, "documents")
+    docs = _table(ready(spark), sf_dir, "documents")
     path = scratch_path(spark, "token_files")
     return token_files.read_digests(token_files.write_token_files(docs, path, _tokenizer("byte_bpe_50k.json"), end_id=2))
 

@@ -14,7 +14,7 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 class _Hashes(dict):
     """Hash of each word met; emptied when full, which changes no hash."""
 
-    limit = 400_000
+    limit = 150_000
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.limit:
