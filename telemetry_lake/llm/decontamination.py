@@ -102,8 +102,8 @@ class Passages:
         covered = np.zeros(len(equal), bool)
         for start in fine:
             covered[start : start + span] = True
-        inside = np.flatnonzero(covered)
-        return int(inside[0]) + first + shift, len(inside), int(equal[covered].sum())
+        inside = np.flatnonzero(covered & equal)
+        return int(inside[0]) + first + shift, int(inside[-1] - inside[0]) + 1, len(inside)
 
     def search(self, docs: Sequence[np.ndarray]) -> Iterator[tuple[int, int, int, int, int]]:
         """Document, item, start, length and equal words: the longest passage of each item in each document."""

@@ -62,7 +62,7 @@ class Field:
         return [s == 1 for s in reversed(states)]
 
 
-def fit(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 150, rate: float = 0.1, decay: float = 1e-3) -> Field:
+def fit(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 150, rate: float = 0.1, decay: float = 1e-4) -> Field:
     """Maximum likelihood with weight decay, by gradients from the forward and backward sums of all pages at once."""
     names = sorted({f for seen, _ in pages for block in seen for f in block})
     index = {f: i for i, f in enumerate(names)}
@@ -177,7 +177,7 @@ def drawn(texts: Sequence[str], random: np.random.Generator) -> tuple[list[list[
     for _ in range(int(random.integers(1, 9))):
         shape = PARAGRAPHS[0] if random.random() < 0.6 else PARAGRAPHS[int(random.integers(len(PARAGRAPHS)))]
         body.append(shape.format(f"{mark} {pick() if random.random() < 0.8 else short()}"))
-        if random.random() < 0.15:
+        if random.random() < 0.3:
             body.append(aside())
     if random.random() < 0.3:
         body.append(aside())
@@ -194,7 +194,7 @@ def drawn(texts: Sequence[str], random: np.random.Generator) -> tuple[list[list[
     return [block_features(b) for b in found], truth
 
 
-def train(pages: DataFrame, sample: int = 200, layouts: int = 600, page_chars: int = 100_000, seed: int = 5) -> Field | None:
+def train(pages: DataFrame, sample: int = 200, layouts: int = 1000, page_chars: int = 100_000, seed: int = 5) -> Field | None:
     """A field from about ``sample`` of the pages (all, if there are fewer), picked by a hash of their content.
 
     Pages with an article are labelled by their elements. Their blocks are also laid out anew in ``layouts`` drawn

@@ -114,7 +114,7 @@ def blocks(page: str | None) -> list[Block]:
                         break
         elif name in ("br", "wbr", "img"):
             add(" " if name == "br" else "")
-        if name in VOID or match[3].endswith("/") and name not in RAW:
+        if name in VOID:  # a closing slash in other start tags has no meaning
             continue
         more = tuple(
             x for m in NAMES.finditer(match[3]) for x in PARTS.findall((m[1] or m[2] or m[3] or "").lower())
