@@ -173,13 +173,22 @@ def frames(manifest: DataFrame) -> DataFrame:
 
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.withColumn("before", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
-    return placed.select("file", "before").repartition("file").mapInPandas(
+    parts = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return placed.select("file", "before").repartition(parts, "file").mapInPandas(
         tables, 
         "file string, at bigint, size bigint, crc32 bigint, first bigint, low bigint, high bigint, id_bytes int",
     
     )
 
 
+def spread(table: DataFrame, manifest: DataFrame, task_bytes: int = 64 << 20) -> DataFrame:
+    """Frames dealt to so many tasks that each decodes about ``task_bytes``: their rows are small, their content is not,
+    so a number of partitions is stated, which Spark does not merge."""
+    total = manifest.agg(F.sum(F.col("n_ids") * F.col("id_bytes"))).first()[0] or 0
+    least = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return table.repartition(max(least, total // task_bytes), "file", "at")
+
+
 def read_digests(manifest: DataFrame) -> DataFrame:
     """``doc_id``, ``start``, ``n_tokens`` and ``ids_crc32`` of every document, from the files."""
 
@@ -196,8 +205,7 @@ def read_digests(manifest: DataFrame) -> DataFrame:
                 out["doc_id"] = out["doc_id"].astype("Int64")
                 yield out
 
-    spread = frames(manifest).repartition("file", "at")
-    return spread.mapInPandas(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return spread(frames(manifest), manifest).mapInPandas(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def read_documents(manifest: DataFrame, doc_ids: Sequence[int]) -> DataFrame:
@@ -219,5 +227,5 @@ def read_documents(manifest: DataFrame, doc_ids: Sequence[int]) -> DataFrame:
                 yield pd.DataFrame(rows, columns=["doc_id", "ids"])
 
     table = frames(manifest)
-    picked = table.mapInPandas(holding, table.schema).repartition("file", "at")
+    picked = spread(table.mapInPandas(holding, table.schema), manifest)
     return picked.mapInPandas(read, "doc_id bigint, ids array<bigint>")
