@@ -290,7 +290,9 @@ def classes(spark: SparkSession, docs: DataFrame, like: Likeness = Likeness()) -
     members = members.withColumn("stray", F.col("class") != F.col("largest"))
     found = stored(strays(members, like), "similar")
     if not found.isEmpty():
-        grouped = stored(components(spark, edges.unionByName(found)), "classes")
+        # Classes so far are as good as the pairs that made them, and every key is one step from its class's least.
+        ties = grouped.filter("key != class").select(F.col("key").alias("a"), F.col("class").alias("b"))
+        grouped = stored(components(spark, ties.unionByName(found)), "classes")
 
     by_key = rows.groupBy("key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
     by_key = by_key.join(grouped, "key", "left").withColumn("class", F.coalesce("class", "key"))
