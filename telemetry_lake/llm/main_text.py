@@ -205,7 +205,10 @@ def train(pages: DataFrame, sample: int = 200, layouts: int = 1000, page_chars:
         "_h", F.xxhash64("html")
     )
     # One row per content, so that many copies of a page are not the whole sample; the limit is on training alone.
-    chosen = [r[0] for r in known.groupBy("_h").agg(F.first("html").alias("html")).orderBy("_h").limit(sample).select("html").collect()]
+    # Only hashes of all pages are shuffled; whole pages are those of the sample.
+    hashes = [r[0] for r in known.select("_h").distinct().orderBy("_h").limit(sample).collect()]
+    picked = known.filter(F.col("_h").isin(hashes)).groupBy("_h").agg(F.first("html").alias("html"))
+    chosen = [r["html"] for r in picked.orderBy("_h").collect()]
     rows = [found for page in chosen if (found := labelled(page)) and found[0]]
     texts = [b.text for page in chosen for b in blocks(page)]
     if not texts:
