@@ -47,54 +47,85 @@ def _poisson(mean: float) -> np.ndarray:
     return np.cumsum(np.exp(logs))
 
 
-def darts(elements: np.ndarray, weights: np.ndarray, most_rank: float) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and rank of the darts that hit the elements: under an element's weight, of rank below ``most_rank``.
+def darts(
+    elements: np.ndarray, weights: np.ndarray, most_rank: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and rank of the darts that hit, and which element each hits: under its weight, of rank below ``most_rank``.
 
     Darts fall on the plane of every element evenly, one per unit of area on average, and are fixed by the element's
     hash; a larger weight or rank only adds darts.
     """
-    hashes, ranks = [np.empty(0, np.uint64)], [np.empty(0)]
-    for r in range(int(np.searchsorted(RANK_EDGES, most_rank))):
+    hashes, ranks, hits = [np.empty(0, np.uint64)], [np.empty(0)], [np.empty(0, np.int64)]
+    for r in range(int(np.searchsorted(RANK_EDGES, most_rank.max(initial=0)))):
         low, high = RANK_EDGES[r], RANK_EDGES[r + 1]
+        heavy = np.flatnonzero(most_rank > low)
         for w in range(len(WEIGHT_EDGES) - 1):
             floor, ceiling = WEIGHT_EDGES[w], WEIGHT_EDGES[w + 1]
-            heavy = slice(None) if w == 0 else weights > floor
-            own = elements[heavy]
-            if not len(own):
+            if w:
+                heavy = heavy[weights[heavy] > floor]
+            if not len(heavy):
                 break
-            seeds = salted(own, 64 * r + w + 1)
+            seeds = salted(elements[heavy], 64 * r + w + 1)
             thrown = np.searchsorted(_poisson((high - low) * (ceiling - floor)), unit(seeds), "right")
             total = int(thrown.sum())
             if not total:
                 continue
             turn = np.arange(total) - np.repeat(np.cumsum(thrown) - thrown, thrown)
             dart = mix(np.repeat(seeds, thrown) + (turn.astype(np.uint64) + np.uint64(1)) * GOLDEN)
+            whose = np.repeat(heavy, thrown)
             rank = low + (high - low) * unit(mix(dart ^ np.uint64(0xA5A5)))
-            hit = rank < most_rank
-            if weights.max(initial=0) != 1 or w:
+            hit = rank < most_rank[whose]
+            if w or weights.min() < 1:  # whole weights reach above the first region
                 place = floor + (ceiling - floor) * unit(mix(dart ^ np.uint64(0x5A5A)))
-                hit &= place < np.repeat(weights[heavy], thrown)
+                hit &= place < weights[whose]
             hashes.append(dart[hit])
             ranks.append(rank[hit])
-    return np.concatenate(hashes), np.concatenate(ranks)
+            hits.append(whose[hit])
+    return np.concatenate(hashes), np.concatenate(ranks), np.concatenate(hits)
 
 
-def signature(elements: np.ndarray, weights: np.ndarray, coordinates: int) -> np.ndarray:
-    """The earliest dart (that of least rank) of every coordinate; empty sets have none."""
-    if not len(elements):
-        return np.empty(0, np.uint64)
+def signatures(sets: list[tuple[np.ndarray, np.ndarray]], coordinates: int) -> np.ndarray:
+    """The earliest dart (that of least rank) of every coordinate, one row per set of elements and their weights.
+
+    No set may be empty. The sets are thrown together, since most are far smaller than what an array call costs.
+    """
+    out = np.zeros((len(sets), coordinates), np.uint64)
+    todo = np.arange(len(sets))
     # So many darts leave a coordinate empty in about one text of eight, which then throws twice as many.
-    rank = coordinates * (np.log(coordinates) + 2) / weights.sum()
-    while True:
-        hashes, ranks = darts(elements, weights, rank)
-        place = (mix(hashes ^ np.uint64(0xC3C3)) % np.uint64(coordinates)).astype(np.int64)
-        order = np.argsort(-ranks, kind="stable")
-        out, filled = np.zeros(coordinates, np.uint64), np.zeros(coordinates, bool)
-        out[place[order]] = hashes[order]
-        filled[place] = True
-        if filled.all():
-            return out
-        rank *= 2
+    rank = np.array([coordinates * (np.log(coordinates) + 2) / counts.sum() for _, counts in sets])
+    while len(todo):
+        sizes = [len(sets[i][0]) for i in todo]
+        elements = np.concatenate([sets[i][0] for i in todo])
+        weights = np.concatenate([sets[i][1] for i in todo])
+        hashes, ranks, hits = darts(elements, weights, np.repeat(rank[todo], sizes))
+        owner = np.repeat(np.arange(len(todo)), sizes)[hits]
+        place = owner * coordinates + (mix(hashes ^ np.uint64(0xC3C3)) % np.uint64(coordinates)).astype(np.int64)
+        least = np.full(len(todo) * coordinates, np.inf)
+        np.minimum.at(least, place, ranks)
+        earliest = ranks == least[place]
+        drawn = np.zeros(len(least), np.uint64)
+        drawn[place[earliest]] = hashes[earliest]
+        out[todo] = drawn.reshape(-1, coordinates)
+        todo = todo[np.isinf(least.reshape(-1, coordinates)).any(axis=1)]
+        rank[todo] *= 2
+    return out
+
+
+def signature(elements: np.ndarray, weights: np.ndarray, coordinates: int) -> np.ndarray:
+    """Signature of one set; an empty one has none."""
+    return next(_thrown([(elements, weights)], coordinates))
+
+
+def _thrown(sets: list[tuple[np.ndarray, np.ndarray]], coordinates: int, together: int = 16_384) -> Iterator[np.ndarray]:
+    """Signature of every set in order, empty for an empty set; about ``together`` elements are thrown at once."""
+    start = size = 0
+    for end in range(1, len(sets) + 1):
+        size += len(sets[end - 1][0])
+        if size >= together or end == len(sets):
+            part = sets[start:end]
+            rows = iter(signatures([s for s in part if len(s[0])], coordinates))
+            yield from (next(rows) if len(s[0]) else np.empty(0, np.uint64) for s in part)
+            start, size = end, 0
 
 
 def text_runs(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,16 +145,19 @@ def features(docs: DataFrame, like: Likeness) -> DataFrame:
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         factors = mix(np.arange(1, like.rows + 1, dtype=np.uint64) * GOLDEN) | np.uint64(1)
         for batch in batches:
-            keys, bands, members = [], [], []
+            keys, sets, members = [], [], []
             for text in batch["text"]:
                 found = words(text)
                 kinds, counts = text_runs(word_hashes(found), like.width)
                 keys.append(xxhash.xxh3_128_digest(" ".join(found)))
-                signs = signature(kinds, counts.astype(float), like.coordinates)
-                bands.append(mix((signs.reshape(-1, like.rows) * factors).sum(axis=1)).astype(np.int64))
+                sets.append((kinds, counts))
                 nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
                 each = mix(np.repeat(kinds, counts) + nth.astype(np.uint64) * GOLDEN)
                 members.append(np.sort((each >> np.uint64(32)).astype("<u4")).tobytes())
+            bands = [
+                mix((signs.reshape(-1, like.rows) * factors).sum(axis=1)).astype(np.int64)
+                for signs in _thrown(sets, like.coordinates)
+            ]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "key": keys, "bands": bands, "runs": members})
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInPandas(
