@@ -10,7 +10,7 @@ from telemetry_lake.functions import text, time
 from telemetry_lake.operators import columns, numbering, rows
 from telemetry_lake.plans.requests import slice_windows
 from telemetry_lake.plans.steps import run_steps
-from telemetry_lake.plans.tables import DEFAULT
+from telemetry_lake.plans.tables import default_steps
 
 
 # --- projections and casts -------------------------------------------------------------------------------------
@@ -138,7 +138,7 @@ def project_list(spark, sf_dir):
 @query(
     "default_block",
     """SELECT DISTINCT CAST(user_id AS VARCHAR) AS vehicle_id, 'V' || user_id AS parc_id,
-    CASE WHEN event_type <> 'view' THEN date_trunc('hour', ts) END AS time FROM events""",
+    event_type AS "externalIds_erp_vin", CASE WHEN event_type <> 'view' THEN date_trunc('hour', ts) END AS time FROM events""",
 )
 def default_block(spark, sf_dir):
     df = table(spark, sf_dir, "events").selectExpr(
@@ -148,9 +148,10 @@ def default_block(spark, sf_dir):
         "props AS externalIds_fleet_vin",
         "props AS vehicle_externalIds_fleet_serial",
         "props AS vehicle_externalIds_fleet_vin",
+        "event_type AS externalIds_erp_vin",
         f"CASE WHEN event_type = 'view' THEN '' ELSE {iso('date_trunc(\"hour\", ts)')} END AS time",
     )
-    return run_steps(df, DEFAULT)
+    return run_steps(df, default_steps("fleet"))
 
 
 @query(
@@ -280,10 +281,15 @@ def distinct_nested(spark, sf_dir):
     return typed.select(*[text.serialize_nested(f.name, f.dataType) for f in typed.schema.fields])
 
 
-@query("distinct_serialized", "SELECT DISTINCT l_returnflag, '{\"flag\": \"' || l_linestatus || '\", \"line\": ' || l_linenumber || '}' AS obj FROM lineitem")
+@query(
+    "distinct_serialized",
+    """SELECT DISTINCT l_returnflag, '{"big": ' || (l_linenumber * 10000000) || '.0, "flag": "' || l_linestatus || '", "line": '
+    || l_linenumber || ', "small": ' || l_linenumber || 'e-05}' AS obj FROM lineitem""",
+)
 def distinct_serialized(spark, sf_dir):
     df = table(spark, sf_dir, "lineitem").selectExpr(
-        "l_returnflag", "named_struct('line', l_linenumber, 'flag', l_linestatus) AS obj"
+        "l_returnflag",
+        "named_struct('line', l_linenumber, 'flag', l_linestatus, 'big', l_linenumber * 1e7D, 'small', l_linenumber / 1e5D) AS obj",
     )
     return rows.distinct_nested(df, serialize=True)
 

@@ -113,15 +113,17 @@ def explode_coerced(spark, sf_dir):
     """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'null' ELSE
     '{"codes": [' || o_custkey || ', ' || o_orderkey || '], "place": {"by.name": "' || o_orderpriority || '", "row": '
     || o_custkey || '}, "status": "' || o_orderstatus || '"}' END AS obj,
-    '"d\\u00e9j\\u00e0 \\"' || o_orderstatus || '\\""' AS txt FROM orders""",
+    '"d\\u00e9j\\u00e0 \\"' || o_orderstatus || '\\""' AS txt,
+    CASE o_orderkey % 5 WHEN 0 THEN '1e-05' WHEN 1 THEN '0.0005' WHEN 2 THEN '1e+16' WHEN 3 THEN '1.5e+22'
+      ELSE (o_orderkey * 10000000) || '.0' END AS num FROM orders""",
 )
 def canonical(spark, sf_dir):
     df = order_objects(spark, sf_dir).withColumn(
         "txt", F.concat(F.lit('déjà "'), F.coalesce("obj.status", F.lit("P")), F.lit('"'))
-    )
+    ).withColumn("num", F.expr("CASE o_orderkey % 5 WHEN 0 THEN 1e-5D WHEN 1 THEN 5e-4D WHEN 2 THEN 1e16D WHEN 3 THEN 1.5e22D ELSE o_orderkey * 1e7D END"))
     return df.select(
         "o_orderkey",
-        *[canonical_json(F.col(n), df.schema[n].dataType).alias(n) for n in ("obj", "txt")],
+        *[canonical_json(F.col(n), df.schema[n].dataType).alias(n) for n in ("obj", "txt", "num")],
     )
 
 
@@ -360,16 +362,16 @@ for _feed, _name in REEFER_QUERIES.items():
     query(_name, reefer_sql(_feed))(lambda spark, sf_dir, feed=_feed: reefer_sub(spark, sf_dir, feed))
 
 
-@query(
-    "reefer_alarms",
-    """SELECT "assetType", asset_id, asset_name, seen AS "reeferAlarmsChangedAt", code AS "alarm_alarmCode", severity AS alarm_severity
+REEFER_ALARMS = """SELECT "assetType", asset_id, asset_name, seen AS "reeferAlarmsChangedAt", code AS "alarm_alarmCode", severity AS alarm_severity
     FROM (SELECT *, row_number() OVER (PARTITION BY asset_id, seen ORDER BY "assetType", asset_name, code, severity) AS n FROM (
       SELECT o_orderpriority AS "assetType", CAST(o_custkey AS VARCHAR) AS asset_id, 'R' || o_custkey AS asset_name,
         date_trunc('month', o_orderdate) AS seen, code, o_orderkey AS severity
       FROM (SELECT *, CASE WHEN o_orderpriority = '1-URGENT' THEN 'A1' ELSE o_orderstatus END AS code FROM orders
         UNION ALL SELECT *, 'A2' FROM orders WHERE o_orderpriority = '1-URGENT')
-      WHERE o_orderstatus <> 'F' AND o_orderpriority <> '5-LOW')) WHERE n = 1""",
-)
+      WHERE o_orderstatus <> 'F' AND o_orderpriority <> '5-LOW')) WHERE n = 1"""
+
+
+@query("reefer_alarms", REEFER_ALARMS)
 def reefer_alarms(spark, sf_dir):
     return reefer_sub(spark, sf_dir, "reeferAlarms")
 

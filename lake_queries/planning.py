@@ -359,7 +359,7 @@ def select_tables(spark, sf_dir):
 
 # --- request planning --------------------------------------------------------------------------------------------
 
-PLAN = f"""SELECT 'readings_u' || o_custkey AS table_name, c.family,
+PLAN = f"""SELECT DISTINCT 'readings_u' || o_custkey AS table_name, c.family,
     coalesce(c.download_type, s.download_type, 'time') AS download_type,
     coalesce(CASE WHEN s.download_type = 'time' THEN last_download_time END, DATE '2024-01-28') AS last_download_time,
     DATE '2024-02-01' AS end_date

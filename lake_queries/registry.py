@@ -8,6 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from telemetry_lake.operators.columns import zoneless_timestamps
+from telemetry_lake.plans.tables import EXTERNAL_SYSTEM
 from telemetry_lake.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,7 +26,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
         @wraps(function)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return zoneless_timestamps(function(configure(spark), sf_dir))
+            configure(spark).conf.set(EXTERNAL_SYSTEM, "fleet")
+            return zoneless_timestamps(function(spark, sf_dir))
 
         QUERIES[name] = run
         if sql is not None:

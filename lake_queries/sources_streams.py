@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from lake_queries import fixtures
 from lake_queries.fixtures import table
+from lake_queries.nested_tables import READINGS, REEFER_ALARMS, REEFERS, reefer_sql
 from lake_queries.registry import query
 from telemetry_lake.plans.catalogue import catalogue
 from telemetry_lake.plans.jobs import TableJob, load_stage
-from telemetry_lake.plans.tables import split_only
 from telemetry_lake.session import scratch_path
 from telemetry_lake.sources import envelope, lake, manifest, warehouse
 from telemetry_lake.streaming import incremental
@@ -289,21 +289,45 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(target)
 
 
-@query(
-    "stream_split",
-    """SELECT 'ReeferStats_engineHours' AS part, count(*) AS n, count(CASE WHEN o_orderstatus <> 'F' THEN 1 END) AS with_list
-    FROM orders UNION ALL SELECT 'ReeferStats_powerStatus', count(*), count(CASE WHEN o_orderstatus <> 'F' THEN 1 END) FROM orders""",
+@query("stream_late", "SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day FROM events")
+def stream_late(spark, sf_dir):
+    """The later half of the events, then the earlier half, then all of them again: none is lost or kept twice."""
+    source, target, checkpoint = (scratch_path(spark, n) for n in ("landing", "distinct", "progress"))
+    events = table(spark, sf_dir, "events").selectExpr("event_id", "user_id", "event_type", "cast(ts AS date) AS day")
+    for part in ("day >= DATE'2024-01-16'", "day < DATE'2024-01-16' OR day IS NULL", "true"):
+        events.filter(part).write.mode("append").parquet(source)
+        stream = incremental.read_stream(spark, source, events.schema)
+        incremental.ingest_distinct(stream, ["event_id"], "day", target, checkpoint)
+    return spark.read.schema(events.schema).parquet(target).select(*events.columns)
+
+
+SPLIT_VALUES = " UNION ALL ".join(
+    [
+        f"""SELECT '{feed}' AS part, asset_id, "{feed}ChangedAt" AS seen, CAST("{output}" AS VARCHAR) AS value
+        FROM ({reefer_sql(feed)})"""
+        for feed, (_, output, _) in READINGS.items()
+    ]
+    + [
+        f"""SELECT 'reeferAlarms', asset_id, "reeferAlarmsChangedAt", "alarm_alarmCode" || '/' || alarm_severity
+        FROM ({REEFER_ALARMS})"""
+    ]
 )
+
+
+@query("stream_split", SPLIT_VALUES)
 def stream_split(spark, sf_dir):
-    """Raw refrigeration records written to their sub-tables batch by batch."""
+    """Raw refrigeration records through the declared steps to their eight sub-tables, as a stream."""
     source, target, checkpoint = (scratch_path(spark, n) for n in ("landing", "split", "progress"))
     raw = fixtures.reefers(spark, sf_dir)
     raw.write.parquet(source)
-    stream = incremental.read_stream(spark, source, raw.schema)
-    incremental.write_tables(stream, lambda batch: split_only(batch, "fleet_assets_reefers"), target, checkpoint)
+    incremental.split_stream(incremental.read_stream(spark, source, raw.schema), REEFERS, target, checkpoint)
     out = None
-    for name in ("ReeferStats_engineHours", "ReeferStats_powerStatus"):
-        part = spark.read.parquet(f"{target}/{name}")
-        counted = part.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n"), F.count(name).alias("with_list"))
-        out = counted if out is None else out.union(counted)
+    for feed in (*READINGS, "reeferAlarms"):
+        value = F.concat_ws("/", "alarm_alarmCode", "alarm_severity") if feed == "reeferAlarms" else F.col(READINGS[feed][1])
+        if feed != "reeferAlarms" and READINGS[feed][2] == "BIGINT":
+            value = value.cast("bigint")
+        part = spark.read.parquet(f"{target}/ReeferStats_{feed}").select(
+            F.lit(feed).alias("part"), "asset_id", F.col(f"{feed}ChangedAt").alias("seen"), value.cast("string").alias("value")
+        )
+        out = part if out is None else out.union(part)
     return out

@@ -10,6 +10,17 @@ from pyspark.sql import types as T
 
 from telemetry_lake.functions.names import quoted
 
+# The UTF-16 units that JSON escapes with a letter or themselves.
+SHORT_ESCAPES = (
+    ("0008", "\\b"),
+    ("0009", "\\t"),
+    ("000A", "\\n"),
+    ("000C", "\\f"),
+    ("000D", "\\r"),
+    ("0022", '\\"'),
+    ("005C", "\\\\"),
+)
+
 # A comma ends a parameter only if a key and "=" follow before the next comma.
 PARAM_BOUNDARY = ",(?=[^,=]*=)"
 PARAM_KEY = "(?:^|,)([^,=]*)="
@@ -90,20 +101,51 @@ def table_folder(family: Column, table: Column) -> Column:
 
 
 def _json_string(value: Column) -> Column:
-    """JSON string literal in ASCII: the JVM writer escapes controls and quotes, the rest becomes \\uXXXX."""
-    body = F.substr(F.to_json(F.struct(value.alias("v"))), F.lit(6))
-    escaped = F.substr(body, F.lit(1), F.length(body) - 1)
-    units = F.regexp_extract_all(F.hex(F.encode(escaped, "UTF-16BE")), F.lit("(.{4})"), F.lit(1))
-    ascii_only = F.array_join(
-        F.transform(
-            units,
-            lambda unit: F.when(unit < "0080", F.decode(F.unhex(unit), "UTF-16BE")).otherwise(
-                F.concat(F.lit("\\u"), F.lower(unit))
-            ),
-        ),
-        "",
+    """JSON string literal in ASCII. The JVM writer escapes quotes and usual controls; texts with other characters,
+    and with the controls whose number it writes in capitals, are escaped by their UTF-16 units."""
+    units = F.regexp_extract_all(F.hex(F.encode(value, "UTF-16BE")), F.lit("(.{4})"), F.lit(1))
+
+    def escaped(unit: Column) -> Column:
+        short = F.try_element_at(F.create_map(*[F.lit(x) for pair in SHORT_ESCAPES for x in pair]), unit)
+        plain = F.decode(F.unhex(unit), "UTF-16BE")
+        numbered = F.concat(F.lit("\\u"), F.lower(unit))
+        return F.when((unit < "0020") | (unit > "007E") | unit.isin("0022", "005C"), F.coalesce(short, numbered)).otherwise(plain)
+
+    by_unit = F.concat(F.lit('"'), F.array_join(F.transform(units, escaped), ""), F.lit('"'))
+    return F.when(value.rlike("[^\\x00-\\x7E]|[\\x0B\\x0E\\x0F\\x1A-\\x1F]"), by_unit).otherwise(
+        F.btrim(F.to_json(F.array(value)), F.lit("[]"))
+    )
+
+
+def _json_double(value: Column) -> Column:
+    """Number with the fewest digits that give it back: plain from 0.0001 up to 10 ** 16, else with an exponent of two
+    digits or more. Spark's own text has an exponent outside 0.001 to 10 ** 7, and there up to two digits too many."""
+    text, size = value.cast("string"), F.abs(value)
+    digits = F.rtrim(F.trim(text.cast("decimal(38,21)").cast("string")), F.lit("0"))
+    plain = F.concat(digits, F.when(digits.endswith("."), "0").otherwise(""))
+    power = F.substring_index(text, "E", -1)
+    size_of_power = F.ltrim(power, F.lit("-"))
+    exponent = F.concat(
+        F.when(power.startswith("-"), "-").otherwise("+"), F.when(F.length(size_of_power) == 1, "0").otherwise(""), size_of_power
+    )
+    # Below 2 ** 63 the whole number itself has the exact digits.
+    whole = F.abs(value.cast("bigint")).cast("string")
+    sign = F.when(value < 0, "-").otherwise("")
+    exact = F.concat(sign, F.substr(whole, F.lit(1), F.lit(1)), F.lit("."), F.substr(whole, F.lit(2)))
+    long = F.when((size >= 1e16) & (size < 2.0**63), exact).otherwise(F.substring_index(text, "E", 1))
+    mantissa = F.coalesce(
+        *[
+            F.when(F.concat(short, F.lit("E"), power).cast("double") == value.cast("double"), short)
+            for short in (F.round(long.cast("decimal(20,18)"), k).cast("string") for k in (15, 16))
+        ],
+        long,
+    )
+    mantissa = F.regexp_replace(mantissa, "\\.?0*$", "")
+    return (
+        F.when(F.isnan(value) | (size == 0) | (size == float("inf")) | ((size >= 1e-3) & (size < 1e7)), text)
+        .when((size >= 1e-4) & (size < 1e16), plain)
+        .otherwise(F.concat(mantissa, F.lit("e"), exponent))
     )
-    return F.when(escaped.rlike("[^\\x00-\\x7F]"), ascii_only).otherwise(escaped)
 
 
 def canonical_json(value: Column, dtype: T.DataType) -> Column:
@@ -128,6 +170,8 @@ def canonical_json(value: Column, dtype: T.DataType) -> Column:
             ),
         )
         text = F.concat(F.lit("{"), F.array_join(entries, ", "), F.lit("}"))
+    elif isinstance(dtype, T.FractionalType) and not isinstance(dtype, T.DecimalType):
+        text = _json_double(value)
     elif isinstance(dtype, (T.NumericType, T.BooleanType)):
         text = value.cast("string")
     else:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemetry_lake.operators.split import split_table
-from telemetry_lake.plans.tables import SPLITS, TABLE_STEPS, TRANSFORMED_AT_LANDING, transform_table
+from telemetry_lake.plans.tables import SPLITS, TABLE_STEPS, TRANSFORMED_AT_LANDING, split_plan, transform_table
 from telemetry_lake.sources.envelope import record_schema, records_to_columns, unwrap_envelope
 from telemetry_lake.sources.lake import read_since, read_table, table_path, write_partitioned
 from telemetry_lake.sources.manifest import read_named_files
@@ -23,6 +23,8 @@ FILE_DATE = "file_date"
 class TableJob:
     """One table to move: where it lives, how it is kept, from which day on, and (to load) its main table.
 
+    ``external_system`` names the outside system whose identifiers the transform drops.
+
     ``layout`` is ``days`` for ``file_date=…`` folders and ``named`` for raw files that carry the day in their name.
     """
 
@@ -33,6 +35,7 @@ class TableJob:
     schema: T.StructType | str | None = None
     parent: str | None = None
     layout: str = "days"
+    external_system: str | None = None
 
 
 def _since(df: DataFrame, job: TableJob) -> DataFrame:
@@ -48,7 +51,7 @@ def land_stage(pages: DataFrame, raw_root: str, job: TableJob) -> str:
     schema = job.schema if job.schema is not None else record_schema(records)
     landed = records_to_columns(records, schema)
     if job.table in TRANSFORMED_AT_LANDING:
-        landed = transform_table(landed, job.table, date=F.col(FILE_DATE).cast("string"))
+        landed = transform_table(landed, job.table, date=F.col(FILE_DATE).cast("string"), external_system=job.external_system)
     target = table_path(raw_root, job.family, job.table)
     write_partitioned(landed, target, [FILE_DATE])
     return target
@@ -70,7 +73,9 @@ def transform_stage(
             raw = read_table(spark, raw_root, job.family, job.table, job.schema)
         if FILE_DATE not in raw.columns:
             raw = raw.withColumn(FILE_DATE, F.lit(None).cast("date"))
-        flat = transform_table(_since(raw, job), job.table, TRANSFORMED_AT_LANDING, on_error)
+        flat = transform_table(
+            _since(raw, job), job.table, TRANSFORMED_AT_LANDING, on_error, external_system=job.external_system
+        )
         base = table_path(flat_root, job.family, job.table)
         parts = {job.table: flat}
         if job.table in SPLITS:
@@ -79,9 +84,9 @@ def transform_stage(
                 write_partitioned(flat, whole, [FILE_DATE])
                 stored = spark.read.schema(T.StructType([f for f in flat.schema if f.name != FILE_DATE]))
                 flat = _since(stored.parquet(whole).withColumn(FILE_DATE, F.col(FILE_DATE).cast("date")), job)
-            shared, outputs = SPLITS[job.table]
+            shared, outputs = split_plan(flat, job.table, job.external_system)
             parts = {
-                name: transform_table(part, name, on_error=on_error)
+                name: transform_table(part, name, on_error=on_error, external_system=job.external_system)
                 for name, part in split_table(flat, [*shared, FILE_DATE], outputs).items()
             }
         for name, part in parts.items():

@@ -35,7 +35,8 @@ def build_plan(
 
     A ``time`` table known to the state starts at its download watermark, any other at ``start`` (or at the
     beginning of history); the type comes from the catalogue, else the state, else it is ``time``. Tables the
-    catalogue does not know are left out. The start is kept as ``last_download_time``.
+    catalogue does not know are left out, and one asked for several times is planned once. The start is kept as
+    ``last_download_time``.
     """
     first = F.to_date(F.lit(HISTORY_START)) if start is None else start.cast("date")
     last = F.current_date() if end is None else end.cast("date")
@@ -44,10 +45,10 @@ def build_plan(
         F.col("download_type").alias("__state_type"),
         F.col("last_download_time").alias("__mark"),
     )
-    wanted = requested.select(F.col("table_name"))
+    wanted = requested.select("table_name").distinct()
     columns = [quoted(n) for n in catalogue.columns if n not in ("download_type", "table_name")]
     return (
-        wanted.join(catalogue, "table_name", "inner")
+        catalogue.join(wanted, "table_name", "left_semi")
         .join(known, F.col("table_name") == F.col("__state_table"), "left")
         .select(
             "table_name",
@@ -103,14 +104,11 @@ def _templates(catalogue: DataFrame, lists: bool) -> DataFrame:
 def _with_templates(keys: DataFrame, templates: DataFrame) -> DataFrame:
     """Add the templates that take keys of each row's ``source_table``.
 
-    Templates are catalogue rows, a handful at most: they travel as one array, so keys neither move nor meet a
-    join on a column in which they all agree.
+    Templates are catalogue rows, a handful at most: Spark's size check sends them to the keys, which do not move.
     """
-    listed = templates.agg(F.collect_list(F.struct(*[quoted(n) for n in templates.columns]))).scalar()
-    offered = keys.withColumn("__template", F.explode(listed))
-    return offered.filter(F.col("__template.exception_config.table_name") == F.col("source_table")).select(
-        *[quoted(n) for n in keys.columns if n != "source_table"], "__template.*"
-    )
+    by_source = templates.withColumn("source_table", F.col("exception_config.table_name"))
+    kept = [n for n in keys.columns if n != "source_table"]
+    return keys.join(by_source, "source_table").select(*[quoted(n) for n in (*kept, *templates.columns)])
 
 
 def fan_out(catalogue: DataFrame, keys: DataFrame) -> DataFrame:
@@ -142,9 +140,9 @@ def _fill_key(df: DataFrame, value: Column) -> DataFrame:
 
 def _with_range(plan: DataFrame) -> DataFrame:
     """Add the parsed parameters, the kind of range they hold, its bounds, and the request's folder."""
-    parsed = plan.withColumn(
-        "request_params", F.when(F.col("params").isNull(), _no_params()).otherwise(parse_params(F.col("params")))
-    ).filter(F.col("request_params").isNotNull())
+    params = F.when(F.col("params").isNull(), _no_params()).otherwise(parse_params(F.col("params")))
+    # A list of one keeps the filter above the parsing, which would otherwise run in both.
+    parsed = plan.withColumn("request_params", F.explode(F.array(params))).filter("request_params IS NOT NULL")
     parsed = parsed.withColumn("kind", date_param_kind(F.col("request_params")))
     kind = F.col("kind")
     bounds = {

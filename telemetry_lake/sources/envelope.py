@@ -46,11 +46,15 @@ def record_schema(df: DataFrame, record: str = "record") -> T.StructType:
     """One type covering all records: a single partial aggregation over the data.
 
     For tables without a declared schema; declare one to spare the extra pass. Fractions become doubles, and
-    fields that are null in every record text.
+    fields that are null in every record text. Records that are not all objects have no such type: this raises.
     """
     merged = df.select(F.schema_of_variant_agg(quoted(record))).first()[0]
     found = T.DataType.fromDDL(re.sub(r"(^|: |<)OBJECT<", r"\1STRUCT<", merged))
-    return _storable(found) if isinstance(found, T.StructType) else T.StructType()
+    if isinstance(found, T.NullType):
+        return T.StructType()
+    if not isinstance(found, T.StructType):
+        raise ValueError(f"records are not all objects: {merged}")
+    return _storable(found)
 
 
 def _storable(dtype: T.DataType) -> T.DataType:
@@ -76,10 +80,18 @@ def _type_text(dtype: T.DataType) -> str:
     return dtype.simpleString()
 
 
-def records_to_columns(df: DataFrame, schema: T.StructType | str, record: str = "record") -> DataFrame:
+def records_to_columns(
+    df: DataFrame, schema: T.StructType | str, record: str = "record", unfit: str = "raise"
+) -> DataFrame:
     """Records read with a type, nested objects flattened to one cleaned column per leaf, lists kept.
-    Fields a record lacks are null."""
+
+    Fields a record lacks are null. A value that does not fit its type stops the job, or is null with
+    ``unfit="null"``.
+    """
+    if unfit not in ("raise", "null"):
+        raise ValueError(f"unknown policy: {unfit}")
+    read = F.variant_get if unfit == "raise" else F.try_variant_get
     target = schema if isinstance(schema, str) else _type_text(schema)
     others = [quoted(n) for n in df.columns if n != record]
-    typed = df.select(*others, F.try_variant_get(quoted(record), "$", target).alias("__record"))
+    typed = df.select(*others, read(quoted(record), "$", target).alias("__record"))
     return flatten(typed.select(*others, "__record.*"))

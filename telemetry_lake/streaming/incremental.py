@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +38,8 @@ def deduplicated(stream: DataFrame, keys: Sequence[str], time: str, delay: str,
     """Stream without rows delivered again.
 
     ``delay`` says how much later a repetition may come, in the time of the data; state older than that is
-    let go, so it stays bounded by the rows of that span.
+    let go, so it stays bounded by the rows of that span. A row that comes later than ``delay`` is taken for a
+    repetition, also if it was never there; where that may happen, ``ingest_distinct`` looks at the target instead.
 
     A key delivered very often would send all its copies to one task. With ``salts`` the copies are first
     reduced within that many parts, by the task that read them, and then across the parts; which part a copy
@@ -50,20 +52,68 @@ def deduplicated(stream: DataFrame, keys: Sequence[str], time: str, delay: str,
     return timed.dropDuplicatesWithinWatermark(list(keys))
 
 
+def ingest_distinct(stream: DataFrame, keys: Sequence[str], day: str, target: str, checkpoint: str) -> None:
+    """Append the rows whose keys are not in the target yet, however late they come, then stop.
+
+    ``day`` is a date column and part of the key. The target lies by day and batch, and a batch reads the keys of its
+    own days only; a batch run again replaces what it had written. Nulls are equal to each other.
+    """
+    wanted = list(dict.fromkeys([day, *keys]))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = zoneless_timestamps(batch.dropDuplicates(wanted))
+        try:
+            # The calendar bounds the days of a batch.
+            known = spark.read.schema(fresh.withColumn(BATCH_COLUMN, F.lit(0).cast("bigint")).schema).parquet(target)
+        except AnalysisException as missing:
+            if "PATH_NOT_FOUND" not in str(missing.getCondition()):
+                raise
+        else:
+            days = [row[0] for row in fresh.select(day).distinct().collect()]
+            here = quoted_in(day, days) & (F.col(BATCH_COLUMN) != batch_id)
+            seen = known.filter(here).select(*[quoted(n).alias(f"__{n}") for n in wanted])
+            same = [quoted(n).eqNullSafe(quoted(f"__{n}")) for n in wanted]
+            fresh = fresh.join(seen, same, "left_anti")
+        (
+            fresh.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(day, BATCH_COLUMN)
+            .parquet(target)
+        )
+
+    _run_batches(stream, write, checkpoint)
+
+
+def quoted_in(name: str, values: Sequence[object]) -> Column:
+    """Whether a column holds one of the values, null being one of them if it is listed."""
+    present = [v for v in values if v is not None]
+    found = quoted(name).isin(present)
+    return found | quoted(name).isNull() if len(present) < len(values) else found
+
+
 def write_tables(
     stream: DataFrame,
     outputs: Callable[[DataFrame], dict[str, DataFrame]],
     root: str,
     checkpoint: str,
     partitions: Sequence[str] = (),
+    parent: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Write several tables from every micro-batch, then stop.
 
     Each batch goes to its own ``batch_id`` partition with dynamic overwrite: a batch run again after a
-    failure replaces what it had written, and never what other batches wrote.
+    failure replaces what it had written, and never what other batches wrote. What ``parent`` makes of a batch is
+    written once, in place of that of the batch before, and the outputs are read from it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if parent is not None:
+            whole = f"{root.rstrip('/')}/_whole"
+            made = parent(batch)
+            made.write.mode("overwrite").parquet(whole)
+            batch = batch.sparkSession.read.schema(made.schema).parquet(whole)
         for name, table in outputs(batch).items():
             out = zoneless_timestamps(table).withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
             if partitions:
@@ -75,6 +125,10 @@ def write_tables(
                 .parquet(f"{root.rstrip('/')}/{name}")
             )
 
+    _run_batches(stream, write, checkpoint)
+
+
+def _run_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
@@ -84,11 +138,17 @@ def write_tables(
     )
 
 
-def split_stream(stream: DataFrame, table: str, root: str, checkpoint: str) -> None:
+def split_stream(
+    stream: DataFrame, table: str, root: str, checkpoint: str, external_system: str | None = None
+) -> None:
     """Transform and split every micro-batch of a raw table into its sub-tables.
 
-    Steps run per batch, so duplicates are removed within a batch; ``deduplicated`` removes them across.
+    Steps run per batch, so duplicates are removed within a batch; ``ingest_distinct`` removes them across.
     """
     write_tables(
-        stream, lambda batch: split_and_transform(transform_table(batch, table), table), root, checkpoint
+        stream,
+        lambda batch: split_and_transform(batch, table, external_system=external_system),
+        root,
+        checkpoint,
+        parent=lambda batch: transform_table(batch, table, external_system=external_system),
     )

@@ -11,7 +11,7 @@ from telemetry_lake.plans import catalogue as cat
 from telemetry_lake.plans import gaps, progress, requests, tables
 from telemetry_lake.plans.jobs import TableJob, land_stage, load_stage, transform_stage
 from telemetry_lake.session import scratch_path
-from telemetry_lake.sources import lake, manifest, warehouse
+from telemetry_lake.sources import envelope, lake, manifest, warehouse
 from telemetry_lake.sources.envelope import record_schema, records_to_columns, unwrap_envelope
 from telemetry_lake.streaming import incremental
 
@@ -401,7 +401,7 @@ def test_fuel_report_takes_its_day_at_landing(spark):
     body = '{"data": {"vehicleReports": [{"vehicle": {"id": "1", "name": "V", "externalIds": {"x.serial": "s"}}, "energyUsedKwh": 2}]}}'
     df = spark.createDataFrame([(body, DAY(2024, 2, 1))], "body string, file_date date")
     schema = "struct<vehicle: struct<id: string, name: string, externalIds: struct<`x.serial`: string>>, energyUsedKwh: double>"
-    job = TableJob("fuel_energy", "fleet_vehicles_fuel_energy", schema=schema)
+    job = TableJob("fuel_energy", "fleet_vehicles_fuel_energy", schema=schema, external_system="x")
     land_stage(df, raw, job)
     stored = TableJob("fuel_energy", "fleet_vehicles_fuel_energy")
     transform_stage(spark, raw, flat, [stored])
@@ -455,6 +455,33 @@ def test_split_stream_runs_the_declared_steps(spark, sf_dir):
         assert spark.read.parquet(f"{target}/{name}").count() == part.count()
 
 
+def test_late_rows_are_kept_and_repetitions_are_not(spark):
+    source, target, checkpoint = (scratch_path(spark, n) for n in ("source", "target", "checkpoint"))
+    schema = "id bigint, day date, note string"
+    for rows in (
+        [(1, DAY(2024, 1, 9), "a"), (1, DAY(2024, 1, 9), "again"), (None, None, "n")],
+        [(2, DAY(2020, 1, 1), "late"), (1, DAY(2024, 1, 9), "again"), (None, None, "again")],
+        [],
+    ):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        incremental.ingest_distinct(incremental.read_stream(spark, source, schema), ["id"], "day", target, checkpoint)
+    got = spark.read.parquet(target).select("id", "day")
+    assert sorted(map(str, got.collect())) == sorted(
+        map(str, spark.createDataFrame([(1, DAY(2024, 1, 9)), (2, DAY(2020, 1, 1)), (None, None)], "id bigint, day date").collect())
+    )
+
+
+def test_records_that_are_not_all_objects_raise(spark):
+    df = spark.createDataFrame([('{"data": [{"a": 1}, 5]}',)], "body string")
+    records = envelope.unwrap_envelope(df)
+    with pytest.raises(ValueError, match="not all objects"):
+        envelope.record_schema(records)
+    bad = envelope.unwrap_envelope(spark.createDataFrame([('{"data": [{"a": "x"}]}',)], "body string"))
+    assert envelope.records_to_columns(bad, "struct<a: bigint>", unfit="null").first().a is None
+    with pytest.raises(Exception, match="INVALID_VARIANT_CAST"):
+        envelope.records_to_columns(bad, "struct<a: bigint>").collect()
+
+
 @pytest.mark.parametrize("salts", [0, 4])
 def test_redelivered_rows_leave_no_second_row(spark, salts):
     """One key is delivered as often as all others together."""

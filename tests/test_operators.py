@@ -72,13 +72,14 @@ def test_strftime_patterns():
         time.java_pattern("%Q")
 
 
-def test_external_ids_of_any_system_are_dropped(spark):
-    from telemetry_lake.plans.tables import DEFAULT
+def test_external_ids_of_the_named_system_are_dropped(spark):
+    from telemetry_lake.plans.tables import default_steps
 
     df = spark.sql(
         "SELECT 1 AS id, 2 AS externalIds_x_serial, 3 AS externalIds_y_vin, 4 AS vehicle_externalIds_x_vin, 5 AS externalIds_x_name"
     )
-    assert run_steps(df, DEFAULT).columns == ["vehicle_id", "externalIds_x_name"]
+    assert run_steps(df, default_steps("x")).columns == ["vehicle_id", "externalIds_y_vin", "externalIds_x_name"]
+    assert len(run_steps(df, default_steps()).columns) == 5
 
 
 # --- rows
@@ -192,6 +193,14 @@ def test_canonical_json_as_a_json_library_writes_it(spark):
     assert got == json.dumps({"b": [{"y": "dé😀\"\\\n", "x": 1.5}], "a": None, "c": True}, sort_keys=True)
 
 
+@pytest.mark.parametrize("value", [0.0, -1.5, 1e-5, 1.25e-4, 0.001, 12345678.0, 1e15, 1e16, -8.844355410081172e18, 6e300, 2.0**70])
+def test_canonical_json_of_doubles(spark, value):
+    import json
+
+    df = spark.createDataFrame([(value,)], "v double")
+    assert df.select(text.canonical_json(F.col("v"), df.schema["v"].dataType)).first()[0] == json.dumps(value)
+
+
 # --- positions and batches
 
 
