@@ -8,6 +8,7 @@ from lake_queries import fixtures
 from lake_queries.fixtures import table
 from lake_queries.nested_tables import READINGS, REEFER_ALARMS, REEFERS, reefer_sql
 from lake_queries.registry import query
+from telemetry_lake.plans import run
 from telemetry_lake.plans.catalogue import catalogue
 from telemetry_lake.plans.jobs import TableJob, load_stage
 from telemetry_lake.session import scratch_path
@@ -262,6 +263,38 @@ def list_files(spark, sf_dir):
     return listed.select(parts[0].alias("family"), parts[1].alias("main_family"), day.alias("day")).distinct()
 
 
+STAT_TYPE = "struct<id: string, name: string, engineRpm: array<struct<time: string, value: double>>>"
+
+
+def stat_pages(spark, sf_dir):
+    """Answers of one event each, and an answer without a record for the last day of the month."""
+    day = "cast(ts AS date) AS file_date"
+    reading = """array(named_struct('time', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"), 'value', event_id + 0.5D))"""
+    record = f"named_struct('id', cast(user_id AS string), 'name', concat('V', user_id), 'engineRpm', {reading})"
+    name = "'fleet_vehicle_stats_engineRpm' AS table_name"
+    pages = table(spark, sf_dir, "events").selectExpr(name, f"to_json(named_struct('data', array({record}))) AS body", day)
+    none = table(spark, sf_dir, "region").limit(1).selectExpr(name, "'{\"data\": []}' AS body", "DATE'2024-03-31' AS file_date")
+    return pages.union(none)
+
+
+@query(
+    "pipeline_two_runs",
+    """SELECT CAST(user_id AS VARCHAR) AS vehicle_id, 'V' || user_id AS parc_id, date_trunc('second', ts) AS time,
+    CAST(event_id + 0.5 AS DOUBLE) AS "engineRpm", DATE '2024-04-01' AS loaded_to, 1 AS empty_days FROM events""",
+)
+def pipeline_two_runs(spark, sf_dir):
+    """Pages landed, transformed and loaded up to a day, then to the end, then once more from the first state."""
+    roots = run.Roots(*(scratch_path(spark, n) for n in ("raw", "flat", "warehouse")))
+    states = [scratch_path(spark, "state") for _ in range(4)]
+    jobs = [TableJob("vehicle_stats", "fleet_vehicle_stats_engineRpm", schema=STAT_TYPE)]
+    pages = stat_pages(spark, sf_dir)
+    for before, after, end in ((0, 1, "2024-01-16"), (1, 2, "2024-04-01"), (1, 3, "2024-04-01")):
+        state = run.run_pipeline(spark, roots, states[before], states[after], pages, jobs, end)
+    loaded = warehouse.read_loaded(spark, f"{roots.warehouse}/{jobs[0].table}")
+    kept = state.select(F.col("last_db_migration_time").alias("loaded_to"), F.size("date_no_data").alias("empty_days"))
+    return loaded.select("vehicle_id", "parc_id", "time", "engineRpm").join(kept)
+
+
 # --- streams -----------------------------------------------------------------------------------------------------
 
 
