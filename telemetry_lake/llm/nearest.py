@@ -77,7 +77,7 @@ def usable(vectors: DataFrame, key: str, column: str) -> DataFrame:
     """``vec_id`` and ``vector`` (array<double>) of the rows that take part.
 
     A vector that is null, empty, zero or holds a null or non-finite component takes no part, nor does a row without
-    id. Ids are numbers of rows, so rows repeated with one id and vector count once in results.
+    id. Rows repeated with one id and vector count once; an id with several vectors is one candidate, at its best score.
     """
     vector = F.col(column).cast("array<double>")
     fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
@@ -90,6 +90,15 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
+def _once(ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every id once, with its best score."""
+    order = np.lexsort((-scores, ids))
+    ids, scores = ids[order], scores[order]
+    first = np.ones(len(ids), bool)
+    first[1:] = ids[1:] != ids[:-1]
+    return ids[first], scores[first]
+
+
 def _search(k: int, held: int):
     """Best ``k`` of each query over blocks, by exact products; at most ``held`` queries are kept before rows leave."""
 
@@ -106,7 +115,11 @@ def _search(k: int, held: int):
                 x = np.frombuffer(block.vectors, "<f8").reshape(len(ids), -1)
                 q = np.frombuffer(block.queries, "<f8").reshape(len(query_ids), -1)
                 rough = q @ x.T
-                cut = np.partition(rough, -min(k + 1, len(ids)), axis=1)[:, -min(k + 1, len(ids))]
+                # Ids come in order. The cut is made among ids, so that rows of one id take the place of no other.
+                starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+                apart = rough if len(starts) == len(ids) else np.maximum.reduceat(rough, starts, axis=1)
+                wanted = min(k + 1, len(starts))
+                cut = np.partition(apart, -wanted, axis=1)[:, -wanted]
                 slack = 1e-9 * (1 + np.abs(cut))
                 for i, query in enumerate(query_ids.tolist()):
                     near = np.flatnonzero(rough[i] >= cut[i] - slack[i])
@@ -114,11 +127,8 @@ def _search(k: int, held: int):
                     found, scores = ids[near], (x[near] * q[i]).sum(axis=1)
                     if query in best:
                         old, old_scores = best[query]
-                        found, first = np.unique(np.concatenate([old, found]), return_index=True)
-                        scores = np.concatenate([old_scores, scores])[first]
-                    else:
-                        found, first = np.unique(found, return_index=True)
-                        scores = scores[first]
+                        found, scores = np.concatenate([old, found]), np.concatenate([old_scores, scores])
+                    found, scores = _once(found, scores)
                     top = _best(found, scores, k)
                     if len(top):
                         best[query] = (found[top], scores[top])
@@ -132,13 +142,16 @@ def _search(k: int, held: int):
 
 
 def _blocks(hashed: DataFrame, id_name: str, ids: str, vectors: str, size: int) -> DataFrame:
-    """Rows of a bucket packed in blocks of about ``size``: a bucket of any size becomes as many as it needs."""
+    """Rows of a bucket packed in blocks of about ``size``: a bucket of any size becomes as many as it needs.
+
+    Equal rows share a block, which holds them once; rows of a block are in order of their ids.
+    """
     counts = hashed.groupBy("table", "bucket").agg(F.count(F.lit(1)).alias("_n"))
     cut = hashed.join(counts, ["table", "bucket"]).withColumn(
         "_block", F.pmod(F.xxhash64(id_name), F.ceil(F.col("_n") / size)).cast("int")
     )
     packed = cut.groupBy("table", "bucket", "_block").agg(
-        F.array_sort(F.collect_list(F.struct(id_name, "vector"))).alias("_rows")
+        F.array_sort(F.collect_set(F.struct(id_name, "vector"))).alias("_rows")
     )
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -208,9 +221,15 @@ def nearest(
         return pairs.mapInPandas(_search(k, held), result)
 
     def ranked(found: DataFrame) -> DataFrame:
-        """A query has at most ``k`` candidates of every task; equal pairs have equal scores, so they merge."""
+        """A query has at most ``k`` candidates of every task; equal pairs have equal scores, so they merge.
+
+        An id with several vectors can come with several scores, of which the first in order is the best.
+        """
         merged = found.groupBy("query_id").agg(F.flatten(F.collect_list("found")).alias("found"))
-        best = F.slice(F.array_sort(F.array_distinct("found")), 1, k)
+        merged = merged.withColumn("found", F.array_sort(F.array_distinct("found")))
+        ids = F.col("found.vec_id")
+        once = F.filter("found", lambda pair, at: F.array_position(ids, pair["vec_id"]) == at + 1)
+        best = F.slice(F.when(F.size(F.array_distinct(ids)) == F.size(ids), F.col("found")).otherwise(once), 1, k)
         return merged.select("query_id", F.posexplode(best).alias("at", "hit")).select(
             "query_id", F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.away")).alias("score"), (F.col("at") + 1).alias("rank")
         )

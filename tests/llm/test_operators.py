@@ -168,6 +168,33 @@ def test_nearest(spark):
     assert nearest.nearest(table.limit(0), table.limit(0), 20, nearest.Index(8)).count() == 0
 
 
+def test_nearest_counts_repeated_ids_once(spark):
+    vectors = np.random.default_rng(5).standard_normal((200, 8))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    plain = [(i, v.tolist()) for i, v in enumerate(vectors)]
+
+    def found(rows, index):
+        made = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+        table = nearest.usable(made, "vec_id", "embedding")
+        return sorted(map(tuple, nearest.nearest(table, table.filter("vec_id < 2"), 10, index).collect()))
+
+    # The query itself and its nearest neighbour stand 30 times each: nothing changes.
+    wide = nearest.Index(8, width=40.0)
+    near = next(vec_id for query, rank, vec_id, _ in found(plain, wide) if (query, rank) == (0, 1))
+    for index in (nearest.Index(8, mass=0.95), wide):
+        assert found(plain + 29 * [plain[0], plain[near]], index) == found(plain, index)
+    # One id with 30 more vectors close to the query, over several buckets: it is listed once, at its best score.
+    close = [vectors[0] * (1 - 0.01 * i) + 0.01 * vectors[1] for i in range(30)]
+    rows = plain + [(near, v.tolist()) for v in close]
+    for index in (nearest.Index(8, mass=0.95), nearest.Index(8, width=0.4, mass=0.999), wide):
+        hits = [r for r in found(rows, index) if r[0] == 0]
+        assert len({r[2] for r in hits}) == len(hits) == 10
+        assert hits[0][2] == near and abs(hits[0][3] - close[0] @ vectors[0]) < 1e-9
+    scores = vectors @ vectors[0]
+    others = sorted((i for i in range(1, 200) if i != near), key=lambda i: -scores[i])[:9]
+    assert [r[2] for r in hits] == [near, *others]
+
+
 def brute_classes(rows: list[tuple], least: float = 0.8) -> list[int]:
     sets = []
     for _, text, *_ in rows:
