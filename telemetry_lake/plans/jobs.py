@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ class TableJob:
 
     ``external_system`` names the outside system whose identifiers the transform drops.
 
+    ``late`` are days before the watermark that are done as well.
+
     ``layout`` is ``days`` for ``file_date=…`` folders and ``named`` for raw files that carry the day in their name.
     """
 
@@ -36,13 +39,19 @@ class TableJob:
     parent: str | None = None
     layout: str = "days"
     external_system: str | None = None
+    late: tuple[date, ...] = ()
 
 
 def _since(df: DataFrame, job: TableJob) -> DataFrame:
-    """A ``time`` table from its watermark day on: a filter on the partition column, so earlier days are not read."""
+    """A ``time`` table from its watermark day on, and its late days: a filter on the partition column, so other
+    earlier days are not read."""
     if job.download_type != "time" or job.watermark is None:
         return df
-    return read_since(df, F.lit(job.watermark).cast("date"), F.col(FILE_DATE))
+    mark = F.lit(job.watermark).cast("date")
+    if not job.late:
+        return read_since(df, mark, F.col(FILE_DATE))
+    day = F.col(FILE_DATE).cast("date")
+    return df.filter(day.isNull() | (day >= mark) | day.isin(*job.late))
 
 
 def land_stage(pages: DataFrame, raw_root: str, job: TableJob) -> str:
