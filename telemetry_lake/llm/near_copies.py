@@ -135,11 +135,17 @@ def text_runs(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     return kinds, counts
 
 
+def text_key(text: str | None, found: list[str]) -> bytes:
+    """Key of a text with the words ``found``; one without words counts by its other characters, spacing aside."""
+    return xxhash.xxh3_128_digest(" ".join(found or (text or "").split()))
+
+
 def features(docs: DataFrame, like: Likeness) -> DataFrame:
     """``doc_id``, ``key`` (equal for equal word rows), ``bands`` and ``runs`` of every row.
 
     ``runs`` are the text's runs, the n-th occurrence of one apart from the others, as sorted 32-bit hashes: shared
-    ones over all of two such lists are the weighted similarity. Texts without words share a key and have no bands.
+    ones over all of two such lists are the weighted similarity. Texts without words have no bands, so they meet
+    only those of equal key.
     """
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,7 +155,7 @@ def features(docs: DataFrame, like: Likeness) -> DataFrame:
             for text in batch["text"]:
                 found = words(text)
                 kinds, counts = text_runs(word_hashes(found), like.width)
-                keys.append(xxhash.xxh3_128_digest(" ".join(found)))
+                keys.append(text_key(text, found))
                 sets.append((kinds, counts))
                 nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
                 each = mix(np.repeat(kinds, counts) + nth.astype(np.uint64) * GOLDEN)
@@ -350,7 +356,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, like: Likeness = Likene
     kept = classes(spark, docs, like).filter("kept").select("doc_id", "key").distinct()
     ids = kept.groupBy("doc_id").agg(F.collect_set("key").alias("_keys"))
     word_key = F.pandas_udf(
-        lambda texts: texts.map(lambda t: xxhash.xxh3_128_digest(" ".join(words(t)))), "binary"
+        lambda texts: pd.Series([text_key(t, words(t)) for t in texts], dtype=object), "binary"
     )
     slim = ids.select(F.col("doc_id").alias("_id"), "_keys")
     candidates = docs.join(slim, docs["doc_id"].cast("bigint").eqNullSafe(F.col("_id"))).drop("_id")

@@ -234,6 +234,17 @@ def test_near_copies(spark, docs, no_docs, texts):
     assert near_copies.without_copies(spark, no_docs).count() == 0
 
 
+def test_texts_without_words_meet_equal_ones_only(spark):
+    texts = ["!?", "", "😀 😀", None, "!?", "😀  😀\n", "😀", " ", "--"]
+    rows = [(i, t, "en", None, None) for i, t in enumerate(texts)]
+    # A repeated id, whose rows are told apart by their keys.
+    table = spark.createDataFrame([*rows, (8, "...", "en", None, None)], DOCS)
+    got = sorted((r["doc_id"], r["class_id"], r["class_size"]) for r in near_copies.classes(spark, table).collect())
+    assert got == [(0, 0, 2), (1, 1, 3), (2, 2, 2), (3, 1, 3), (4, 0, 2), (5, 2, 2), (6, 6, 1), (7, 1, 3), (8, 8, 1), (8, 8, 1)]
+    kept = sorted((r["doc_id"], r["text"]) for r in near_copies.without_copies(spark, table).collect())
+    assert kept == [(0, "!?"), (1, ""), (2, "😀 😀"), (6, "😀"), (8, "--"), (8, "...")]
+
+
 def test_signatures_follow_weights():
     draw = np.random.default_rng(1)
     elements = draw.integers(1, 2**63, 80, dtype=np.uint64)
