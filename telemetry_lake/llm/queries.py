@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_lake.llm import (
+    byte_pairs,
     decontamination,
     main_text,
     near_copies,
     nearest,
     packing,
+    ranked_search,
     shards,
     token_counts,
     token_files,
     toxicity,
     url_filter,
+    whitening,
 )
 from telemetry_lake.session import configure, scratch_path
 
@@ -89,6 +92,26 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(token_files.write_token_files(docs, path, _tokenizer("byte_bpe_50k.json"), end_id=2))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings projected on their 16 largest principal components, with unit variance."""
+    vectors = _table(ready(spark), sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors, 16))
+
+
+def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every whole text, and of what they decode to."""
+    import public_tokenizers
+
+    ranks = byte_pairs.Ranks(_tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return byte_pairs.digests(byte_pairs.encode(_table(ready(spark), sf_dir, "documents"), ranks), ranks)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for every benchmark item."""
+    docs, items = _table(ready(spark), sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return ranked_search.rank(docs, items, k=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -102,6 +125,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_url_filter,
         op10_token_files,
+        op11_whitening,
+        op12_byte_pairs,
+        op13_ranked_search,
     )
 }
 
@@ -126,4 +152,36 @@ SELECT page_id, host, path, max_by(rule, length(rule)) AS rule, coalesce(max_by(
 FROM fit GROUP BY page_id, host, path
 """
 
-ORACLES: dict[str, str] = {"op9_url_filter": URL_FILTER_SQL}
+RANKED_SEARCH_SQL = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents WHERE text IS NOT NULL
+),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+),
+lengths AS (SELECT r, doc_id, count(*) AS n FROM words GROUP BY r, doc_id),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM lengths),
+counted AS (SELECT r, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * count(*) + 1)))::BIGINT AS w
+  FROM counted, totals GROUP BY term, docs
+),
+parts AS (
+  SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words))) AS part
+  FROM counted JOIN weights USING (term) JOIN lengths USING (r), totals
+),
+scores AS (SELECT item_id, r, doc_id, sum(part)::BIGINT AS score FROM asked JOIN parts USING (term) GROUP BY item_id, r, doc_id),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, r)::INTEGER AS rank, doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+ORACLES: dict[str, str] = {"op9_url_filter": URL_FILTER_SQL, "op13_ranked_search": RANKED_SEARCH_SQL}

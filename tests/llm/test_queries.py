@@ -12,7 +12,7 @@ import pytest
 
 from telemetry_lake.llm.queries import ORACLES, QUERIES
 
-TABLE = {"op2": None, "op3": "documents", "op7": "pages", "op8": None, "op9": "pages"}
+TABLE = {"op11": None, "op13": None, "op2": None, "op3": "documents", "op7": "pages", "op8": None, "op9": "pages"}
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
