@@ -311,7 +311,7 @@ def batched(inner: str, group: str, key: str, size: int, name: str) -> str:
     batched("SELECT DISTINCT p_brand, p_name FROM part", "p_brand", "p_name", 10_000, "keys"),
 )
 def reverse_mapping(spark, sf_dir):
-    mapped = numbering.reverse_mapping(table(spark, sf_dir, "part"), "p_name", "p_brand")
+    mapped = numbering.reverse_mapping(table(spark, sf_dir, "part"), "p_name", "p_brand", 10_000)
     return mapped.withColumn("keys", F.array_join("keys", "|"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lake_queries import fixtures
 from lake_queries.fixtures import TAG_MEMBERS, TEXT_METRICS, iso, table
-from lake_queries.registry import query
+from lake_queries.registry import ORACLES, query
 from telemetry_lake.functions.text import canonical_json
 from telemetry_lake.operators import nested
 from telemetry_lake.operators.split import SubTable, split_table
@@ -299,21 +299,28 @@ def fault_codes_j1939(spark, sf_dir):
 
 @query(
     "fault_codes_split",
-    """SELECT 'j1939' AS part, count(*) AS n, count(CASE WHEN l_linenumber > 1 AND l_linestatus = 'O' AND
-      l_quantity >= 10 THEN 1 END) AS with_codes FROM lineitem
-    UNION ALL SELECT 'obdii', count(*), count(CASE WHEN l_linenumber > 1 AND l_linestatus = 'F' THEN 1 END) FROM lineitem""",
+    """SELECT p AS part, CAST(l_orderkey AS VARCHAR) AS id, 'T' || l_suppkey AS name, CASE WHEN r THEN l_shipdate END AS time,
+    CASE WHEN r THEN 'CAN_' || l_linestatus END AS "canBusType",
+    CASE WHEN r AND p = 'obdii' AND o THEN l_tax > 0.04 WHEN r AND p = 'j1939' AND NOT o AND l_returnflag <> 'R' THEN l_tax > 0.04
+      END AS light,
+    CASE WHEN r AND p = 'obdii' AND o THEN l_suppkey WHEN r AND p = 'j1939' AND NOT o AND l_quantity >= 10 THEN l_partkey
+      END AS first_code
+    FROM (SELECT *, l_linenumber > 1 AS r, l_linestatus = 'F' AS o FROM lineitem), (SELECT unnest(['obdii', 'j1939']) AS p)""",
 )
 def fault_codes_split(spark, sf_dir):
+    """Both sub-tables as they are cut: shared columns, one light and the first code of the list."""
     parts = tables.split_only(fault_parent(spark, sf_dir), FAULTS)
-    counted = [
-        parts[f"{FAULTS}_{protocol}"].agg(
-            F.lit(protocol).alias("part"),
-            F.count(F.lit(1)).alias("n"),
-            F.count(f"{protocol}_diagnosticTroubleCodes").alias("with_codes"),
+    shown = {
+        "obdii": ("obdii_checkEngineLightIsOn", "obdii_diagnosticTroubleCodes[0].txId"),
+        "j1939": ("j1939_checkEngineLights_warningIsOn", "j1939_diagnosticTroubleCodes[0].spnId"),
+    }
+    cut = [
+        parts[f"{FAULTS}_{protocol}"].selectExpr(
+            f"'{protocol}' AS part", "id", "name", "time", "canBusType", f"{light} AS light", f"{code} AS first_code"
         )
-        for protocol in ("obdii", "j1939")
+        for protocol, (light, code) in shown.items()
     ]
-    return counted[0].union(counted[1])
+    return cut[0].union(cut[1])
 
 
 # --- refrigeration -----------------------------------------------------------------------------------------------
@@ -376,22 +383,44 @@ def reefer_alarms(spark, sf_dir):
     return reefer_sub(spark, sf_dir, "reeferAlarms")
 
 
+_FEED_VALUES = {
+    "engineHours": ("engineHours", "o_orderkey"),
+    "fuelPercentage": ("fuelPercentage", "o_orderkey + 1"),
+    "returnAirTemperature": ("tempInMilliC", "round(o_totalprice)"),
+    "ambientAirTemperature": ("tempInMilliC", "round(o_totalprice) + 1"),
+    "dischargeAirTemperature": ("tempInMilliC", "round(o_totalprice) + 2"),
+    "setPoint": ("tempInMilliC", "round(o_totalprice) + 3"),
+    "powerStatus": ("status", "o_orderpriority"),
+}
+
+
+def _cut_sql(feed: str, value: str) -> str:
+    if feed != "powerStatus":
+        value = f"CAST({value} AS BIGINT)"
+    return f"""SELECT 'ReeferStats_{feed}' AS part, o_orderpriority AS "assetType", CAST(o_custkey AS VARCHAR) AS asset_id,
+      CASE o_orderstatus WHEN 'F' THEN NULL WHEN 'P' THEN 1 ELSE 2 END AS items,
+      CAST(CASE WHEN o_orderstatus = 'O' OR (o_orderstatus = 'P' AND o_orderpriority = '1-URGENT') THEN {value} END AS VARCHAR) AS first
+      FROM orders"""
+
+
 @query(
     "reefer_split",
-    """SELECT * FROM (SELECT unnest(['ReeferStats_engineHours', 'ReeferStats_fuelPercentage',
-      'ReeferStats_returnAirTemperature', 'ReeferStats_ambientAirTemperature', 'ReeferStats_dischargeAirTemperature',
-      'ReeferStats_setPoint', 'ReeferStats_powerStatus', 'ReeferStats_reeferAlarms']) AS part, n, with_list
-    FROM (SELECT count(*) AS n, count(CASE WHEN o_orderstatus <> 'F' THEN 1 END) AS with_list FROM orders))""",
+    " UNION ALL ".join(_cut_sql(feed, value) for feed, (_, value) in _FEED_VALUES.items())
+    + """ UNION ALL SELECT 'ReeferStats_reeferAlarms', o_orderpriority, CAST(o_custkey AS VARCHAR),
+      CASE WHEN o_orderstatus <> 'F' THEN 1 END, CASE WHEN o_orderstatus <> 'F' AND o_orderpriority <> '5-LOW'
+      THEN CASE WHEN o_orderpriority = '1-URGENT' THEN 'A1' ELSE o_orderstatus END END FROM orders""",
 )
 def reefer_split(spark, sf_dir):
-    parts = tables.split_only(fixtures.reefers(spark, sf_dir), REEFERS)
-    counted = [
-        part.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n"), F.count(name).alias("with_list"))
-        for name, part in parts.items()
-    ]
-    out = counted[0]
-    for part in counted[1:]:
-        out = out.union(part)
+    """The eight sub-tables as they are cut: shared columns, length of the list and its first value."""
+    parts, out = tables.split_only(fixtures.reefers(spark, sf_dir), REEFERS), None
+    for name, part in parts.items():
+        feed = name.removeprefix("ReeferStats_")
+        first = "alarms[0].alarmCode" if feed == "reeferAlarms" else _FEED_VALUES[feed][0]
+        cut = part.selectExpr(
+            f"'{name}' AS part", "assetType", "id AS asset_id", f"CASE WHEN {name} IS NOT NULL THEN size({name}) END AS items",
+            f"cast(get({name}, 0).{first} AS string) AS first",
+        )
+        out = cut if out is None else out.union(cut)
     return out
 
 
@@ -486,20 +515,24 @@ def tags(spark, sf_dir):
     return flat.withColumn("vehicle", F.expr("get(vehicles, 0).id")).drop(*TAG_MEMBERS)
 
 
-@query(
-    "tags_split",
-    """SELECT unnest(['fleet_tags_vehicles', 'fleet_tags_assets', 'fleet_tags_sensors', 'fleet_tags_addresses',
-      'fleet_tags_drivers']) AS part,
-      unnest([count(CASE WHEN c_mktsegment <> 'BUILDING' THEN 1 END), count(CASE WHEN c_mktsegment <> 'MACHINERY' THEN 1 END),
-        count(CASE WHEN c_mktsegment <> 'FURNITURE' THEN 1 END), count(CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN 1 END),
-        count(CASE WHEN c_mktsegment <> 'AUTOMOBILE' THEN 1 END)]) AS with_list FROM customer""",
-)
+def _tag_cut_sql(members: str) -> str:
+    none, empty = TAG_MEMBERS[members]
+    return f"""SELECT 'fleet_tags_{members}' AS part, {TAG_COLUMNS},
+      CASE WHEN c_mktsegment = '{none}' THEN NULL WHEN c_mktsegment = '{empty}' THEN '' ELSE
+      '{members[0]}' || c_custkey || ' ' || c_name || '|' || repeat('{members[0]}n' || c_nationkey || ' ' || c_mktsegment || '|', 2)
+      END AS members FROM customer"""
+
+
+@query("tags_split", " UNION ALL ".join(map(_tag_cut_sql, TAG_MEMBERS)))
 def tags_split(spark, sf_dir):
+    """The five sub-tables as they are cut: shared columns and all members, in order."""
     parts = tables.split_only(tables.transform_table(fixtures.tags(spark, sf_dir), "fleet_tags"), "fleet_tags")
     out = None
     for name, part in parts.items():
-        counted = part.agg(F.lit(name).alias("part"), F.count(part.columns[-1]).alias("with_list"))
-        out = counted if out is None else out.union(counted)
+        *shared, members = part.columns
+        listed = F.array_join(F.transform(members, lambda m: F.concat_ws(" ", m["id"], m["name"], F.lit("|"))), "")
+        cut = part.select(F.lit(name).alias("part"), *shared, F.replace(listed, F.lit(" |"), F.lit("|")).alias("members"))
+        out = cut if out is None else out.union(cut)
     return out
 
 
@@ -538,30 +571,50 @@ def device_health_reasons(spark, sf_dir):
 
 @query(
     "devices_split",
-    """SELECT unnest(['fleet_devices', 'fleet_devices_health', 'fleet_devices_healthReasons']) AS part,
-      unnest([8, 4, 3]) AS n_columns, count(*) AS n FROM part""",
+    f"""WITH d AS (SELECT *, CAST(p_partkey AS VARCHAR) AS asset_id, CASE WHEN p_size <= 40 THEN p_brand || ' ' || p_size
+      || '|' || p_type || ' ' || (p_size + 1) END AS reasons FROM part)
+    SELECT 'fleet_devices' AS part, asset_id, p_name AS asset_name, p_brand || ' ' || p_type AS own, p_retailprice AS latitude,
+      NULL::INTEGER AS status FROM d
+    UNION ALL SELECT 'fleet_devices_health', asset_id, p_name, reasons, NULL, p_size FROM d
+    UNION ALL SELECT 'fleet_devices_healthReasons', asset_id, p_name, reasons, NULL, NULL FROM d""",
 )
 def devices_split(spark, sf_dir):
-    parent = tables.transform_table(fixtures.devices(spark, sf_dir), "fleet_devices")
-    out = None
-    for name, part in tables.split_only(parent, "fleet_devices").items():
-        counted = part.agg(F.lit(name).alias("part"), F.lit(len(part.columns)).alias("n_columns"), F.count(F.lit(1)).alias("n"))
-        out = counted if out is None else out.union(counted)
-    return out
+    """The three sub-tables as they are cut, before their own steps remove repetitions."""
+    parts = tables.split_only(tables.transform_table(fixtures.devices(spark, sf_dir), "fleet_devices"), "fleet_devices")
+    shared = "asset_id", "asset_name"
+    reasons = F.array_join(
+        F.transform("health_healthReasons", lambda r: F.concat_ws(" ", r["reason"], r["detail"]["level"].cast("string"))), "|"
+    )
+    none = F.lit(None)
+    main, health, listed = (parts[n] for n in ("fleet_devices", "fleet_devices_health", "fleet_devices_healthReasons"))
+    own, latitude = F.concat_ws(" ", "serial", "model").alias("own"), F.col("lastKnownLocation_latitude").alias("latitude")
+    cut = main.select(F.lit("fleet_devices").alias("part"), *shared, own, latitude, none.cast("int").alias("status"))
+    cut = cut.union(
+        health.select(F.lit("fleet_devices_health"), *shared, reasons, none.cast("double"), F.col("health_healthStatus"))
+    )
+    return cut.union(
+        listed.select(F.lit("fleet_devices_healthReasons"), *shared, reasons, none.cast("double"), none.cast("int"))
+    )
 
 
 @query(
     "split_and_transform",
-    """SELECT unnest(['fleet_vehicle_stats_faultCodes_obdii', 'fleet_vehicle_stats_faultCodes_j1939']) AS part,
-    unnest([count(DISTINCT CASE WHEN l_linestatus = 'F' THEN (l_orderkey, l_suppkey, l_shipdate) END),
-      count(DISTINCT CASE WHEN l_linestatus = 'O' AND (l_returnflag <> 'R' OR l_quantity >= 10)
-        THEN (l_orderkey, l_suppkey, l_shipdate) END)]) AS n_records
-    FROM lineitem WHERE l_linenumber > 1""",
+    f"""SELECT '{FAULTS}_obdii' AS part, vehicle_id, parc_id, time, "canBusType", obdii_engine_light_on AS light,
+      "obdii_confirmed_dtcId" AS code, "obdii_permanent_dtcId" AS other FROM ({ORACLES["fault_codes_obdii"]})
+    UNION ALL SELECT '{FAULTS}_j1939', vehicle_id, parc_id, time, "canBusType", "j1939_warning_engine_light_On",
+      "j1939_diag_trouble_codes_spnId", "j1939_diag_trouble_codes_fmiId" FROM ({ORACLES["fault_codes_j1939"]})""",
 )
 def split_and_transform(spark, sf_dir):
-    out = None
-    for name, part in tables.split_and_transform(fault_parent(spark, sf_dir), FAULTS).items():
-        records = part.select("vehicle_id", "parc_id", "time").distinct()
-        counted = records.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n_records"))
-        out = counted if out is None else out.union(counted)
-    return out
+    """All rows of both sub-tables, cut from one parent and run through their own steps."""
+    parts = tables.split_and_transform(fault_parent(spark, sf_dir), FAULTS)
+    shared = "vehicle_id", "parc_id", "time", "canBusType"
+    obdii = parts[f"{FAULTS}_obdii"].select(
+        F.lit(f"{FAULTS}_obdii").alias("part"), *shared, F.col("obdii_engine_light_on").alias("light"),
+        F.col("obdii_confirmed_dtcId").alias("code"), F.col("obdii_permanent_dtcId").alias("other"),
+    )
+    return obdii.union(
+        parts[f"{FAULTS}_j1939"].select(
+            F.lit(f"{FAULTS}_j1939"), *shared, "j1939_warning_engine_light_On", "j1939_diag_trouble_codes_spnId",
+            "j1939_diag_trouble_codes_fmiId",
+        )
+    )

@@ -66,10 +66,21 @@ def file_date_coverage(spark, sf_dir):
 
 @query(
     "newest_files",
-    f"""SELECT t AS table_name, max(path) AS newest_path FROM ({PATH_SQL}) WHERE event_type <> 'purchase' GROUP BY t""",
+    f"""SELECT t AS table_name, path, row_number() OVER (PARTITION BY t ORDER BY path DESC) - 1 AS position
+    FROM ({PATH_SQL}) WHERE event_type <> 'purchase'""",
 )
 def newest_files(spark, sf_dir):
-    return manifest.newest_file(manifest.newest_first(files(spark, sf_dir).filter("table_name IS NOT NULL")))
+    """Every file with its position among those of its table, newest first."""
+    named = files(spark, sf_dir).filter("table_name IS NOT NULL").select("table_name", "path")
+    return manifest.file_positions(named)
+
+
+@query(
+    "newest_file",
+    f"""SELECT t AS table_name, max(path) AS newest_path FROM ({PATH_SQL}) WHERE event_type <> 'purchase' GROUP BY t""",
+)
+def newest_file(spark, sf_dir):
+    return manifest.newest_file(files(spark, sf_dir).filter("table_name IS NOT NULL"))
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from lake_queries import fixtures
@@ -34,20 +36,25 @@ def scan_events(spark, sf_dir):
 
 @query(
     "scan_named_files",
-    """SELECT event_id, user_id, CASE WHEN ts < TIMESTAMP '2024-01-21' THEN DATE '2024-01-11' ELSE DATE '2024-01-21' END AS file_date
-    FROM events WHERE ts >= TIMESTAMP '2024-01-11'""",
+    """WITH bounds AS (SELECT min(CAST(ts AS DATE)) AS first, max(CAST(ts AS DATE)) AS last FROM events),
+    placed AS (SELECT event_id, user_id, first + CAST((CAST(ts AS DATE) - first) // 10 * 10 AS INTEGER) AS file_date,
+      first + CAST((last - first) // 2 AS INTEGER) AS mark FROM events, bounds)
+    SELECT event_id, user_id, file_date FROM placed WHERE file_date >= mark""",
 )
 def scan_named_files(spark, sf_dir):
-    """A folder of files named by range, one of them of a sub-table, read from a watermark on."""
+    """A folder of files named by ranges of ten days, from the first day of the data to its last, beside files of a
+    sub-table, read from the middle day on."""
     root = scratch_path(spark, "named")
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    for first, last in (("01", "11"), ("11", "21"), ("21", "31")):
-        day, end = (f"TIMESTAMP_NTZ'2024-01-{d}'" for d in (first, last))
-        part = events.filter(f"ts >= {day} AND ts < {end}").drop("ts")
-        part.write.parquet(f"{root}/core/readings/readings_2024_01_{first}_to_2024_01_{last}.parquet")
-    events.drop("ts").write.parquet(f"{root}/core/readings/readings_extra_2024_01_21.parquet")
+    events = table(spark, sf_dir, "events").selectExpr("event_id", "user_id", "cast(ts AS date) AS day")
+    first, last = events.agg(F.min("day"), F.max("day")).first()
+    starts = [first + timedelta(days=d) for d in range(0, (last - first).days + 1, 10)]
+    for start in starts:
+        end = start + timedelta(days=10)
+        part = events.filter((F.col("day") >= F.lit(start)) & (F.col("day") < F.lit(end))).drop("day")
+        part.write.parquet(f"{root}/core/readings/readings_{start:%Y_%m_%d}_to_{end:%Y_%m_%d}.parquet")
+    events.drop("day").write.parquet(f"{root}/core/readings/readings_extra_{last:%Y_%m_%d}.parquet")
     named = manifest.read_named_files(spark, root, "core", "readings")
-    return lake.read_since(named, F.to_date(F.lit("2024-01-11")), F.col("file_date"))
+    return lake.read_since(named, F.lit(first + (last - first) // 2), F.col("file_date"))
 
 
 @query("scan_pruned", "SELECT l_suppkey FROM lineitem")
@@ -296,8 +303,12 @@ def pipeline_two_runs(spark, sf_dir):
     for before, after, given, end in ((0, 1, early, first), (1, 2, pages, last), (1, 3, pages, last)):
         state = run.run_pipeline(spark, roots, states[before], states[after], given, jobs, end)
     loaded = warehouse.read_loaded(spark, f"{roots.warehouse}/{jobs[0].table}")
-    kept = state.select(F.col("last_db_migration_time").alias("loaded_to"), F.size("date_no_data").alias("empty_days"))
-    return loaded.select("vehicle_id", "parc_id", "time", "engineRpm").join(kept)
+    kept = state.select(
+        "table_name", F.col("last_db_migration_time").alias("loaded_to"), F.size("date_no_data").alias("empty_days")
+    )
+    # The table's own folder names it: …/table/file_date=…/load_day=…/file.
+    named = loaded.withColumn("table_name", F.element_at(F.split("_metadata.file_path", "/"), -4))
+    return named.select("table_name", "vehicle_id", "parc_id", "time", "engineRpm").join(kept, "table_name").drop("table_name")
 
 
 # --- streams -----------------------------------------------------------------------------------------------------

@@ -1,13 +1,15 @@
-"""Positions and bounded batches without a global sort."""
+"""Positions and bounded batches without a single task."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from telemetry_lake.functions.names import quoted
+from telemetry_lake.session import scratch_path
 
 # Hexadecimal digits of the hash that name a bucket: 16^3 = 4096 buckets per group.
 BUCKET_DIGITS = 3
@@ -48,6 +50,35 @@ def number_rows(df: DataFrame, key: str, within: Sequence[str] = (), output: str
     return found.unionByName(keyless.select(*columns, F.lit(None).cast("bigint").alias(output)))
 
 
+def order_rows(
+    df: DataFrame, order: Sequence[Column], output: str = "position", within: Sequence[str] = ()
+) -> DataFrame:
+    """Add gapless positions 0..n-1 in a global order, or in that order per group of ``within``, with no single task.
+
+    Rows are cut into ranges of the order and written once to the shared folder, each with its range and its place
+    inside; the sizes of the ranges (one row each) give the offsets. A group's positions are those of its rows less
+    its first one, for which the order must begin with the group's columns; groups join null-safely.
+    """
+    path = scratch_path(df.sparkSession, "ordered")
+    names = [quoted(n) for n in df.columns]
+    # The number that Spark gives a row holds its range in the upper bits and its place in the lower 33.
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.select(*names, F.monotonically_increasing_id().alias("__row")).write.parquet(path)
+    stored = df.sparkSession.read.schema(T.StructType([*df.schema.fields, T.StructField("__row", T.LongType())]))
+    rows = stored.parquet(path).withColumn("__range", F.shiftright("__row", 33))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = sizes.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    place = F.col("__offset") + F.col("__row").bitwiseAND(F.lit((1 << 33) - 1))
+    placed = rows.join(offsets, "__range").select(*names, place.cast("bigint").alias(output))
+    if not within:
+        return placed
+    group = F.struct(*[quoted(n) for n in within]).alias("__group")
+    firsts = placed.groupBy(group).agg(F.min(quoted(output)).alias("__first"))
+    grouped = placed.withColumn("__group", group).join(firsts, "__group")
+    return grouped.select(*names, (quoted(output) - F.col("__first")).alias(output))
+
+
 def batch_keys(
     df: DataFrame, key: str, size: int, within: Sequence[str] = (), batch: str = "batch", output: str = "keys"
 ) -> DataFrame:
@@ -65,6 +96,6 @@ def batch_keys(
     )
 
 
-def reverse_mapping(df: DataFrame, key: str, value: str, size: int = 10_000) -> DataFrame:
+def reverse_mapping(df: DataFrame, key: str, value: str, size: int) -> DataFrame:
     """Keys of every value, as lists of at most ``size`` numbered from 0; small values have one list."""
     return batch_keys(df.select(quoted(key), quoted(value)).distinct(), key, size, [value])

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from telemetry_lake.functions.names import quoted
 from telemetry_lake.functions.time import days_between
-from telemetry_lake.operators.numbering import batch_keys
+from telemetry_lake.operators.numbering import batch_keys, order_rows
 from telemetry_lake.sources.lake import table_path
 
 # The layout family/main_family/table[_date][_to_date][_index].parquet and the dates in a name.
@@ -98,6 +98,11 @@ def newest_first(df: DataFrame, table: str = "table_name", path: str = "path") -
     return df.orderBy(quoted(table), quoted(path).desc())
 
 
+def file_positions(df: DataFrame, table: str = "table_name", path: str = "path") -> DataFrame:
+    """Add the position of each file among those of its table, the last in name order being 0."""
+    return order_rows(df, [quoted(table), quoted(path).desc()], "position", [table])
+
+
 def newest_file(df: DataFrame, table: str = "table_name", path: str = "path") -> DataFrame:
     """The file of each table whose schema wins: the last in name order. Merged before the shuffle."""
     return df.groupBy(quoted(table)).agg(F.max(quoted(path)).alias("newest_path"))
@@ -112,6 +117,6 @@ def files_per_table(df: DataFrame, table: str = "table_name") -> DataFrame:
     )
 
 
-def paths_per_table(df: DataFrame, size: int = 10_000, table: str = "table_name", path: str = "path") -> DataFrame:
+def paths_per_table(df: DataFrame, size: int, table: str = "table_name", path: str = "path") -> DataFrame:
     """Paths of every table, as lists of at most ``size``: a table of very many files has several lists."""
     return batch_keys(df.select(quoted(table), quoted(path)).distinct(), path, size, [table], output="paths")
