@@ -184,6 +184,10 @@ def spark_pattern(spark: SparkSession, pattern: str) -> str:
         cuts = np.flatnonzero(np.diff(points) != 1) + 1
         return "".join(f"\\x{{{p[0]:X}}}-\\x{{{p[-1]:X}}}" for p in np.split(points, cuts) if len(p))
 
+    def late(chars: str) -> str:
+        """A class that is asked only for characters between its ends, so that common ones do not pass every range."""
+        return f"[\\x{{{ord(min(chars)):X}}}-\\x{{{ord(max(chars)):X}}}&&[{ranges(chars)}]]"
+
     out = pattern
     for kind, name in ((r"\p{L}", "L"), (r"\p{N}", "N")):
         own = members(kind)
@@ -192,10 +196,11 @@ def spark_pattern(spark: SparkSession, pattern: str) -> str:
         lacking, beyond = spark.range(1).select(
             F.regexp_replace(F.lit(own), kind, ""), F.regexp_replace(F.lit(others), rf"\P{{{name}}}", "")
         ).first()
-        mended = f"[{kind}{ranges(lacking)}]"
-        out = out.replace(kind, f"[{mended}&&[^{ranges(beyond)}]]" if beyond else mended if lacking else kind)
-    space = ranges(members(r"\s"))
-    return out.replace(r"\S", f"[^{space}]").replace(r"\s", f"[{space}]")
+        mended = f"[{kind}{late(lacking)}]" if lacking else kind
+        out = out.replace(kind, f"[{mended}&&[^{ranges(beyond)}]]" if beyond else mended)
+    space = members(r"\s")
+    inside = ranges("".join(c for c in space if c < "\x7f")) + late("".join(c for c in space if c >= "\x7f"))
+    return out.replace(r"\S", f"[^{inside}]").replace(r"\s", f"[{inside}]")
 
 
 def _words(text: Column, pattern: str) -> Column:
