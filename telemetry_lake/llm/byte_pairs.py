@@ -1,7 +1,7 @@
 """Byte-level BPE by Spark's higher-order functions, over distinct words only.
 
-A text is cut by the pattern of the rank file into words, in the JVM. The frequent words of all texts are counted,
-merged once and sent to the tasks as a bounded table. Then each task puts its texts into bundles: the distinct words
+A text is cut by the pattern of the rank file into words. The frequent words of all texts are counted, merged once and
+sent to the tasks as a bounded table. Then each task puts its texts into bundles: the distinct words
 of a bundle are numbered, and a text is a list of those numbers. Words of a bundle that are not in the table are
 merged in its row by the same column function, and each text takes the ids of its words by number. No text is shuffled.
 
@@ -13,8 +13,9 @@ map, cut into buckets by hash since Spark searches a map from its start.
 from __future__ import annotations
 
 import base64
+import itertools
 import json
-import os
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -23,18 +24,29 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from telemetry_lake.llm.vocabulary import NOT_PLAIN, WITH_SPACE
 from telemetry_lake.session import scratch_path
 
 NONE = 2**31 - 1
 BUCKETS = 1 << 16
 # Words in the table that is sent to tasks, at most; their length in bytes, at most; words of a bundle, about.
-TABLE_WORDS = 1_000_000
+TABLE_WORDS = 2_000_000
 LONG_WORD = 256
-BUNDLE_WORDS = 4_000_000
+BUNDLE_WORDS = 1_000_000
+# Fixed value: the pattern that the plain expression of the vocabularies' helper equals on plain characters.
+GPT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+class Numbers(dict):
+    """A number for every word met, in order."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
 
 
 @dataclass(frozen=True)
@@ -89,63 +101,66 @@ def _lookup(table: Column, token: Column) -> Column:
     return F.coalesce(F.element_at(bucket, token), F.lit(NONE))
 
 
-def _merge_one(table: Column, word: Column, parts: Column, at: Column) -> Column:
-    """Parts of a word with the two at position ``at`` (from 1) as one, and the ranks beside it looked up anew."""
-
-    def joined(q: Column) -> Column:
-        left, first, second = q["left"], q["first"], q["second"]
-        after = F.get(parts, at + 1)["end"] - first["begin"]
-        right_rank = F.when(at < F.size(parts) - 1, _lookup(table, F.substr(word, first["begin"], after))).otherwise(NONE)
-        left_rank = F.when(at > 1, _lookup(table, F.substr(word, left["begin"], second["end"] - left["begin"]))).otherwise(NONE)
-        changed = F.array(
-            F.struct(left["begin"].alias("begin"), left["end"].alias("end"), left_rank.alias("rank")),
-            F.struct(first["begin"].alias("begin"), second["end"].alias("end"), right_rank.alias("rank")),
-        )
-        return _let(
-            changed,
-            lambda new: F.filter(
-                F.transform(
-                    parts,
-                    lambda part, i: F.when(i == at - 2, F.get(new, F.lit(0)))
-                    .when(i == at - 1, F.get(new, F.lit(1)))
-                    .when(i != at, part),
-                ),
-                lambda part: part.isNotNull(),
-            ),
-        )
-
-    around = F.struct(
-        F.when(at > 1, F.get(parts, at - 2)).alias("left"),
-        F.get(parts, at - 1).alias("first"),
-        F.get(parts, at).alias("second"),
-    )
-    return _let(around, joined)
-
-
 def merged(table: Column, text: Column) -> Column:
-    """Ids of one word. ``table`` is the bucketed rank map; a word that is a token is that token."""
+    """Ids of one word. ``table`` is the bucketed rank map; a word that is a token is that token.
+
+    The state of the fold is two lists: the ends of the parts of the word, and the rank of each part with the next one.
+    """
 
     def fold(word: Column) -> Column:
         size = F.length(word)
 
-        def start(i: Column) -> Column:
-            rank = F.when(i < size, _lookup(table, F.substr(word, i, F.lit(2)))).otherwise(NONE)
-            return F.struct(i.alias("begin"), (i + 1).alias("end"), rank.alias("rank"))
+        def between(begin: Column, end: Column) -> Column:
+            return _lookup(table, F.substr(word, begin + 1, end - begin))
+
+        def merge(ends: Column, ranks: Column, at: Column) -> Column:
+            """The parts numbered ``at`` and ``at + 1`` (from 1) as one, and the ranks beside it looked up anew."""
+
+            def joined(q: Column) -> Column:
+                before = F.when(at > 1, between(F.when(at > 2, F.get(ends, at - 3)).otherwise(0), q["end"])).otherwise(NONE)
+                after = F.when(at + 2 <= F.size(ends), between(q["begin"], F.get(ends, at + 1))).otherwise(NONE)
+                return _let(
+                    F.array(before, after),
+                    lambda new: F.struct(
+                        F.filter(ends, lambda _, i: i != at - 1).alias("ends"),
+                        F.filter(
+                            F.transform(
+                                ranks,
+                                lambda rank, i: F.when(i == at - 2, F.get(new, F.lit(0)))
+                                .when(i == at - 1, F.get(new, F.lit(1)))
+                                .otherwise(rank),
+                            ),
+                            lambda _, i: i != at,
+                        ).alias("ranks"),
+                    ),
+                )
+
+            around = F.struct(
+                F.when(at > 1, F.get(ends, at - 2)).otherwise(0).alias("begin"), F.get(ends, at).alias("end")
+            )
+            return _let(around, joined)
 
-        def step(parts: Column, _: Column) -> Column:
+        def step(state: Column, _: Column) -> Column:
+            ends, ranks = state["ends"], state["ranks"]
             return _let(
-                F.array_min(parts["rank"]),
+                F.array_min(ranks),
                 lambda low: F.when(
-                    low < NONE,
-                    _let(
-                        F.array_position(parts["rank"], low).cast("int"), lambda at: _merge_one(table, word, parts, at)
-                    ),
-                ).otherwise(parts),
+                    low < NONE, _let(F.array_position(ranks, low).cast("int"), lambda at: merge(ends, ranks, at))
+                ).otherwise(state),
             )
 
-        parts = F.aggregate(F.sequence(F.lit(2), size), F.transform(F.sequence(F.lit(1), size), start), step)
-        ids = F.transform(
-            parts, lambda part: _lookup(table, F.substr(word, part["begin"], part["end"] - part["begin"]))
+        def start(i: Column) -> Column:
+            return F.when(i < size, _lookup(table, F.substr(word, i, F.lit(2)))).otherwise(NONE)
+
+        places = F.sequence(F.lit(1), size)
+        state = F.aggregate(
+            F.sequence(F.lit(2), size), F.struct(places.alias("ends"), F.transform(places, start).alias("ranks")), step
+        )
+        ids = _let(
+            state["ends"],
+            lambda ends: F.transform(
+                ends, lambda end, i: between(F.when(i > 0, F.get(ends, i - 1)).otherwise(0), end)
+            ),
         )
         return _let(_lookup(table, word), lambda whole: F.when(whole < NONE, F.array(whole)).otherwise(ids))
 
@@ -164,54 +179,75 @@ def encode_words(words: DataFrame, ranks: Ranks, column: str = "word", output: s
     return words.withColumn(output, F.when(word.isNotNull(), ids).when(F.col(column).isNotNull(), empty))
 
 
-def spark_pattern(spark: SparkSession, pattern: str) -> str:
-    """The pattern with the library's own letters, numbers and white space, whatever Unicode version Java has.
+class Splitter:
+    """Cuts texts into words as the library does, with its own letters, numbers and white space.
 
-    The library is asked which code points it takes for each class; those that Java's class lacks (or has beyond) are
-    written beside it.
+    Texts of plain characters, whose class is the same in every Unicode version, go by a plain expression. For the
+    others the library is asked which code points it takes for each class; those on which the regex module thinks
+    otherwise are written into the pattern.
     """
-    import tiktoken
-
-    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
-    alone = {bytes([b]): b for b in range(256)}
-
-    def members(kind: str) -> str:
-        probe = tiktoken.Encoding("probe", pat_str=kind, mergeable_ranks=alone, special_tokens={})
-        return bytes(probe.encode_ordinary(every)).decode()
 
-    def ranges(chars: str) -> str:
-        points = np.array([ord(c) for c in chars], "i8")
-        cuts = np.flatnonzero(np.diff(points) != 1) + 1
-        return "".join(f"\\x{{{p[0]:X}}}-\\x{{{p[-1]:X}}}" for p in np.split(points, cuts) if len(p))
+    def __init__(self, pattern: str):
+        import regex
 
-    def late(chars: str) -> str:
-        """A class that is asked only for characters between its ends, so that common ones do not pass every range."""
-        return f"[\\x{{{ord(min(chars)):X}}}-\\x{{{ord(max(chars)):X}}}&&[{ranges(chars)}]]"
-
-    out = pattern
-    for kind, name in ((r"\p{L}", "L"), (r"\p{N}", "N")):
-        own = members(kind)
-        held = set(own)
-        others = "".join(c for c in every if c not in held)
-        lacking, beyond = spark.range(1).select(
-            F.regexp_replace(F.lit(own), kind, ""), F.regexp_replace(F.lit(others), rf"\P{{{name}}}", "")
-        ).first()
-        mended = f"[{kind}{late(lacking)}]" if lacking else kind
-        out = out.replace(kind, f"[{mended}&&[^{ranges(beyond)}]]" if beyond else mended)
-    space = members(r"\s")
-    inside = ranges("".join(c for c in space if c < "\x7f")) + late("".join(c for c in space if c >= "\x7f"))
-    return out.replace(r"\S", f"[^{inside}]").replace(r"\s", f"[{inside}]")
-
-
-def _words(text: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
+        self.plain = WITH_SPACE.findall if pattern == GPT_PATTERN else None
+        self.pattern = pattern
+        self.regex = regex
+        self.exact = None
 
+    def _exact(self):
+        import tiktoken
 
-def frequent_words(docs: DataFrame, ranks: Ranks, pattern: str, at_most: int = TABLE_WORDS, column: str = "text") -> DataFrame:
+        every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+        alone = {bytes([b]): b for b in range(256)}
+        out = self.pattern
+        for kind, other in ((r"\p{L}", r"\P{L}"), (r"\p{N}", r"\P{N}"), (r"\s", r"\S")):
+            probe = tiktoken.Encoding("probe", pat_str=kind, mergeable_ranks=alone, special_tokens={})
+            taken = set(bytes(probe.encode_ordinary(every)).decode())
+            here = set(self.regex.findall(kind, every))
+            lacking, beyond = ("".join(f"\\U{ord(c):08x}" for c in sorted(part)) for part in (taken - here, here - taken))
+            if lacking or beyond:
+                held = f"[{kind}{lacking}]" if lacking else kind
+                held = f"[{held}--[{beyond}]]" if beyond else held
+                out = out.replace(other, f"[^{held}]").replace(kind, held)
+        return self.regex.compile(out, self.regex.V1).findall
+
+    def __call__(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        if self.plain is not None and not NOT_PLAIN.search(text):
+            return self.plain(text)
+        if self.exact is None:
+            self.exact = self._exact()
+        return self.exact(text)
+
+
+_SPLITTERS: dict[str, Splitter] = {}
+
+
+def splitter(pattern: str) -> Splitter:
+    """The splitter of a pattern, made once per Python worker."""
+    if pattern not in _SPLITTERS:
+        _SPLITTERS[pattern] = Splitter(pattern)
+    return _SPLITTERS[pattern]
+
+
+def frequent_words(docs: DataFrame, ranks: Ranks, at_most: int = TABLE_WORDS, column: str = "text") -> DataFrame:
     """(word, ids) of the words that occur most, every word counted: those of at least ``2**t`` occurrences, with the
     least ``t`` from 1 on that leaves ``at_most`` words. Words longer than ``LONG_WORD`` bytes are left out."""
-    spark = docs.sparkSession
-    found = docs.select(F.explode(_words(F.col(column), pattern)).alias("word")).groupBy("word").count()
+    spark, pattern = docs.sparkSession, ranks.pattern
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split = splitter(pattern)
+        for batch in batches:
+            found = Counter()
+            for text in batch["text"].to_pylist():
+                found.update(split(text))
+            columns = [pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "count"])
+
+    texts = docs.select(F.col(column).cast("string").alias("text"))
+    found = texts.mapInArrow(count, "word string, count bigint").groupBy("word").agg(F.sum("count").alias("count"))
     path = scratch_path(spark, "word_counts")
     repeated = (F.col("count") > 1) & (F.octet_length("word") <= LONG_WORD)
     found.filter(repeated).write.parquet(path)
@@ -233,7 +269,7 @@ def _bundles(
     sent = spark.sparkContext.broadcast(known)  # bounded by TABLE_WORDS words of LONG_WORD bytes
     path, pattern, table = ranks.path, ranks.pattern, None
     fields = [docs.schema[name] for name in keep]
-    text_list, number_list = pa.list_(pa.string()), pa.list_(pa.int32())
+    number_list = pa.list_(pa.int32())
 
     def library(words: Sequence[str]) -> list[list[int]]:
         import tiktoken
@@ -245,11 +281,9 @@ def _bundles(
             )
         return [table.encode_ordinary(w) for w in words]
 
-    def bundle(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        whole = pa.Table.from_batches(held).combine_chunks()
-        lists = pa.concat_arrays([c.cast(text_list) for c in whole["words"].chunks])
-        coded = pc.fill_null(lists.flatten(), "").dictionary_encode()
-        words, numbers = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+    def bundle(held: list[pa.RecordBatch], lists: list[list[int]], seen: dict[str, int]) -> pa.RecordBatch:
+        words = pa.array(seen.keys(), pa.string())
+        numbers = np.fromiter(itertools.chain.from_iterable(lists), "i4")
         place = pc.index_in(words, value_set=sent.value["word"].combine_chunks())
         long = pc.greater(pc.binary_length(words), LONG_WORD)
         there = pc.or_(pc.is_valid(place), long).to_numpy(zero_copy_only=False)
@@ -263,9 +297,9 @@ def _bundles(
             for spot, made in zip(spots, library(words.take(pa.array(spots)).to_pylist())):
                 found[order[spot]] = made
             ids = pa.array(found, number_list)
-        offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
+        offsets = np.cumsum([0, *map(len, lists)])
         codes = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(order[numbers], pa.int32()))
-        columns = [pa.concat_arrays(whole[name].chunks) for name in keep]
+        columns = [pa.concat_arrays([batch[name] for batch in held]) for name in keep]
         rows = pa.StructArray.from_arrays([*columns, codes], names=[*keep, "_codes"])
         rest = words.filter(pa.array(~there))
 
@@ -275,15 +309,22 @@ def _bundles(
         return pa.RecordBatch.from_arrays([one(rows), one(ids), one(rest)], names=["docs", "ids", "words"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, count = [], 0
+        split = splitter(pattern)
+        held, lists, seen, count = [], [], Numbers(), 0
         for batch in batches:
-            held.append(batch)
-            count += int(pc.sum(pc.list_value_length(batch["words"])).as_py() or 0)
-            if count >= bundle_words:
-                yield bundle(held)
-                held, count = [], 0
-        if sum(len(b) for b in held):
-            yield bundle(held)
+            start = 0
+            for at, text in enumerate(batch["_text"].to_pylist()):
+                numbers = list(map(seen.__getitem__, split(text)))
+                lists.append(numbers)
+                count += len(numbers)
+                if count >= bundle_words:
+                    held.append(batch.slice(start, at + 1 - start))
+                    yield bundle(held, lists, seen)
+                    held, lists, seen, count, start = [], [], Numbers(), 0, at + 1
+            if start < len(batch):
+                held.append(batch.slice(start))
+        if lists:
+            yield bundle(held, lists, seen)
 
     row = T.StructType([*fields, T.StructField("_codes", T.ArrayType(T.IntegerType()))])
     schema = T.StructType(
@@ -315,13 +356,10 @@ def encode(
     ``table_words`` bounds the table sent to tasks, ``bundle_words`` the words of a bundle; a text with more is one
     bundle. Neither changes a result.
     """
-    spark = docs.sparkSession
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    pattern = spark_pattern(spark, ranks.pattern)
-    known = frequent_words(docs, ranks, pattern, table_words, column).toArrow()
-    known = known.set_column(0, "word", known["word"].cast(pa.string()))
-    cut = docs.select(*keep, _words(F.col(column), pattern).alias("words"))
-    bundles = _bundles(cut, keep, known, ranks, bundle_words)
+    known = frequent_words(docs, ranks, table_words, column).toArrow()
+    known = known.set_column(0, "word", known["word"].cast(pa.string())).combine_chunks()
+    texts = docs.select(*keep, F.col(column).cast("string").alias("_text"))
+    bundles = _bundles(texts, keep, known, ranks, bundle_words)
 
     def of_words(ids: Column) -> Column:
         return F.transform(
