@@ -194,20 +194,28 @@ def drawn(texts: Sequence[str], random: np.random.Generator) -> tuple[list[list[
     return [block_features(b) for b in found], truth
 
 
-def train(pages: DataFrame, sample: int = 200, layouts: int = 1000, page_chars: int = 100_000, seed: int = 5) -> Field | None:
+def train(
+    pages: DataFrame,
+    sample: int = 200,
+    layouts: int = 1000,
+    page_chars: int = 100_000,
+    page_blocks: int = 200,
+    seed: int = 5,
+) -> Field | None:
     """A field from about ``sample`` of the pages (all, if there are fewer), picked by a hash of their content.
 
     Pages with an article are labelled by their elements. Their blocks are also laid out anew in ``layouts`` drawn
     pages of other kinds, labelled by how they were drawn, so that the field does not hang on one template. The sample
-    is bounded: training leaves out pages of more than ``page_chars`` characters. No text, no field.
+    is bounded: training reads ``page_chars`` characters and ``page_blocks`` blocks of a page at most (extraction reads
+    all). No text, no field.
     """
-    known = pages.filter(F.col("html").isNotNull() & (F.length("html") <= page_chars)).select("html").withColumn(
+    known = pages.filter(F.col("html").isNotNull()).select("html").withColumn(
         "_h", F.xxhash64("html")
     )
     # One row per content, so that many copies of a page are not the whole sample; the limit is on training alone.
     # Only hashes of all pages are shuffled; whole pages are those of the sample.
     hashes = [r[0] for r in known.select("_h").distinct().orderBy("_h").limit(sample).collect()]
-    picked = known.filter(F.col("_h").isin(hashes)).groupBy("_h").agg(F.first("html").alias("html"))
+    picked = known.filter(F.col("_h").isin(hashes)).groupBy("_h").agg(F.first(F.substring("html", 1, page_chars)).alias("html"))
     chosen = [r["html"] for r in picked.orderBy("_h").collect()]
     rows = [found for page in chosen if (found := labelled(page)) and found[0]]
     texts = [b.text for page in chosen for b in blocks(page)]
@@ -215,7 +223,7 @@ def train(pages: DataFrame, sample: int = 200, layouts: int = 1000, page_chars:
         return None
     random = np.random.default_rng(seed)
     rows += [found for _ in range(layouts) if (found := drawn(texts, random))[0]]
-    return fit([(seen[:200], truth[:200]) for seen, truth in rows])
+    return fit([(seen[:page_blocks], truth[:page_blocks]) for seen, truth in rows])
 
 
 def main_text(page: str | None, field: Field | None) -> str:
