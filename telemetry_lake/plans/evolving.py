@@ -100,6 +100,7 @@ def transform_days(
         parts = {
             name: transform_table(part, name, on_error=on_error, external_system=job.external_system)
             for name, part in split_table(whole, [*shared, FILE_DATE], outputs).items()
+            if not set(part.columns) <= {*shared, FILE_DATE}  # a list that no record has had yet has no table yet
         }
     for name, part in parts.items():
         evolving.write_days(part, f"{base}/{name}", days, FILE_DATE, found=_found(part, types))

@@ -201,7 +201,8 @@ def write_days(
     out = out.sortWithinPartitions(*map(quoted, [*keys, *cluster_by]))
     folders = [_folder(keys, one if part else (one,)) for one in days]
     before = {folder: versions.child_names(spark, f"{target}/{folder}") for folder in folders}
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(target)
+    if schema.fields:  # without any field so far there are no files to hold rows
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(target)
     for folder in folders:
         # A day without rows in the batch has kept its files.
         if before[folder] and versions.child_names(spark, f"{target}/{folder}") == before[folder]:
