@@ -53,6 +53,8 @@ class FrameWriter:
         self.held = 0
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        if len(ids) and int(ids.max()) >= 1 << (8 * self.id_bytes):
+            raise OverflowError(f"id {ids.max()} does not fit {self.id_bytes} bytes")
         part = ids.astype(f"<u{self.id_bytes}").tobytes()
         self.doc_ids.append(doc_id)
         self.parts.append(part)
@@ -175,9 +177,7 @@ def frames(manifest: DataFrame) -> DataFrame:
     placed = manifest.withColumn("before", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
     parts = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return placed.select("file", "before").repartition(parts, "file").mapInPandas(
-        tables, 
-        "file string, at bigint, size bigint, crc32 bigint, first bigint, low bigint, high bigint, id_bytes int",
-    
+        tables, "file string, at bigint, size bigint, crc32 bigint, first bigint, low bigint, high bigint, id_bytes int"
     )
 
 

@@ -1,15 +1,16 @@
 """Token ids of whole texts by the tokenizers library, with bounded caches of what it gave before.
 
 A tokenizer works pre-token by pre-token, so the ids of a text are those of its pre-tokens in a row. Texts of plain
-characters are cut at single spaces (a pre-token may start with a space, none runs on across one), then into
-pre-tokens by the vocabulary's own rule, and each distinct pre-token is given to the library's model once. Texts
-with any other character, or with what may be a special string, go to the library whole.
+characters are cut into pre-tokens by the vocabulary's own rule (lower-cased ones at white space first), and each
+distinct pre-token is given to the library's model once. Texts with any other character, or with what may be a special
+string, go to the library whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -67,11 +68,12 @@ class Vocabulary:
         self.lowers = isinstance(changed, normalizers.Sequence) and isinstance(rule, pre_tokenizers.Sequence)
         self.cuts = self.lowers or (changed is None and isinstance(rule, pre_tokenizers.ByteLevel))
         self.tokens = Recent(self._token, 2 * limit)
-        self.chunks = Recent(self._cut if self.lowers else lambda chunk: self._cut(" " + chunk), limit)
+        self.chunks = Recent(self._cut, limit)
 
     def _token(self, token: str) -> bytes:
         spelled = token.encode().decode("latin-1").translate(self.stand_in)
-        return np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
+        ids = [t.id for t in self.model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _cut(self, text: str) -> bytes:
         return b"".join(map(self.tokens.__getitem__, (LOWERED if self.lowers else WITH_SPACE).findall(text)))
@@ -82,11 +84,8 @@ class Vocabulary:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
         if self.lowers:
             found = b"".join(map(self.chunks.__getitem__, text.lower().split()))
-        elif "  " in text or "\n " in text:
-            found = self._cut(text)
         else:
-            first, *rest = text.split(" ")
-            found = self._cut(first) + b"".join(map(self.chunks.__getitem__, rest))
+            found = self._cut(text)
         return np.frombuffer(found, "<u4")
 
     def encode_all(self, texts: Sequence[str | None]) -> list[np.ndarray]:
