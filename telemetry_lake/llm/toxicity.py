@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -95,6 +96,18 @@ def swapped(found: set[str], groups: Sequence[Sequence[str]], most: int) -> list
     return out
 
 
+def swap_pairs(found: set[str], groups: Sequence[Sequence[str]], most: int, turn: int) -> list[tuple[set[str], set[str]]]:
+    """Up to ``most`` pairs of a text's words that differ in identity terms alone.
+
+    A text with such terms is paired with its swaps. One without gets a term placed into it, and is paired with itself
+    holding another one of the group; ``turn`` (any number, fixed for a text) picks the group and its terms.
+    """
+    natural = [(found, other) for other in swapped(found, groups, most)]
+    if natural or not groups:
+        return natural
+    group = groups[turn % len(groups)]
+    starts = [(turn // len(groups) + i) % len(group) for i in range(min(most, len(group) - 1))]
+    return [(found | {group[i]}, found | {group[(i + 1) % len(group)]}) for i in starts]
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], size: int, how: Training):
@@ -127,7 +140,8 @@ def train(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> Mod
 
     An id that is labelled several times is toxic if any label says so; null labels and ids count as none. Without
     labelled rows of both kinds the model knows no feature and scores by the share of toxic rows, 0.25 if there is
-    no row. The sample is bounded, so its ids may be broadcast and its features reach the driver.
+    no row. The sample is bounded, so its ids may be broadcast and its features reach the driver; where its ids have more
+    than twice as many rows, equal rows count once and the rest is thinned by a hash of the text.
     """
     spark = docs.sparkSession
     known = (
@@ -139,6 +153,11 @@ def train(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> Mod
     share = min(1.0, how.sample / max(1, known.count()))
     chosen = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     texts = docs.select(F.col("doc_id").cast("bigint"), "text").join(F.broadcast(chosen), "doc_id")
+    held = texts.select("doc_id").count()
+    if held > 2 * how.sample:
+        texts = texts.withColumn("_h", F.xxhash64("doc_id", "text")).filter(
+            F.pmod("_h", F.lit(1 << 20)) < int(2 * how.sample / held * (1 << 20)) + 1
+        ).dropDuplicates(["doc_id", "_h"]).drop("_h")
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, toxic, rows = Counter(), Counter(), [0, 0]
@@ -181,12 +200,14 @@ def train(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> Mod
             out = []
             for text, label in zip(batch["text"], batch["toxic"]):
                 found = set(words(text))
-                out.append((label, indexed(found), [indexed(s) for s in swapped(found, how.terms, how.swaps)]))
-            yield pd.DataFrame(out, columns=["toxic", "own", "swaps"])
+                pairs = swap_pairs(found, how.terms, how.swaps, zlib.crc32((text or "").encode()))
+                out.append((label, indexed(found), [indexed(s) for s, _ in pairs], [indexed(s) for _, s in pairs]))
+            yield pd.DataFrame(out, columns=["toxic", "own", "first", "second"])
 
-    data = texts.mapInPandas(described, "toxic int, own array<int>, swaps array<array<int>>").collect()
+    kind = "toxic int, own array<int>, first array<array<int>>, second array<array<int>>"
+    data = texts.mapInPandas(described, kind).collect()
     own = [np.array(r["own"], np.int64) for r in data]
-    pairs = [(a, np.array(s, np.int64)) for a, r in zip(own, data) for s in r["swaps"]]
+    pairs = [(np.array(a, np.int64), np.array(b, np.int64)) for r in data for a, b in zip(r["first"], r["second"])]
     bias, weights = fit(own, np.array([r["toxic"] > 0 for r in data], float), pairs, len(names), how)
     return Model(float(bias), {f: float(w) for f, w in zip(names, weights) if w})
 
