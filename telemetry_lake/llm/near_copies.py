@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -353,17 +353,19 @@ def without_copies(spark: SparkSession, docs: DataFrame, like: Likeness = Likene
 
     The kept row has the class's least ``doc_id``; if several rows have that id and text, one of them stays.
     """
-    kept = classes(spark, docs, like).filter("kept").select("doc_id", "key").distinct()
-    ids = kept.groupBy("doc_id").agg(F.collect_set("key").alias("_keys"))
-    word_key = F.pandas_udf(
-        lambda texts: pd.Series([text_key(t, words(t)) for t in texts], dtype=object), "binary"
-    )
-    slim = ids.select(F.col("doc_id").alias("_id"), "_keys")
-    candidates = docs.join(slim, docs["doc_id"].cast("bigint").eqNullSafe(F.col("_id"))).drop("_id")
-    repeated = docs.groupBy(F.col("doc_id").cast("bigint").alias("_id")).count().filter("count > 1").select("_id")
+    own, key = _free_names(docs.columns, "id", "key")
+    kept = classes(spark, docs, like).filter("kept").select(F.col("doc_id").alias(own), F.col("key").alias(key)).distinct()
+    word_key = F.pandas_udf(lambda texts: pd.Series([text_key(t, words(t)) for t in texts], dtype=object), "binary")
+    repeated = docs.groupBy(F.col("doc_id").cast("bigint").alias(own)).count().filter("count > 1").select(own)
+    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col(own))
     # Ids are single almost always; only rows of repeated ids (and null ones) need their text's key again.
-    single = candidates.join(repeated, candidates["doc_id"].eqNullSafe(F.col("_id")), "left_anti").drop("_keys")
-    double = candidates.join(repeated, candidates["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
-    keyed = double.withColumn("_key", word_key("text")).filter(F.array_contains("_keys", F.col("_key")))
-    chosen = keyed.dropDuplicates(["doc_id", "_key"]).drop("_keys", "_key")
-    return single.unionByName(chosen)
+    single = docs.join(repeated, same, "left_anti").join(kept.select(own), same, "left_semi")
+    double = docs.join(repeated, same, "left_semi").withColumn(f"{key}_own", word_key("text"))
+    double = double.join(kept, same & (F.col(f"{key}_own") == F.col(key)), "left_semi")
+    return single.unionByName(double.dropDuplicates(["doc_id", f"{key}_own"]).drop(f"{key}_own"))
+
+
+def _free_names(taken: Sequence[str], *wanted: str) -> list[str]:
+    """Names for columns beside others, like the wanted ones but longer than any that is taken."""
+    mark = "_" * (1 + max((len(n) for n in taken), default=0))
+    return [mark + n for n in wanted]
