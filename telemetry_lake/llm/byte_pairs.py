@@ -31,7 +31,6 @@ from pyspark.sql import types as T
 from telemetry_lake.llm.vocabulary import NOT_PLAIN, WITH_SPACE
 from telemetry_lake.session import scratch_path
 
-NONE = 2**31 - 1
 BUCKETS = 1 << 16
 # Words in the table that is sent to tasks, at most; their length in bytes, at most; words of a bundle, about.
 TABLE_WORDS = 2_000_000
@@ -97,8 +96,9 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _lookup(table: Column, token: Column) -> Column:
+    """Rank of a token, null if it is none."""
     bucket = F.get(table, F.xxhash64(token).bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
-    return F.coalesce(F.element_at(bucket, token), F.lit(NONE))
+    return F.element_at(bucket, token)
 
 
 def merged(table: Column, text: Column) -> Column:
@@ -117,8 +117,8 @@ def merged(table: Column, text: Column) -> Column:
             """The parts numbered ``at`` and ``at + 1`` (from 1) as one, and the ranks beside it looked up anew."""
 
             def joined(q: Column) -> Column:
-                before = F.when(at > 1, between(F.when(at > 2, F.get(ends, at - 3)).otherwise(0), q["end"])).otherwise(NONE)
-                after = F.when(at + 2 <= F.size(ends), between(q["begin"], F.get(ends, at + 1))).otherwise(NONE)
+                before = F.when(at > 1, between(F.when(at > 2, F.get(ends, at - 3)).otherwise(0), q["end"]))
+                after = F.when(at + 2 <= F.size(ends), between(q["begin"], F.get(ends, at + 1)))
                 return _let(
                     F.array(before, after),
                     lambda new: F.struct(
@@ -145,12 +145,12 @@ def merged(table: Column, text: Column) -> Column:
             return _let(
                 F.array_min(ranks),
                 lambda low: F.when(
-                    low < NONE, _let(F.array_position(ranks, low).cast("int"), lambda at: merge(ends, ranks, at))
+                    low.isNotNull(), _let(F.array_position(ranks, low).cast("int"), lambda at: merge(ends, ranks, at))
                 ).otherwise(state),
             )
 
         def start(i: Column) -> Column:
-            return F.when(i < size, _lookup(table, F.substr(word, i, F.lit(2)))).otherwise(NONE)
+            return F.when(i < size, _lookup(table, F.substr(word, i, F.lit(2))))
 
         places = F.sequence(F.lit(1), size)
         state = F.aggregate(
@@ -162,7 +162,7 @@ def merged(table: Column, text: Column) -> Column:
                 ends, lambda end, i: between(F.when(i > 0, F.get(ends, i - 1)).otherwise(0), end)
             ),
         )
-        return _let(_lookup(table, word), lambda whole: F.when(whole < NONE, F.array(whole)).otherwise(ids))
+        return _let(_lookup(table, word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(ids))
 
     return _let(F.decode(F.encode(text, "UTF-8"), "ISO-8859-1"), fold)
 
@@ -261,6 +261,40 @@ def frequent_words(docs: DataFrame, ranks: Ranks, at_most: int = TABLE_WORDS, co
     return encode_words(counts.filter(power >= least).select("word"), ranks)
 
 
+class Lookup:
+    """Places of words in a table of words: by a hash of each word in order, verified by the words themselves."""
+
+    def __init__(self, table: pa.Table):
+        self.words, self.ids = (table[name].combine_chunks() for name in ("word", "ids"))
+        hashes = self._hashes(self.words)
+        self.order = np.argsort(hashes, kind="stable")
+        self.hashes = hashes[self.order]
+
+    @staticmethod
+    def _hashes(words: pa.Array) -> np.ndarray:
+        return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.to_pylist()), "u8", len(words))
+
+    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each word, and whether the word is there: two words of one hash would leave the second unfound."""
+        if not len(self.hashes):
+            return np.zeros(len(words), "i8"), np.zeros(len(words), bool)
+        at = np.minimum(np.searchsorted(self.hashes, self._hashes(words)), len(self.hashes) - 1)
+        place = self.order[at]
+        return place, pc.equal(self.words.take(pa.array(place)), words).to_numpy(zero_copy_only=False)
+
+
+_LOOKUPS: dict[int, Lookup] = {}
+
+
+def _lookup_of(sent) -> Lookup:
+    """The lookup of a table that was sent, made once per Python worker."""
+    key = id(sent.value)
+    if key not in _LOOKUPS:
+        _LOOKUPS.clear()
+        _LOOKUPS[key] = Lookup(sent.value)
+    return _LOOKUPS[key]
+
+
 def _bundles(
     docs: DataFrame, keep: Sequence[str], known: pa.Table, ranks: Ranks, bundle_words: int
 ) -> DataFrame:
@@ -284,16 +318,17 @@ def _bundles(
     def bundle(held: list[pa.RecordBatch], lists: list[list[int]], seen: dict[str, int]) -> pa.RecordBatch:
         words = pa.array(seen.keys(), pa.string())
         numbers = np.fromiter(itertools.chain.from_iterable(lists), "i4")
-        place = pc.index_in(words, value_set=sent.value["word"].combine_chunks())
-        long = pc.greater(pc.binary_length(words), LONG_WORD)
-        there = pc.or_(pc.is_valid(place), long).to_numpy(zero_copy_only=False)
+        lookup = _lookup_of(sent)
+        place, known = lookup(words)
+        long = pc.greater(pc.binary_length(words), LONG_WORD).to_numpy(zero_copy_only=False)
+        there = known | long
         order = np.empty(len(words), "i4")
         order[there] = np.arange(there.sum())
         order[~there] = there.sum() + np.arange((~there).sum())
-        ids = sent.value["ids"].combine_chunks().take(pc.filter(place, pa.array(there))).cast(number_list)
-        if pc.any(long).as_py():
+        ids = lookup.ids.take(pa.array(place[there], mask=~known[there])).cast(number_list)
+        if long.any():
             found = ids.to_pylist()
-            spots = np.flatnonzero(long.to_numpy(zero_copy_only=False))
+            spots = np.flatnonzero(long)
             for spot, made in zip(spots, library(words.take(pa.array(spots)).to_pylist())):
                 found[order[spot]] = made
             ids = pa.array(found, number_list)
@@ -342,12 +377,16 @@ def encode(
     ranks: Ranks,
     column: str = "text",
     keep: Sequence[str] = ("doc_id",),
-    output: str = "ids",
+    forms: Sequence[str] = ("ids",),
     table_words: int = TABLE_WORDS,
     bundle_words: int = BUNDLE_WORDS,
 ) -> DataFrame:
     """The kept columns of every row with the ids of its whole text, one row for one row.
 
+    ``forms`` names what to give: ``ids`` as a list, ``packed`` as little-endian unsigned 32-bit integers, ``decoded``
+    as the bytes that the ids stand for. The last two are made per distinct word of a bundle (``decode``,
+    ``little_endian``) and put in a row per text.
+
     Ids are those of the tiktoken library without special tokens. A null or empty text has no ids; rows with equal
     ids, equal texts or null ids stay rows of their own; an empty table gives an empty one. Columns outside ``keep``
     are not carried, so their names are free. A word (match of the pattern) above ``LONG_WORD`` bytes goes to the
@@ -361,19 +400,44 @@ def encode(
     texts = docs.select(*keep, F.col(column).cast("string").alias("_text"))
     bundles = _bundles(texts, keep, known, ranks, bundle_words)
 
+    def in_a_row(parts: Column, doc: Column) -> Column:
+        return F.transform(doc["_codes"], lambda code: F.get(parts, code))
+
     def of_words(ids: Column) -> Column:
-        return F.transform(
-            F.col("docs"),
-            lambda doc: F.struct(
-                *[doc[name].alias(name) for name in keep],
-                F.flatten(F.transform(doc["_codes"], lambda code: F.get(ids, code))).alias(output),
-            ),
-        )
+        """Texts of a bundle from what each of its words gives."""
+        tables = {
+            "ids": lambda: ids,
+            "packed": lambda: _spelled(ids, ranks.packed),
+            "decoded": lambda: _spelled(ids, ranks.pieces),
+        }
+        given = F.struct(*[tables[form]().alias(form) for form in forms])
+
+        def texts(words: Column) -> Column:
+            def text(doc: Column) -> Column:
+                made = {form: in_a_row(words[form], doc) for form in forms}
+                columns = [
+                    (F.flatten(made[form]) if form == "ids" else F.unhex(F.array_join(made[form], ""))).alias(form)
+                    for form in forms
+                ]
+                return F.struct(*[doc[name].alias(name) for name in keep], *columns)
+
+            return F.transform(F.col("docs"), text)
+
+        return _let(given, texts)
 
     rest = _let(_rank_map(ranks), lambda table: F.transform(F.col("words"), lambda word: merged(table, word)))
     return bundles.select(F.inline(_let(F.concat("ids", rest), of_words)))
 
 
+def _spelled(ids: Column, spelling: str) -> Column:
+    """Lists of ids as hexadecimal text, by a literal table of what each id is spelled as."""
+    table = F.from_json(F.lit(spelling), "array<string>")
+    return _let(
+        table,
+        lambda spelled: F.transform(ids, lambda one: F.array_join(F.transform(one, lambda i: F.get(spelled, i)), "")),
+    )
+
+
 def decode(ids: Column, ranks: Ranks) -> Column:
     """Bytes of a list of ids: its tokens' bytes in a row. An id without a token is passed over; null stays null."""
     pieces = F.from_json(F.lit(ranks.pieces), "array<string>")
@@ -386,12 +450,12 @@ def little_endian(ids: Column, ranks: Ranks) -> Column:
     return _let(packed, lambda table: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), "")))
 
 
-def digests(encoded: DataFrame, ranks: Ranks, column: str = "ids") -> DataFrame:
-    """``doc_id`` with the number of ids, and the SHA-256 of the ids and of the bytes they decode to."""
-    ids = F.col(column)
+def digests(docs: DataFrame, ranks: Ranks) -> DataFrame:
+    """``doc_id`` with the number of ids of the text, and the SHA-256 of the ids and of the bytes they decode to."""
+    encoded = encode(docs, ranks, forms=("packed", "decoded"))
     return encoded.select(
         "doc_id",
-        F.size(ids).cast("bigint").alias("n_tokens"),
-        F.sha2(little_endian(ids, ranks), 256).alias("ids_sha256"),
-        F.sha2(decode(ids, ranks), 256).alias("decoded_sha256"),
+        F.expr("octet_length(packed) div 4").alias("n_tokens"),
+        F.sha2("packed", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )

@@ -103,7 +103,7 @@ def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = byte_pairs.Ranks(_tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return byte_pairs.digests(byte_pairs.encode(_table(ready(spark), sf_dir, "documents"), ranks), ranks)
+    return byte_pairs.digests(_table(ready(spark), sf_dir, "documents"), ranks)
 
 
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:

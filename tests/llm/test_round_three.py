@@ -121,11 +121,13 @@ def test_ids_are_the_librarys(spark, ranks, library):
     wanted = Counter((i, tuple(library.encode_ordinary(t or ""))) for i, t, *_ in rows)
     assert Counter((r.doc_id, tuple(r.ids)) for r in back) == wanted and {r.words for r in back} == {"w"}
     assert Counter(bytes(r.back) for r in back) == Counter((t or "").encode() for t in texts)
-    digests = {r.doc_id: r for r in byte_pairs.digests(out, ranks).collect()}
+    digests = {r.doc_id: r for r in byte_pairs.digests(df, ranks).collect()}
     ids = library.encode_ordinary(texts[7])
     assert digests[7].n_tokens == len(ids) and digests[7].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
     assert digests[7].decoded_sha256 == hashlib.sha256(texts[7].encode()).hexdigest()
     assert byte_pairs.encode(df.limit(0), ranks).count() == 0
+    packed = {r.doc_id: bytes(r.p) for r in out.select("doc_id", byte_pairs.little_endian(F.col("ids"), ranks).alias("p")).collect()}
+    assert packed[7] == np.array(ids, "<u4").tobytes()
 
 
 def test_the_cutter_knows_every_character(ranks):
