@@ -21,9 +21,12 @@ from pyspark.sql import functions as F
 
 from telemetry_lake.session import scratch_path
 
-# Fixed value: what a term is made of, as the contract of the search states it.
-TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# What a term is made of, once A-Z are lower-cased: digits, a-z and all beyond ASCII, character by
+# character since a list is found faster than ranges, let alone their complement.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+TERM = r"[0123456789" + LOWER + r"\x{80}-\x{10FFFF}]+"
+# Stands for a document among its terms, with its number of terms; no term is empty.
+WHOLE = ""
 COUNTED = "doc_row bigint, doc_id bigint, length bigint, term string, tf bigint"
 POSTING = "block bigint, doc_row bigint, id bigint, known boolean, term string, owner int, part bigint"
 BUNDLE = (
@@ -38,7 +41,8 @@ def terms(text: Column) -> Column:
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """A row per document and distinct term, with the document's number of terms.
+    """A row per document and distinct term, with the document's number of terms, and a row ``WHOLE`` per document that
+    has any.
 
     Documents get a number of their own, so that rows with one id stay apart; it holds once the result is written.
     """
@@ -50,13 +54,15 @@ def counted(docs: DataFrame) -> DataFrame:
             coded = lists.flatten().dictionary_encode()
             codes, words = coded.indices.to_numpy(zero_copy_only=False).astype("i8"), max(len(coded.dictionary), 1)
             pairs, tf = np.unique(np.repeat(np.arange(len(sizes)), sizes) * words + codes, return_counts=True)
-            row = pa.array(pairs // words)
+            some = np.flatnonzero(sizes)
+            row = pa.array(np.concatenate([pairs // words, some]))
+            names = pa.concat_arrays([coded.dictionary.take(pa.array(pairs % words)), pa.array([WHOLE] * len(some), pa.string())])
             columns = [
                 batch["doc_row"].take(row),
                 batch["doc_id"].take(row),
                 pa.array(sizes).take(row),
-                coded.dictionary.take(pa.array(pairs % words)),
-                pa.array(tf.astype("i8")),
+                names,
+                pa.array(np.concatenate([tf, sizes[some]]).astype("i8")),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_row", "doc_id", "length", "term", "tf"])
 
@@ -139,15 +145,16 @@ def rank(
     about) and ``item_group`` (items of a bundle group, about) change no result.
     """
     spark: SparkSession = docs.sparkSession
-    length = F.size(terms(F.col("text")))
-    documents, total = docs.filter(length > 0).agg(F.count(F.lit(1)), F.sum(length.cast("bigint"))).first()
-    if not documents:
-        return spark.createDataFrame([], "item_id bigint, rank int, doc_id bigint, score bigint")
     asked = item_terms(items, item_group)
+    wanted = asked.select("term").distinct().unionByName(spark.createDataFrame([(WHOLE,)], "term string"))
 
     path = scratch_path(spark, "term_counts")
-    counted(docs).join(asked.select("term").distinct(), "term", "left_semi").write.parquet(path)
-    counts = spark.read.schema(COUNTED).parquet(path)
+    counted(docs).join(wanted, "term", "left_semi").write.parquet(path)
+    stored = spark.read.schema(COUNTED).parquet(path)
+    documents, total = stored.filter(F.col("term") == WHOLE).agg(F.count(F.lit(1)), F.sum("tf")).first()
+    if not documents:
+        return spark.createDataFrame([], "item_id bigint, rank int, doc_id bigint, score bigint")
+    counts = stored.filter(F.col("term") != WHOLE)
     frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weight = F.floor(1000 * F.log(F.lit(2.0 * documents + 2) / (2.0 * F.col("df") + 1))).cast("bigint")
     weights = frequency.select("term", weight.alias("weight"), owner_of(F.col("df"), documents, owners).alias("owner"))

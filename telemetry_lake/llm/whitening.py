@@ -202,7 +202,8 @@ class Whitener:
         return (grid - whole).astype(float) - rest / self.count
 
     def whiten(self, grid: np.ndarray) -> np.ndarray:
-        return self.centred(grid) @ self.vectors / np.sqrt(self.values)
+        # Summed row by row, so that equal rows have equal numbers whatever lies beside them.
+        return np.einsum("ij,jk->ik", self.centred(grid), self.vectors) / np.sqrt(self.values)
 
     def deviations(self, grid: np.ndarray) -> np.ndarray:
         """Sum over dimensions of ``(n*x - S)**2``, exact; raises beyond 64 bits."""
