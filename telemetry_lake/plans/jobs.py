@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from telemetry_lake.operators.columns import zoneless_timestamps
 from telemetry_lake.operators.split import split_table
 from telemetry_lake.plans.tables import SPLITS, TABLE_STEPS, TRANSFORMED_AT_LANDING, split_plan, transform_table
 from telemetry_lake.sources.envelope import record_schema, records_to_columns, unwrap_envelope
-from telemetry_lake.sources.lake import read_since, read_table, table_path, write_partitioned
+from telemetry_lake.sources.evolving import remember, remembered
+from telemetry_lake.sources.lake import read_since, replacing, table_path, write_partitioned
 from telemetry_lake.sources.manifest import read_named_files
+from telemetry_lake.sources.versions import child_names
 from telemetry_lake.sources.warehouse import LoadSpec, load_table
 
 FILE_DATE = "file_date"
@@ -62,10 +65,37 @@ def land_stage(pages: DataFrame, raw_root: str, job: TableJob) -> str:
     if job.table in TRANSFORMED_AT_LANDING:
         landed = transform_table(landed, job.table, date=F.col(FILE_DATE).cast("string"), external_system=job.external_system)
     target = table_path(raw_root, job.family, job.table)
-    write_partitioned(landed, target, [FILE_DATE])
+    days = [r[0] for r in pages.select(FILE_DATE).distinct().collect()]
+    _write_days(landed, target, days)
     return target
 
 
+def _write_days(df: DataFrame, target: str, days: Sequence[object]) -> None:
+    """Write whole days, so that what they held before goes, and keep the schema beside them."""
+    with replacing(df.sparkSession, target, days):
+        write_partitioned(df, target, [FILE_DATE])
+    remember(df.sparkSession, target, zoneless_timestamps(df.drop(FILE_DATE)).schema)
+
+
+def _stored_table(spark: SparkSession, folder: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """A folder of days with its kept schema, for which no footer is read; without one, footers are merged."""
+    known = remembered(spark, folder) if schema is None else None
+    if known is not None:
+        schema = T.StructType([*known.fields, T.StructField(FILE_DATE, T.DateType())])
+    reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
+    return reader.parquet(folder)
+
+
+def _days_since(spark: SparkSession, folder: str, job: TableJob) -> list[str | None]:
+    """Days that a stage does, by the names of their folders alone."""
+    names = [n.removeprefix(f"{FILE_DATE}=") for n in child_names(spark, folder) if n.startswith(f"{FILE_DATE}=")]
+    days = [None if n == "__HIVE_DEFAULT_PARTITION__" else n for n in names]
+    if job.download_type != "time" or job.watermark is None:
+        return days
+    late = {str(d) for d in job.late}
+    return [d for d in days if d is None or d >= job.watermark or d in late]
+
+
 def transform_stage(
     spark: SparkSession, raw_root: str, flat_root: str, jobs: Sequence[TableJob], on_error: str = "raise"
 ) -> list[str]:
@@ -79,18 +109,19 @@ def transform_stage(
         if job.layout == "named":
             raw = read_named_files(spark, raw_root, job.family, job.table, schema=job.schema, file_date=FILE_DATE)
         else:
-            raw = read_table(spark, raw_root, job.family, job.table, job.schema)
+            raw = _stored_table(spark, table_path(raw_root, job.family, job.table), job.schema)
         if FILE_DATE not in raw.columns:
             raw = raw.withColumn(FILE_DATE, F.lit(None).cast("date"))
         flat = transform_table(
             _since(raw, job), job.table, TRANSFORMED_AT_LANDING, on_error, external_system=job.external_system
         )
         base = table_path(flat_root, job.family, job.table)
+        days = _days_since(spark, table_path(raw_root, job.family, job.table), job)
         parts = {job.table: flat}
         if job.table in SPLITS:
             if job.table in TABLE_STEPS:
                 whole = f"{base}/_whole"
-                write_partitioned(flat, whole, [FILE_DATE])
+                _write_days(flat, whole, days)
                 stored = spark.read.schema(T.StructType([f for f in flat.schema if f.name != FILE_DATE]))
                 flat = _since(stored.parquet(whole).withColumn(FILE_DATE, F.col(FILE_DATE).cast("date")), job)
             shared, outputs = split_plan(flat, job.table, job.external_system)
@@ -99,7 +130,7 @@ def transform_stage(
                 for name, part in split_table(flat, [*shared, FILE_DATE], outputs).items()
             }
         for name, part in parts.items():
-            write_partitioned(part, f"{base}/{name}", [FILE_DATE])
+            _write_days(part, f"{base}/{name}", days)
             written.append(f"{base}/{name}")
     return written
 
@@ -124,7 +155,7 @@ def load_stage(
     loaded = []
     for job in jobs:
         folder = f"{table_path(flat_root, job.family, job.parent or job.table)}/{job.table}"
-        flat = _since(spark.read.option("mergeSchema", "true").parquet(folder), job)
+        flat = _since(_stored_table(spark, folder), job)
         day = F.col(FILE_DATE).cast("date")
         if start is not None:
             flat = flat.filter(day >= F.lit(start).cast("date"))
@@ -138,6 +169,9 @@ def load_stage(
         if spec.download_type == "oneshot" or not replace_days:
             load_table(flat.drop(FILE_DATE), target, spec)
         else:
-            load_table(flat, target, spec, batch_day=FILE_DATE)
+            days = _days_since(spark, folder, job)
+            days = [d for d in days if (start is None or d is None or d >= start) and (end is None or d is None or d <= end)]
+            with replacing(spark, target, days):
+                load_table(flat, target, spec, batch_day=FILE_DATE)
         loaded.append(target)
     return loaded

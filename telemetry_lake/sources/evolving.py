@@ -166,6 +166,47 @@ def merge_schema(spark: SparkSession, base: str, found: T.StructType) -> tuple[i
             continue
 
 
+def remember(spark: SparkSession, base: str, written: T.StructType) -> None:
+    """Keep the schema of a plain folder of files beside it, with the columns of a batch added.
+
+    Files of such a folder are read with one schema, so a column whose type changes makes the folder go without (its
+    schema becomes one without fields, and readers merge footers, which tells where the types differ).
+    """
+    while True:
+        found = versions.newest(spark, f"{base}/{SCHEMAS}")
+        stored = T.StructType.fromJson(json.loads(found[1])) if found else T.StructType()
+        known = {f.name: f.dataType for f in stored.fields}
+        fields = _nullable(written).fields
+        fresh = [f for f in fields if f.name not in known]
+        same = all(known.get(f.name, f.dataType) == f.dataType for f in fields)
+        if found and (not stored.fields or (same and not fresh)):
+            return
+        merged = T.StructType([*stored.fields, *fresh]) if same else T.StructType()
+        try:
+            versions.commit(spark, f"{base}/{SCHEMAS}", found[0] if found else 0, merged.json())
+            return
+        except versions.Conflict:
+            continue
+
+
+def remembered(spark: SparkSession, base: str) -> T.StructType | None:
+    """The schema kept beside a plain folder; none where there is none, or where types differ."""
+    found = versions.newest(spark, f"{base}/{SCHEMAS}")
+    schema = T.StructType.fromJson(json.loads(found[1])) if found else T.StructType()
+    return schema if schema.fields else None
+
+
+def _nullable(dtype: T.DataType) -> T.DataType:
+    """A type whose parts may all be null, as files are read."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in dtype.fields])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_nullable(dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        return T.MapType(_nullable(dtype.keyType), _nullable(dtype.valueType))
+    return dtype
+
+
 def _folder(names: Sequence[str], values: Sequence[object]) -> str:
     return "/".join(f"{n}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for n, v in zip(names, values))
 

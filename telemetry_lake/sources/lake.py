@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from telemetry_lake.functions.names import quoted
 from telemetry_lake.operators.columns import zoneless_timestamps
+from telemetry_lake.sources.versions import files_below, remove
 
 # Fixed value: the part of a file name that starts with its date.
 FILE_SUFFIX = r"^[a-zA-Z0-9_]+?_(\d{4}_\d{2}_\d{2}.*)"
@@ -80,6 +82,22 @@ def write_partitioned(
     writer.partitionBy(*partitions).parquet(path)
 
 
+@contextmanager
+def replacing(spark: SparkSession, path: str, days: Iterable[object], day: str = "file_date") -> Iterator[None]:
+    """Around a write with dynamic overwrite: all that these days held goes once the write has ended.
+
+    The write itself replaces the partitions that it has rows for; a day that is redone to no rows, or to fewer parts,
+    would keep the rest. A write that fails leaves everything, and one that stopped after it is mended by repeating it.
+    """
+    folders = [f"{path}/{day}={'__HIVE_DEFAULT_PARTITION__' if one is None else one}" for one in days]
+    before = {folder: files_below(spark, folder) for folder in folders}
+    yield
+    for folder, files in before.items():
+        if files:
+            for stale in files & files_below(spark, folder):
+                remove(spark, stale)
+
+
 def list_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
     """Paths below a root, relative to it. Only the listing is read, never the content."""
     files = (

@@ -25,6 +25,17 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(place)) if system.exists(place) else []
 
 
+def files_below(spark: SparkSession, path: str) -> set[str]:
+    """Paths of all files below a folder, as the file system names them; none if there is no folder."""
+    place, system = _place(spark, path)
+    if not system.exists(place):
+        return set()
+    listed, found = system.listFiles(place, True), set()
+    while listed.hasNext():
+        found.add(listed.next().getPath().toString())
+    return found
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder or file if it is there."""
     place, system = _place(spark, path)
