@@ -1,4 +1,10 @@
-"""Approximate nearest neighbours by p-stable hashing with several probes per table."""
+"""Approximate nearest neighbours by p-stable hashing with several probes per table.
+
+The nearest are those of the largest inner product, whatever the vectors' norms, while hashing finds what is near in
+distance. So candidates are put in bands of like norm; each band is scaled to norms of at most 1 by its own largest one,
+and every vector gets one more coordinate that fills it up to norm 1. Against a query of norm 1 (with 0 there) distance
+then falls as the inner product rises. A query visits its buckets in every band.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +15,7 @@ from math import erf, sqrt
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemetry_lake.session import scratch_path
@@ -19,7 +25,9 @@ CELL_BITS = 12
 
 @dataclass(frozen=True)
 class Index:
-    """Parameters of the hashing. Vectors count as of about unit length: ``scale`` multiplies them before hashing.
+    """Parameters of the hashing. Vectors come with norm 1 (see above); ``scale`` multiplies them before hashing.
+
+    Norms of a band lie within a factor ``band`` of each other.
 
     A table has ``hashes`` lines of random normal direction, cut in cells of ``width``; a bucket is a cell of each. A
     query visits the buckets around its own, likeliest first, until the estimated chance that a neighbour at
@@ -35,11 +43,20 @@ class Index:
     reach: int = 2
     seed: int = 17
     scale: float = 1.0
+    band: float = 1.25
 
     def lines(self) -> tuple[np.ndarray, np.ndarray]:
         random = np.random.default_rng(self.seed)
         directions = random.standard_normal((self.tables, self.dimension, self.hashes))
-        return directions, random.uniform(0, self.width, (self.tables, self.hashes))
+        shifts = random.uniform(0, self.width, (self.tables, self.hashes))
+        filling = random.standard_normal((self.tables, 1, self.hashes))
+        return np.concatenate([directions, filling], axis=1), shifts
+
+    def filled(self, vectors: np.ndarray, largest: np.ndarray) -> np.ndarray:
+        """Vectors over the largest norm of their band, with the coordinate that makes their norm 1."""
+        scaled = vectors / largest[:, None]
+        rest = np.sqrt(np.maximum(0, 1 - (scaled * scaled).sum(axis=1)))
+        return np.column_stack([scaled, rest])
 
     def cells(self, vectors: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Table, cells and the place inside the cell (0 to 1) of each vector."""
@@ -86,6 +103,13 @@ def usable(vectors: DataFrame, key: str, column: str) -> DataFrame:
     )
 
 
+def _norm(vector: Column) -> Column:
+    """Euclidean norm, by the largest component so that no square leaves the range of doubles."""
+    most = F.array_max(F.transform(vector, F.abs))
+    squares = F.aggregate(F.transform(vector, lambda x: (x / most) * (x / most)), F.lit(0.0), lambda a, b: a + b)
+    return most * F.sqrt(squares)
+
+
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
@@ -183,14 +207,22 @@ def nearest(
     spark = vectors.sparkSession
     sized = F.size("vector") == index.dimension
     vectors, queries = vectors.filter(sized), queries.filter(sized)
+    norm, logs = _norm(F.col("vector")), F.log(F.lit(index.band))
+    vectors = vectors.withColumn("norm", norm).withColumn("band", F.floor(F.log("norm") / logs + 0.5).cast("int"))
+    queries = queries.withColumn("norm", norm)
+    # A band per factor of the norms there are: few, and at most as many as the range of doubles has.
+    largest = dict(map(tuple, vectors.groupBy("band").agg(F.max("norm")).collect()))
+    first_table = {band: i * index.tables for i, band in enumerate(sorted(largest))}
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = np.array(batch["vector"].tolist(), float).reshape(len(batch), -1)
             stored = [v.tobytes() for v in x.astype("<f8")]
-            for table, cells, _ in index.cells(x) if len(x) else ():
+            filled = index.filled(x, batch["band"].map(largest).to_numpy(float)) if len(x) else x
+            first = batch["band"].map(first_table)
+            for table, cells, _ in index.cells(filled) if len(x) else ():
                 yield pd.DataFrame(
-                    {"table": table, "bucket": index.names(cells), "vec_id": batch["vec_id"], "vector": stored}
+                    {"table": first + table, "bucket": index.names(cells), "vec_id": batch["vec_id"], "vector": stored}
                 )
 
     def probed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -200,16 +232,19 @@ def nearest(
             for start in range(0, len(x), 256):
                 part = x[start : start + 256]
                 stored = np.array([v.tobytes() for v in part.astype("<f8")], object)
-                found = list(index.probes(part))
+                norms = batch["norm"].to_numpy(float)[start : start + 256]
+                found = list(index.probes(np.column_stack([part / norms[:, None], np.zeros(len(part))])))
                 row = np.concatenate([r for _, r, _ in found])
-                yield pd.DataFrame(
-                    {
-                        "table": np.concatenate([np.full(len(r), t) for t, r, _ in found]),
-                        "bucket": np.concatenate([b for _, _, b in found]),
-                        "query_id": ids[start + row],
-                        "vector": stored[row],
-                    }
-                )
+                table = np.concatenate([np.full(len(r), t) for t, r, _ in found])
+                for first in first_table.values():
+                    yield pd.DataFrame(
+                        {
+                            "table": first + table,
+                            "bucket": np.concatenate([b for _, _, b in found]),
+                            "query_id": ids[start + row],
+                            "vector": stored[row],
+                        }
+                    )
 
     kept = vectors.mapInPandas(hashed, "table int, bucket bigint, vec_id bigint, vector binary")
     asked = queries.mapInPandas(probed, "table int, bucket bigint, query_id bigint, vector binary")
@@ -241,15 +276,12 @@ def nearest(
     short = queries.join(full.withColumnRenamed("query_id", "vec_id"), "vec_id", "left_anti")
     if short.isEmpty():
         return first.select("query_id", "rank", "vec_id", "score")
-    # Buckets of a table are bounded by the cells that its lines can have, whatever the number of vectors.
-    cells = [r[0] for r in kept.filter("table = 0").select("bucket").distinct().collect()]
+    # One table of every band holds all vectors. Its buckets are bounded by the cells that its lines can have, as all
+    # norms are 1, whatever the number of vectors.
+    firsts = kept.filter(F.col("table") % index.tables == 0).select("table", "bucket").distinct()
+    places = F.array(*[F.struct(F.lit(t).alias("table"), F.lit(b).alias("bucket")) for t, b in map(tuple, firsts.collect())])
     stored = F.udf(lambda v: np.array(v, "<f8").tobytes(), "binary")
-    everywhere = short.select(
-        F.lit(0).alias("table"),
-        F.explode(F.lit(cells).cast("array<bigint>")).alias("bucket"),
-        F.col("vec_id").alias("query_id"),
-        stored("vector").alias("vector"),
-    )
+    everywhere = short.select(F.inline(places), F.col("vec_id").alias("query_id"), stored("vector").alias("vector"))
     lonely = ranked(met(everywhere))
     rest = first.join(short.select(F.col("vec_id").alias("query_id")).distinct(), "query_id", "left_anti")
     columns = ["query_id", "rank", "vec_id", "score"]

@@ -15,7 +15,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from telemetry_lake.llm import byte_pairs, near_copies, ranked_search, toxicity, whitening
+from telemetry_lake.llm import byte_pairs, near_copies, nearest, ranked_search, toxicity, whitening
 from telemetry_lake.llm.main_text import main_text, train
 from telemetry_lake.llm.pages import blocks
 
@@ -271,3 +271,28 @@ def test_training_rows_of_one_id_are_bounded(spark):
     labels = spark.range(40).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS toxic")
     model = toxicity.train(docs.union(docs), labels, toxicity.Training(sample=40, rounds=5))
     assert 0 <= model.score("calm") <= 1
+
+
+# --- nearest neighbours
+
+
+@pytest.mark.parametrize("norms", ["one", "three", "ten", "lognormal 0.3", "lognormal 1", "tiny"])
+def test_neighbours_of_vectors_of_any_norm(spark, norms):
+    random_numbers = np.random.default_rng(12)
+    points = random_numbers.standard_normal((1500, 64))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    kind, _, sigma = norms.partition(" ")
+    size = {"one": 1, "three": 3, "ten": 10, "tiny": 1e-12}.get(kind, None)
+    points *= size if size else np.exp(float(sigma) * random_numbers.standard_normal(1500))[:, None]
+    table = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id bigint, embedding array<double>")
+    usable = nearest.usable(table, "vec_id", "embedding")
+    got = nearest.nearest(usable, usable.filter("vec_id % 20 = 0"), 20, nearest.Index(dimension=64)).collect()
+    scores = points @ points.T
+    np.fill_diagonal(scores, -np.inf)
+    hits = 0
+    for query in range(0, 1500, 20):
+        own = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == query)
+        assert [r for r, _, _ in own] == list(range(1, 21))
+        assert np.allclose([x for _, _, x in own], scores[query][[v for _, v, _ in own]], rtol=1e-9, atol=0)
+        hits += len({v for _, v, _ in own} & set(np.argsort(-scores[query])[:20].tolist()))
+    assert hits / (75 * 20) >= 0.9
