@@ -49,19 +49,36 @@ def _draw(key: Column, level: str, nodes: dict[int, tuple[float, Column]]) -> Co
     return draws[0]["to"] if len(draws) == 1 else F.array_min(F.array(*draws))["to"]
 
 
-def shard_of(key: Column, leaves: Sequence[Shard]) -> Column:
-    """Number of the shard of a key: an expression without UDF; null keys have a shard as any other."""
-    regions: dict[int, tuple[float, Column]] = {}
-    for region in sorted({s.region for s in leaves}):
-        racks: dict[int, tuple[float, Column]] = {}
-        inside = [s for s in leaves if s.region == region]
-        for rack in sorted({s.rack for s in inside}):
-            own = [s for s in inside if s.rack == rack]
-            picks = {s.number: (s.weight, F.lit(s.number)) for s in own}
-            level = f"shard of {region}.{rack}"
-            racks[rack] = (sum(s.weight for s in own), _draw(key, level, picks))
-        regions[region] = (sum(s.weight for s in inside), _draw(key, f"rack of {region}", racks))
-    return _draw(key, "region", regions)
+def descend(df: DataFrame, key: Column, leaves: Sequence[Shard], output: str) -> DataFrame:
+    """Add the shard of a key, level by level: a row draws a region, then a rack among that region's, then a shard among
+    that rack's, and no other subtree is drawn for it. Native columns; null keys have a shard as any other."""
+    regions, racks, shards = {}, {}, {}
+    for leaf in leaves:
+        regions[leaf.region] = regions.get(leaf.region, 0.0) + leaf.weight
+        inside = racks.setdefault(leaf.region, {})
+        inside[leaf.rack] = inside.get(leaf.rack, 0.0) + leaf.weight
+        shards.setdefault((leaf.region, leaf.rack), {})[leaf.number] = leaf.weight
+    region, rack = F.col(f"{output}_region"), F.col(f"{output}_rack")
+    # A column per level, so that the one above is drawn once and not again for every branch that asks for it.
+    df = df.withColumn(f"{output}_region", _draw(key, "region", _nodes(regions)))
+    to_rack = [(region == r, _draw(key, f"rack of {r}", _nodes(own))) for r, own in sorted(racks.items())]
+    df = df.withColumn(f"{output}_rack", _first(to_rack))
+    to_shard = [
+        ((region == r) & (rack == k), _draw(key, f"shard of {r}.{k}", _nodes(own))) for (r, k), own in sorted(shards.items())
+    ]
+    return df.withColumn(output, _first(to_shard)).drop(f"{output}_region", f"{output}_rack")
+
+
+def _nodes(weights: dict[int, float]) -> dict[int, tuple[float, Column]]:
+    return {node: (weight, F.lit(node)) for node, weight in weights.items()}
+
+
+def _first(cases: Sequence[tuple[Column, Column]]) -> Column:
+    """The value of the case that holds; the last case needs no question."""
+    value = cases[-1][1]
+    for asked, result in reversed(cases[:-1]):
+        value = F.when(asked, result).otherwise(value)
+    return value
 
 
 def assign_shards(docs: DataFrame, leaves: Sequence[Shard], grown: Sequence[Shard]) -> DataFrame:
@@ -70,8 +87,10 @@ def assign_shards(docs: DataFrame, leaves: Sequence[Shard], grown: Sequence[Shar
     Columns of these names are replaced.
     """
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "grown_shard")]
-    key = F.col("doc_id")
-    return docs.select(*kept, shard_of(key, leaves).alias("shard"), shard_of(key, grown).alias("grown_shard"))
+    mark = "_" * (1 + max((len(c) for c in docs.columns), default=0))
+    placed = descend(docs.select(*kept), F.col("doc_id"), leaves, f"{mark}shard")
+    placed = descend(placed, F.col("doc_id"), grown, f"{mark}grown")
+    return placed.select(*kept, F.col(f"{mark}shard").alias("shard"), F.col(f"{mark}grown").alias("grown_shard"))
 
 
 def shard_slots(docs: DataFrame, shards: int = 24) -> DataFrame:
