@@ -3,7 +3,7 @@
 usage: python benchmarks/pandas_side_by_side.py [scale folder] [copies]
 
 The nested files are written once to the shared folder (``copies`` times the rows); both sides then read them,
-transform and keep the result without writing it. pandas runs on one core, as libraries of its kind do.
+transform and keep the result without writing it; both run twice, and the second time counts. pandas runs on one core, as libraries of its kind do.
 """
 
 from __future__ import annotations
@@ -82,9 +82,10 @@ def main() -> None:
             key = raw.columns[0] if name != "reefer_set_point" else "id"
             part = raw.withColumn(key, F.concat(F.col(key), F.lit(f"c{copy}"))) if copy else raw
             part.write.mode("append").parquet(path)
-        started = time.perf_counter()
-        n_pandas = len(in_pandas(pd.read_parquet(path.removeprefix("file:"))))
-        pandas_seconds = time.perf_counter() - started
+        for _ in range(2):
+            started = time.perf_counter()
+            n_pandas = len(in_pandas(pd.read_parquet(path.removeprefix("file:"))))
+            pandas_seconds = time.perf_counter() - started
         for _ in range(2):
             started = time.perf_counter()
             in_spark(spark.read.parquet(path)).write.format("noop").mode("overwrite").save()
