@@ -20,7 +20,7 @@ class Level:
         self.number = number
         self.size = np.uint64(max(64, keys * bits_per_key))
         self.probes = max(1, round(bits_per_key * 0.69))
-        self.bits = np.zeros(int(self.size) // 8 + 1, np.uint8)
+        self.bits = np.zeros((int(self.size) // 64 + 1) * 8, np.uint8)
 
     def places(self, hashes: np.ndarray, probe: int) -> np.ndarray:
         return salted(hashes, self.number * 64 + probe + 1) % self.size
@@ -67,8 +67,8 @@ def build(spark: SparkSession, listed: DataFrame, universe: DataFrame, most_leve
     """A cascade for ``listed`` among ``universe`` (both: column ``key``; null keys are none, repeated ones count once).
 
     The universe is read once: what passes the first level and is not listed is written to the shared folder, and the
-    next levels work on that and on the listed keys, which shrink from level to level. Filters are built from bits of
-    partitions and sent to the driver: 12 bits a key, so the list, not the universe, bounds them.
+    next levels work on that and on the listed keys, which shrink from level to level. Filters are merged on the
+    executors and sent to the driver once: 12 bits a key, so the list, not the universe, bounds them.
     """
     own = listed.select("key").filter("key is not null").distinct().withColumn("hash", _hash(F.col("key")))
     cascade = Cascade()
@@ -86,10 +86,14 @@ def build(spark: SparkSession, listed: DataFrame, universe: DataFrame, most_leve
             part = Level(number, count)
             for batch in batches:
                 part.add(batch["hash"].to_numpy().astype(np.uint64))
-            yield pd.DataFrame({"bits": [part.bits.tobytes()]})
-
-        for row in inside.select("hash").mapInPandas(filled, "bits binary").toLocalIterator():
-            level.bits |= np.frombuffer(row["bits"], np.uint8)
+            words = part.bits.view("<i8")
+            held = np.flatnonzero(words)
+            yield pd.DataFrame({"place": held, "word": words[held]})
+
+        # Bits meet on the executors, word by word; the driver gets one array, whatever the number of partitions.
+        merged = inside.select("hash").mapInPandas(filled, "place bigint, word bigint").groupBy("place").agg(F.bit_or("word"))
+        found = merged.toArrow()
+        level.bits.view("<i8")[found[0].to_numpy()] = found[1].to_numpy()
         cascade.levels.append(level)
         sent = spark.sparkContext.broadcast(level)
 
