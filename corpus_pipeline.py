@@ -13,24 +13,40 @@ from telemetry_lake.session import scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on the labelled ones among them, does not reject."""
+    """Documents that the classifier, trained on the labelled ones among them, does not reject.
+
+    A null or empty text has the score of a text without known features; repeated rows and null ids go the way of their
+    text. Without labelled rows of both kinds no document goes. An empty table stays empty; all columns stay.
+    """
     labels = ready(spark).read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.without_toxic(docs, toxicity.train(docs, labels))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies."""
+    """One document of every group of near copies: the one of the least id; of rows with one id and text one stays.
+
+    Texts without words are copies only where they are equal (null and empty ones alike). Of several classes that share an
+    id (null included) each keeps its own row. An empty table stays empty; all columns stay, whatever their names.
+    """
     return near_copies.without_copies(ready(spark), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark.
+
+    A null or empty text has none. Repeated rows go or stay together; an empty table or benchmark changes nothing; all
+    columns stay.
+    """
     benchmark = ready(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.decontaminated(docs, benchmark)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their sequences."""
+    """Pieces of the documents with their sequences.
+
+    A null or empty text is one piece of the end token alone. Rows are packed each, repeated ones and those with null ids
+    too. An empty table gives no piece. Of the columns the id is carried, so other names are free.
+    """
     import public_tokenizers
 
     tokenizer = public_tokenizers.path("word_bpe_49k.json")

@@ -42,51 +42,61 @@ def _tokenizer(name: str) -> str:
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of at most 2048 tokens, with their sequences."""
     docs = _table(ready(spark), sf_dir, "documents")
     return packing.pack_documents(spark, docs, _tokenizer("word_bpe_49k.json"), end_id=0, capacity=2048)
 
 
 def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector, by inner product."""
     vectors = nearest.usable(_table(ready(spark), sf_dir, "embeddings"), "vec_id", "embedding")
     queries = vectors.filter(F.col("vec_id") % 20 == 0)
     return nearest.nearest(vectors, queries, 20, nearest.Index(dimension=64))
 
 
 def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near copies, the class's size and whether it is the one that stays."""
     docs = _table(ready(spark), sf_dir, "documents")
     return near_copies.classes(spark, docs).select("doc_id", "class_id", "class_size", "kept")
 
 
 def op4_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 24 shards, and where it would lie with one more."""
     return shards.shard_slots(_table(ready(spark), sf_dir, "documents"), 24)
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text."""
     docs = _table(ready(spark), sf_dir, "documents")
     return token_counts.count_tokens(docs, _tokenizer("piece_bpe_32k.model"), limit=4096)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learned from rows that are not held out."""
     docs, labels = _table(ready(spark), sf_dir, "documents"), _table(spark, sf_dir, "labels")
     return toxicity.score_documents(docs, toxicity.train(docs, labels))
 
 
 def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
     pages = _table(ready(spark), sf_dir, "pages")
     return main_text.extract(pages, main_text.train(pages))
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest passage of each benchmark item in each document that has one."""
     docs, benchmark = _table(ready(spark), sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontamination.overlaps(docs, benchmark)
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every url with the rule that fits it and the verdict."""
     pages = _table(ready(spark), sf_dir, "pages")
     return url_filter.judge(pages, block=["net/", "example.com/de/"], allow=["example.net/en/", "org/fr/"])
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all documents' ids, read back from the token files."""
     docs = _table(ready(spark), sf_dir, "documents")
     path = scratch_path(spark, "token_files")
     return token_files.read_digests(token_files.write_token_files(docs, path, _tokenizer("byte_bpe_50k.json"), end_id=2))

@@ -232,7 +232,12 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
-    """Rows of ``docs``, with all their columns, whose text scores below ``limit`` (no shuffle)."""
+    """Rows of ``docs``, with all their columns, whose text scores below ``limit`` (no shuffle).
+
+    A model that knows no feature tells no text from another, and rejects none.
+    """
+    if not model.weights:
+        return docs
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -44,3 +44,20 @@ def test_pipeline(spark, sf_dir):
         ids = left
     packed = {r[0] for r in corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).select("doc_id").collect()}
     assert packed == ids == {r[0] for r in corpus_pipeline.run(spark, sf_dir).select("doc_id").collect()}
+
+
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    """Null ids and texts, repeated rows, columns with clashing names; then empty tables."""
+    text = " ".join(f"word{i} other{i * 7 % 13}" for i in range(40))
+    rows = [(None, text, "en", 1), (None, text, "en", 1), (None, None, None, None), (3, text + " more", "en", 2)]
+    rows += [(4, "", "", 0), (4, "", "", 0), (5, "own words of this one", "de", 3), (6, "benchmark " * 3 + text[::-1], "x", 4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _key string, piece int")
+    labels = spark.createDataFrame([(3, 1, 0), (5, 0, 1), (None, 1, 1)], "doc_id bigint, quality int, toxic int")
+    items = spark.createDataFrame([(1, text[::-1]), (None, None), (2, "")], "item_id bigint, text string")
+    for name, keep in (("whole", True), ("empty", False)):
+        for table, df in (("documents", docs), ("labels", labels), ("benchmark", items)):
+            (df if keep else df.limit(0)).write.parquet(f"{tmp_path}/{name}/{table}.parquet")
+    packed = corpus_pipeline.run(spark, f"{tmp_path}/whole").collect()
+    # One of the copies stays, with the least id (null is none), the empty texts are one, 6 holds an item.
+    assert sorted((r.doc_id for r in packed), key=str) == [3, 4, 5]
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
