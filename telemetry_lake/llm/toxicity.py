@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,15 +111,26 @@ def swap_pairs(found: set[str], groups: Sequence[Sequence[str]], most: int, turn
     return [(found | {group[i]}, found | {group[(i + 1) % len(group)]}) for i in starts]
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], size: int, how: Training):
-    """Bias and weights: logistic loss with weight decay, plus the squared logit differences of swapped pairs."""
-    at = np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    plus = np.concatenate([*(a for a, _ in pairs), np.empty(0, np.int64)]).astype(np.int64)
-    minus = np.concatenate([*(b for _, b in pairs), np.empty(0, np.int64)]).astype(np.int64)
-    plus_owner = np.repeat(np.arange(len(pairs)), [len(a) for a, _ in pairs])
-    minus_owner = np.repeat(np.arange(len(pairs)), [len(b) for _, b in pairs])
-    w, first, second = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
+def lone_features(one: set[str], other: set[str], shared: set[str]) -> set[str]:
+    """Features of ``one`` that ``other`` lacks; ``shared`` holds the features of the words in both.
+
+    All else in a pair of texts cancels out of the difference of their logits.
+    """
+    return text_features(one - other) - text_features(other - one) - shared
+
+
+def _members(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """What the lists hold in a row, and the number of the list that holds it."""
+    return lists.flatten().to_numpy().astype(np.int64), pc.list_parent_indices(lists).to_numpy()
+
+
+def fit(rows: pa.ListArray, labels: np.ndarray, plus: pa.ListArray, minus: pa.ListArray, size: int, how: Training):
+    """Bias and weights: logistic loss with weight decay, plus the squared logit differences of swapped pairs.
+
+    ``rows`` are the features of each text, ``plus`` and ``minus`` those that only the one or the other of a pair has.
+    """
+    (at, owner), (plus_at, plus_owner), (minus_at, minus_owner) = map(_members, (rows, plus, minus))
+    pairs, w, first, second = len(plus), np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, how.rounds + 1):
         logits = np.bincount(owner, w[at], len(rows)) + w[size]
         error = (1 / (1 + np.exp(-np.clip(logits, -40, 40))) - labels) / len(rows)
@@ -126,9 +138,9 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarray
         slope[:size] += np.bincount(at, error[owner], size)
         slope[size] = error.sum()
         if pairs:
-            gap = np.bincount(plus_owner, w[plus], len(pairs)) - np.bincount(minus_owner, w[minus], len(pairs))
-            gap *= 2 * how.swap_weight / len(pairs)
-            slope[:size] += np.bincount(plus, gap[plus_owner], size) - np.bincount(minus, gap[minus_owner], size)
+            gap = np.bincount(plus_owner, w[plus_at], pairs) - np.bincount(minus_owner, w[minus_at], pairs)
+            gap *= 2 * how.swap_weight / pairs
+            slope[:size] += np.bincount(plus_at, gap[plus_owner], size) - np.bincount(minus_at, gap[minus_owner], size)
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         w -= how.rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
@@ -192,23 +204,27 @@ def train(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> Mod
     names = sorted({r["feature"] for r in best.select("feature").collect()} | text_features({t for g in how.terms for t in g}))
     index = spark.sparkContext.broadcast({f: i for i, f in enumerate(names)})
 
-    def indexed(found: set[str]) -> list[int]:
-        return sorted(index.value[f] for f in text_features(found) if f in index.value)
+    def indexed(features: set[str]) -> list[int]:
+        return sorted(index.value[f] for f in features if f in index.value)
 
     def described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for text, label in zip(batch["text"], batch["toxic"]):
                 found = set(words(text))
-                pairs = swap_pairs(found, how.terms, how.swaps, zlib.crc32((text or "").encode()))
-                out.append((label, indexed(found), [indexed(s) for s, _ in pairs], [indexed(s) for _, s in pairs]))
-            yield pd.DataFrame(out, columns=["toxic", "own", "first", "second"])
-
-    kind = "toxic int, own array<int>, first array<array<int>>, second array<array<int>>"
-    data = texts.mapInPandas(described, kind).collect()
-    own = [np.array(r["own"], np.int64) for r in data]
-    pairs = [(np.array(a, np.int64), np.array(b, np.int64)) for r in data for a, b in zip(r["first"], r["second"])]
-    bias, weights = fit(own, np.array([r["toxic"] > 0 for r in data], float), pairs, len(names), how)
+                own, plus, minus = text_features(found), [], []
+                for one, other in swap_pairs(found, how.terms, how.swaps, zlib.crc32((text or "").encode())):
+                    shared = own if found <= other else text_features(one & other)
+                    plus.append(indexed(lone_features(one, other, shared)))
+                    minus.append(indexed(lone_features(other, one, shared)))
+                out.append((label, indexed(own), plus, minus))
+            yield pd.DataFrame(out, columns=["toxic", "own", "plus", "minus"])
+
+    kind = "toxic int, own array<int>, plus array<array<int>>, minus array<array<int>>"
+    # As Arrow arrays: millions of Python numbers would take some hundred megabytes of the driver, and leave holes in it.
+    data = texts.mapInPandas(described, kind).toArrow()
+    labelled, own, plus, minus = (data[name].combine_chunks() for name in ("toxic", "own", "plus", "minus"))
+    bias, weights = fit(own, (labelled.to_numpy() > 0).astype(float), plus.flatten(), minus.flatten(), len(names), how)
     return Model(float(bias), {f: float(w) for f, w in zip(names, weights) if w})
 
 

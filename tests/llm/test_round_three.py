@@ -7,6 +7,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -273,6 +274,33 @@ def test_training_rows_of_one_id_are_bounded(spark):
     assert 0 <= model.score("calm") <= 1
 
 
+def test_training_takes_little_of_the_driver(spark):
+    draw = random.Random(4)
+    common = [f"{a}{b}word{i}" for i, (a, b) in enumerate((a, b) for a in "bcdfghjklm" for b in "nopqrstuvwxyz" * 10)]
+    texts = [(i, " ".join(draw.sample(common, 100)) + " muslim" * (i % 7 == 0)) for i in range(3000)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    labels = spark.range(3000).selectExpr("id AS doc_id", "cast(id % 3 = 0 AS int) AS toxic")
+    how = toxicity.Training(least_association=0.0, rounds=2)
+    tracemalloc.start()
+    try:
+        toxicity.train(docs, labels, how)
+        assert tracemalloc.get_traced_memory()[1] < 40e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_pairs_keep_the_features_that_differ():
+    draw = random.Random(5)
+    terms = [t for g in toxicity.IDENTITY_TERMS for t in g] + ["womenfolk", "mens", "blackbird", "whit", "frau"]
+    for turn in range(300):
+        found = set(draw.sample(terms, draw.randrange(1, 9)))
+        for one, other in toxicity.swap_pairs(found, toxicity.IDENTITY_TERMS, 2, turn):
+            a, b = toxicity.text_features(one), toxicity.text_features(other)
+            shared = toxicity.text_features(one & other)
+            assert toxicity.lone_features(one, other, shared) == a - b
+            assert toxicity.lone_features(other, one, shared) == b - a
+
+
 # --- nearest neighbours
 
 
