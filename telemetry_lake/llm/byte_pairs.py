@@ -91,8 +91,11 @@ class Ranks:
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """A value under a name inside a higher-order function, so that it is computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    """A value under a name inside a higher-order function, so that it is computed once.
+
+    The name is the state of a fold over nothing: an element of ``transform`` would do, but its results are copied whole.
+    """
+    return F.aggregate(F.array().cast("array<int>"), value, lambda held, _: held, use)
 
 
 def _lookup(table: Column, token: Column) -> Column:
@@ -122,21 +125,22 @@ def merged(table: Column, text: Column) -> Column:
                 return _let(
                     F.array(before, after),
                     lambda new: F.struct(
-                        F.filter(ends, lambda _, i: i != at - 1).alias("ends"),
-                        F.filter(
-                            F.transform(
-                                ranks,
-                                lambda rank, i: F.when(i == at - 2, F.get(new, F.lit(0)))
-                                .when(i == at - 1, F.get(new, F.lit(1)))
-                                .otherwise(rank),
-                            ),
-                            lambda _, i: i != at,
+                        F.array_remove(ends, q["gone"]).alias("ends"),
+                        F.transform(
+                            F.filter(ranks, lambda _, i: i != at),
+                            lambda rank, i: F.when(i == q["left"], F.get(new, F.lit(0)))
+                            .when(i == q["right"], F.get(new, F.lit(1)))
+                            .otherwise(rank),
                         ).alias("ranks"),
                     ),
                 )
 
             around = F.struct(
-                F.when(at > 1, F.get(ends, at - 2)).otherwise(0).alias("begin"), F.get(ends, at).alias("end")
+                F.when(at > 1, F.get(ends, at - 2)).otherwise(0).alias("begin"),
+                F.get(ends, at - 1).alias("gone"),
+                F.get(ends, at).alias("end"),
+                (at - 2).alias("left"),
+                (at - 1).alias("right"),
             )
             return _let(around, joined)
 

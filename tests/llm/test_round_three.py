@@ -274,6 +274,21 @@ def test_training_rows_of_one_id_are_bounded(spark):
     assert 0 <= model.score("calm") <= 1
 
 
+def test_merges_copy_no_state(spark, capsys):
+    # A value named by transform(array(value), ...) is copied whole at every merge.
+    ranks = byte_pairs.Ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    words = [" aiouantion", "aaaaaaaaaaa", "", None, " ciónadoqueta", "\u0000\u00ff", " hello", "ab" * 100]
+    df = byte_pairs.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), ranks)
+    library = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks.table, special_tokens={}
+    )
+    got = {r["word"]: r["ids"] for r in df.collect()}
+    assert got == {w: None if w is None else library._encode_single_piece(w) if w else [] for w in words}
+    df.explain(True)
+    plan = re.sub(r"\s", "", capsys.readouterr().out)
+    assert "aggregate(" in plan and "transform(array(" not in plan
+
+
 def test_training_takes_little_of_the_driver(spark):
     draw = random.Random(4)
     common = [f"{a}{b}word{i}" for i, (a, b) in enumerate((a, b) for a in "bcdfghjklm" for b in "nopqrstuvwxyz" * 10)]
