@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telemetry_lake.llm.vocabulary import release
 from telemetry_lake.llm.words import GOLDEN, mix, runs, salted, unit, word_hashes, words
 from telemetry_lake.session import scratch_path
 
@@ -149,6 +150,7 @@ def features(docs: DataFrame, like: Likeness) -> DataFrame:
     """
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release()
         factors = mix(np.arange(1, like.rows + 1, dtype=np.uint64) * GOLDEN) | np.uint64(1)
         for batch in batches:
             keys, sets, members = [], [], []
@@ -190,6 +192,7 @@ def similar(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Pairs (``a``, ``b``) whose texts are as similar as ``least``; ``texts`` has one row (``key``, ``runs``) a key."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release()
         for batch in batches:
             kept = [
                 alike(np.frombuffer(one, "<u4"), np.frombuffer(other, "<u4"), least)
@@ -224,6 +227,7 @@ def strays(members: DataFrame, like: Likeness, size: int = 128) -> DataFrame:
     """
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release()
         for batch in batches:
             kept = []
             for band, lone, others in zip(batch["band"], batch["lone"], batch["others"]):

@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from telemetry_lake.llm.vocabulary import release
 from telemetry_lake.llm.words import words
 
 # Groups of terms that name people; a term is swapped with the others of its group. A parameter of the training.
@@ -172,6 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> Mod
         ).dropDuplicates(["doc_id", "_h"]).drop("_h")
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release()
         total, toxic, rows = Counter(), Counter(), [0, 0]
         for batch in batches:
             for text, label in zip(batch["text"], batch["toxic"]):
@@ -257,6 +259,7 @@ def without_toxic(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFram
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             fine = [sent.value.score(t.as_py()) < limit for t in batch.column("text")]
             yield batch.filter(pa.array(fine, pa.bool_()))

@@ -96,7 +96,16 @@ _LOADED: dict[str, Vocabulary] = {}
 
 
 def vocabulary(path: str) -> Vocabulary:
-    """The vocabulary of a file, loaded once per Python worker."""
+    """The vocabulary of a file, loaded once per Python worker; a worker holds one at a time."""
     if path not in _LOADED:
+        release()
         _LOADED[path] = Vocabulary(path)
     return _LOADED[path]
+
+
+def release() -> None:
+    """Drop the vocabulary that this Python worker holds, with its caches of some 150 MB.
+
+    Workers outlive a stage, so tasks that need memory and no vocabulary call this first.
+    """
+    _LOADED.clear()

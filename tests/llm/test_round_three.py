@@ -12,13 +12,15 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from telemetry_lake.llm import byte_pairs, near_copies, nearest, ranked_search, toxicity, whitening
+from telemetry_lake.llm import byte_pairs, near_copies, nearest, ranked_search, toxicity, vocabulary, whitening
 from telemetry_lake.llm.main_text import main_text, train
 from telemetry_lake.llm.pages import blocks
+from telemetry_lake.llm.queries import ready
 
 EVERY = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
 
@@ -339,3 +341,22 @@ def test_neighbours_of_vectors_of_any_norm(spark, norms):
         assert np.allclose([x for _, _, x in own], scores[query][[v for _, v, _ in own]], rtol=1e-9, atol=0)
         hits += len({v for _, v, _ in own} & set(np.argsort(-scores[query])[:20].tolist()))
     assert hits / (75 * 20) >= 0.9
+
+
+def test_a_worker_holds_one_vocabulary():
+    one, other = (public_tokenizers.path(name) for name in ("word_bpe_49k.json", "byte_bpe_50k.json"))
+    vocabulary.vocabulary(one).encode("some words")
+    vocabulary.vocabulary(other).encode("some words")
+    assert list(vocabulary._LOADED) == [other]
+    vocabulary.release()
+    assert not vocabulary._LOADED
+
+
+def test_batches_of_large_rows_are_small(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]}, pa.schema([("n", pa.int64())]))
+
+    rows = ready(spark).range(40, numPartitions=1).select(F.expr("repeat(cast(id % 10 as string), 1 << 20)").alias("text"))
+    found = [r["n"] for r in rows.mapInArrow(sizes, "n bigint").collect()]
+    assert sum(found) == 40 and max(found) <= 10
