@@ -1,9 +1,10 @@
 """Byte-level BPE by Spark's higher-order functions, over distinct words only.
 
-A text is cut by the pattern of the rank file into words. The frequent words of all texts are counted, merged once and
-sent to the tasks as a bounded table. Then each task puts its texts into bundles: the distinct words
-of a bundle are numbered, and a text is a list of those numbers. Words of a bundle that are not in the table are
-merged in its row by the same column function, and each text takes the ids of its words by number. No text is shuffled.
+A text is cut by the pattern of the rank file into words, once: each task puts its texts into bundles, in which the
+distinct words are numbered and a text is a row of those numbers; bundles are written to the shared folder. The frequent
+words of all bundles are counted, merged once and sent to the tasks as a bounded table. Words of a bundle that are not in
+the table are merged in its row by the same column function, and each text takes the ids of its words by number. No text
+is shuffled.
 
 The merge (``merged``) folds over the bytes of a word, held as a string with one character per byte: as long as two
 neighbours make up a token, those of the lowest rank, the leftmost first, become one. Ranks are looked up in a literal
@@ -120,27 +121,18 @@ def merged(table: Column, text: Column) -> Column:
             """The parts numbered ``at`` and ``at + 1`` (from 1) as one, and the ranks beside it looked up anew."""
 
             def joined(q: Column) -> Column:
-                before = F.when(at > 1, between(F.when(at > 2, F.get(ends, at - 3)).otherwise(0), q["end"]))
                 after = F.when(at + 2 <= F.size(ends), between(q["begin"], F.get(ends, at + 1)))
-                return _let(
-                    F.array(before, after),
-                    lambda new: F.struct(
-                        F.array_remove(ends, q["gone"]).alias("ends"),
-                        F.transform(
-                            F.filter(ranks, lambda _, i: i != at),
-                            lambda rank, i: F.when(i == q["left"], F.get(new, F.lit(0)))
-                            .when(i == q["right"], F.get(new, F.lit(1)))
-                            .otherwise(rank),
-                        ).alias("ranks"),
-                    ),
+                before = between(F.when(at > 2, F.get(ends, at - 3)).otherwise(0), q["end"])
+                new = F.when(at > 1, F.concat(F.slice(ranks, 1, at - 2), F.array(before, after))).otherwise(F.array(after))
+                return F.struct(
+                    F.array_remove(ends, q["gone"]).alias("ends"),
+                    F.concat(new, F.slice(ranks, at + 2, F.size(ranks))).alias("ranks"),
                 )
 
             around = F.struct(
                 F.when(at > 1, F.get(ends, at - 2)).otherwise(0).alias("begin"),
                 F.get(ends, at - 1).alias("gone"),
                 F.get(ends, at).alias("end"),
-                (at - 2).alias("left"),
-                (at - 1).alias("right"),
             )
             return _let(around, joined)
 
@@ -236,22 +228,12 @@ def splitter(pattern: str) -> Splitter:
     return _SPLITTERS[pattern]
 
 
-def frequent_words(docs: DataFrame, ranks: Ranks, at_most: int = TABLE_WORDS, column: str = "text") -> DataFrame:
+def frequent_words(bundles: DataFrame, ranks: Ranks, at_most: int = TABLE_WORDS) -> DataFrame:
     """(word, ids) of the words that occur most, every word counted: those of at least ``2**t`` occurrences, with the
     least ``t`` from 1 on that leaves ``at_most`` words. Words longer than ``LONG_WORD`` bytes are left out."""
-    spark, pattern = docs.sparkSession, ranks.pattern
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = splitter(pattern)
-        for batch in batches:
-            found = Counter()
-            for text in batch["text"].to_pylist():
-                found.update(split(text))
-            columns = [pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["word", "count"])
-
-    texts = docs.select(F.col(column).cast("string").alias("text"))
-    found = texts.mapInArrow(count, "word string, count bigint").groupBy("word").agg(F.sum("count").alias("count"))
+    spark = bundles.sparkSession
+    each = bundles.select(F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("counts").alias("count"))))
+    found = each.groupBy("word").agg(F.sum("count").alias("count"))
     path = scratch_path(spark, "word_counts")
     repeated = (F.col("count") > 1) & (F.octet_length("word") <= LONG_WORD)
     found.filter(repeated).write.parquet(path)
@@ -276,7 +258,9 @@ class Lookup:
 
     @staticmethod
     def _hashes(words: pa.Array) -> np.ndarray:
-        return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.to_pylist()), "u8", len(words))
+        # Part by part: Python strings of the whole table would take some hundred megabytes of each worker.
+        parts = (words.slice(start, 1 << 14).to_pylist() for start in range(0, len(words), 1 << 14))
+        return np.fromiter((xxhash.xxh3_64_intdigest(w) for part in parts for w in part), "u8", len(words))
 
     def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Place of each word, and whether the word is there: two words of one hash would leave the second unfound."""
@@ -299,53 +283,34 @@ def _lookup_of(sent) -> Lookup:
     return _LOOKUPS[key]
 
 
-def _bundles(
-    docs: DataFrame, keep: Sequence[str], known: pa.Table, ranks: Ranks, bundle_words: int
-) -> DataFrame:
-    """One row per bundle: ``docs`` (kept columns and word numbers), ids of the first numbers, words of the rest."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(known)  # bounded by TABLE_WORDS words of LONG_WORD bytes
-    path, pattern, table = ranks.path, ranks.pattern, None
-    fields = [docs.schema[name] for name in keep]
-    number_list = pa.list_(pa.int32())
+def _one(values: pa.Array) -> pa.ListArray:
+    """All values as the list of one row."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-    def library(words: Sequence[str]) -> list[list[int]]:
-        import tiktoken
 
-        nonlocal table
-        if table is None:
-            table = tiktoken.Encoding(
-                "own", pat_str=pattern, mergeable_ranks=Ranks(path, pattern).table, special_tokens={}
-            )
-        return [table.encode_ordinary(w) for w in words]
+def _planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers with their lowest bytes first, then the next ones, and so on, which compresses better."""
+    return numbers.astype("<u4").view("u1").reshape(-1, 4).T.tobytes()
 
-    def bundle(held: list[pa.RecordBatch], lists: list[list[int]], seen: dict[str, int]) -> pa.RecordBatch:
-        words = pa.array(seen.keys(), pa.string())
-        numbers = np.fromiter(itertools.chain.from_iterable(lists), "i4")
-        lookup = _lookup_of(sent)
-        place, known = lookup(words)
-        long = pc.greater(pc.binary_length(words), LONG_WORD).to_numpy(zero_copy_only=False)
-        there = known | long
-        order = np.empty(len(words), "i4")
-        order[there] = np.arange(there.sum())
-        order[~there] = there.sum() + np.arange((~there).sum())
-        ids = lookup.ids.take(pa.array(place[there], mask=~known[there])).cast(number_list)
-        if long.any():
-            found = ids.to_pylist()
-            spots = np.flatnonzero(long)
-            for spot, made in zip(spots, library(words.take(pa.array(spots)).to_pylist())):
-                found[order[spot]] = made
-            ids = pa.array(found, number_list)
-        offsets = np.cumsum([0, *map(len, lists)])
-        codes = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(order[numbers], pa.int32()))
-        columns = [pa.concat_arrays([batch[name] for batch in held]) for name in keep]
-        rows = pa.StructArray.from_arrays([*columns, codes], names=[*keep, "_codes"])
-        rest = words.filter(pa.array(~there))
-
-        def one(array: pa.Array) -> pa.ListArray:
-            return pa.ListArray.from_arrays(pa.array([0, len(array)], pa.int32()), array)
-
-        return pa.RecordBatch.from_arrays([one(rows), one(ids), one(rest)], names=["docs", "ids", "words"])
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.frombuffer(planes, "u1").reshape(4, -1).T.copy().view("<u4").ravel()
+
+
+def _bundles(docs: DataFrame, keep: Sequence[str], pattern: str, bundle_words: int) -> DataFrame:
+    """One row per bundle: ``docs`` (kept columns), ``sizes`` (words of each text), ``codes`` (the number of every word in
+    a row, both as ``_planes``), ``words`` by number and ``counts``, how often each occurs."""
+
+    def bundle(held: list[pa.RecordBatch], lists: list[np.ndarray], seen: dict[str, int]) -> pa.RecordBatch:
+        codes = np.concatenate(lists)
+        sizes = np.fromiter(map(len, lists), "i4", len(lists))
+        rows = pa.StructArray.from_arrays(
+            [pa.concat_arrays([batch[at] for batch in held]) for at in range(len(keep))], names=list(names)
+        )
+        counts = pa.array(np.bincount(codes, minlength=len(seen)), pa.int64())
+        columns = [_one(rows), pa.array([_planes(sizes)]), pa.array([_planes(codes)])]
+        columns += [_one(pa.array(seen.keys(), pa.string())), _one(counts)]
+        return pa.RecordBatch.from_arrays(columns, names=["docs", "sizes", "codes", "words", "counts"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = splitter(pattern)
@@ -353,9 +318,9 @@ def _bundles(
         for batch in batches:
             start = 0
             for at, text in enumerate(batch["_text"].to_pylist()):
-                numbers = list(map(seen.__getitem__, split(text)))
-                lists.append(numbers)
-                count += len(numbers)
+                words = split(text)
+                lists.append(np.fromiter(map(seen.__getitem__, words), "i4", len(words)))
+                count += len(words)
                 if count >= bundle_words:
                     held.append(batch.slice(start, at + 1 - start))
                     yield bundle(held, lists, seen)
@@ -365,17 +330,118 @@ def _bundles(
         if lists:
             yield bundle(held, lists, seen)
 
-    row = T.StructType([*fields, T.StructField("_codes", T.ArrayType(T.IntegerType()))])
+    # Names of the bundle's own, since kept columns may have any.
+    names = [f"c{at}" for at in range(len(keep))]
+    fields = [T.StructField(name, docs.schema[column].dataType) for name, column in zip(names, keep)]
     schema = T.StructType(
         [
-            T.StructField("docs", T.ArrayType(row)),
-            T.StructField("ids", T.ArrayType(T.ArrayType(T.IntegerType()))),
+            T.StructField("docs", T.ArrayType(T.StructType(fields))),
+            T.StructField("sizes", T.BinaryType()),
+            T.StructField("codes", T.BinaryType()),
             T.StructField("words", T.ArrayType(T.StringType())),
+            T.StructField("counts", T.ArrayType(T.LongType())),
         ]
     )
     return docs.mapInArrow(gather, schema)
 
 
+def _looked_up(bundles: DataFrame, known: pa.Table, ranks: Ranks) -> DataFrame:
+    """Bundles with ``places`` (of their words: those that have ids by now first, then the others), ``sizes_known`` and
+    ``known`` (number of ids of the former, and the ids), and ``words``, which are the others alone."""
+    sent = bundles.sparkSession.sparkContext.broadcast(known)  # bounded by TABLE_WORDS words of LONG_WORD bytes
+    path, pattern, table = ranks.path, ranks.pattern, None
+
+    def library(words: Sequence[str]) -> list[list[int]]:
+        import tiktoken
+
+        nonlocal table
+        if table is None:
+            table = tiktoken.Encoding(
+                "own", pat_str=pattern, mergeable_ranks=Ranks(path, pattern).table, special_tokens={}
+            )
+        return [table.encode_ordinary(w) for w in words]
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = _lookup_of(sent)
+        for batch in batches:
+            for at in range(len(batch)):
+                words = batch["words"][at].values
+                place, found = lookup(words)
+                long = pc.greater(pc.binary_length(words), LONG_WORD).to_numpy(zero_copy_only=False)
+                there = found | long
+                places = np.empty(len(words), "i4")
+                places[there] = np.arange(there.sum())
+                places[~there] = there.sum() + np.arange((~there).sum())
+                ids = lookup.ids.take(pa.array(place[there], mask=~found[there])).cast(pa.list_(pa.int32()))
+                if long.any():
+                    lists, spots = ids.to_pylist(), np.flatnonzero(long)
+                    for spot, made in zip(spots, library(words.take(pa.array(spots)).to_pylist())):
+                        lists[places[spot]] = made
+                    ids = pa.array(lists, pa.list_(pa.int32()))
+                sizes = pc.list_value_length(ids).to_numpy(zero_copy_only=False)
+                made = [places, sizes, ids.flatten().to_numpy()]
+                columns = [batch[name].slice(at, 1) for name in ("docs", "sizes", "codes")]
+                columns += [pa.array([numbers.astype("<i4").tobytes()], pa.binary()) for numbers in made]
+                columns.append(_one(words.filter(pa.array(~there))))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
+
+    given = bundles.schema
+    fields = [given["docs"], given["sizes"], given["codes"]]
+    fields += [T.StructField(name, T.BinaryType()) for name in ("places", "sizes_known", "known")]
+    schema = T.StructType([*fields, given["words"]])
+    return bundles.select("docs", "sizes", "codes", "words").mapInArrow(look_up, schema)
+
+
+def _slices(joined: bytes, sizes: np.ndarray) -> list[bytes]:
+    """Parts of the given sizes in a row."""
+    ends = np.cumsum(sizes).tolist()
+    return [joined[start:end] for start, end in zip([0, *ends], ends)]
+
+
+def _texts(bundles: DataFrame, keep: Sequence[T.StructField], ranks: Ranks, forms: Sequence[str]) -> DataFrame:
+    """One row per text of the bundles: the kept columns and the ``forms`` of its ids, words put in a row by number."""
+    pieces = [b""] * (max(ranks.table.values(), default=-1) + 1)
+    for token, rank in ranks.table.items():
+        pieces[rank] = token
+    sent = bundles.sparkSession.sparkContext.broadcast(pieces)
+    kinds = {"ids": T.ArrayType(T.IntegerType()), "packed": T.BinaryType(), "decoded": T.BinaryType()}
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelled = sent.value
+        for batch in batches:
+            for at in range(len(batch)):
+                row = {name: batch[name][at] for name in batch.schema.names}
+                known, places, sizes = (np.frombuffer(row[n].as_py(), "<i4") for n in ("known", "places", "sizes_known"))
+                rest = row["rest"].values
+                ids = np.concatenate([known, rest.flatten().to_numpy().astype("<i4")])
+                sizes = np.concatenate([sizes, pc.list_value_length(rest).to_numpy(zero_copy_only=False)])
+                codes = places[_numbers(row["codes"].as_py())]
+                ends = np.cumsum(_numbers(row["sizes"].as_py())).tolist()
+
+                def in_a_row(words: list[bytes]) -> list[bytes]:
+                    word = words.__getitem__
+                    return [b"".join(map(word, codes[start:end].tolist())) for start, end in zip([0, *ends], ends)]
+
+                columns = list(row["docs"].values.flatten())
+                for form in forms:
+                    if form == "decoded":
+                        tokens = list(map(spelled.__getitem__, ids.tolist()))
+                        bounds = np.cumsum([0, *map(len, tokens)])[np.cumsum([0, *sizes])]
+                        made = in_a_row(_slices(b"".join(tokens), np.diff(bounds)))
+                    else:
+                        made = in_a_row(_slices(ids.tobytes(), 4 * sizes.astype("i8")))
+                    if form == "ids":
+                        offsets = np.cumsum([0, *map(len, made)]) // 4
+                        values = pa.array(np.frombuffer(b"".join(made), "<i4"), pa.int32())
+                        columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values))
+                    else:
+                        columns.append(pa.array(made, pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
+
+    schema = T.StructType([*keep, *(T.StructField(form, kinds[form]) for form in forms)])
+    return bundles.mapInArrow(put, schema)
+
+
 def encode(
     docs: DataFrame,
     ranks: Ranks,
@@ -388,8 +454,7 @@ def encode(
     """The kept columns of every row with the ids of its whole text, one row for one row.
 
     ``forms`` names what to give: ``ids`` as a list, ``packed`` as little-endian unsigned 32-bit integers, ``decoded``
-    as the bytes that the ids stand for. The last two are made per distinct word of a bundle (``decode``,
-    ``little_endian``) and put in a row per text.
+    as the bytes that the ids stand for. Each is made per distinct word of a bundle and put in a row per text.
 
     Ids are those of the tiktoken library without special tokens. A null or empty text has no ids; rows with equal
     ids, equal texts or null ids stay rows of their own; an empty table gives an empty one. Columns outside ``keep``
@@ -397,49 +462,18 @@ def encode(
     library itself, since the fold takes time with the square of a word's length.
 
     ``table_words`` bounds the table sent to tasks, ``bundle_words`` the words of a bundle; a text with more is one
-    bundle. Neither changes a result.
+    bundle. Neither changes a result. Bundles are written with small row groups, so that a task reads few at once.
     """
-    known = frequent_words(docs, ranks, table_words, column).toArrow()
+    spark = docs.sparkSession
+    path = scratch_path(spark, "bundles")
+    made = _bundles(docs.select(*keep, F.col(column).cast("string").alias("_text")), keep, ranks.pattern, bundle_words)
+    made.write.option("compression", "zstd").option("parquet.block.size", 1 << 23).parquet(path)
+    bundles = spark.read.schema(made.schema).parquet(path)
+    known = frequent_words(bundles, ranks, table_words).toArrow()
     known = known.set_column(0, "word", known["word"].cast(pa.string())).combine_chunks()
-    texts = docs.select(*keep, F.col(column).cast("string").alias("_text"))
-    bundles = _bundles(texts, keep, known, ranks, bundle_words)
-
-    def in_a_row(parts: Column, doc: Column) -> Column:
-        return F.transform(doc["_codes"], lambda code: F.get(parts, code))
-
-    def of_words(ids: Column) -> Column:
-        """Texts of a bundle from what each of its words gives."""
-        tables = {
-            "ids": lambda: ids,
-            "packed": lambda: _spelled(ids, ranks.packed),
-            "decoded": lambda: _spelled(ids, ranks.pieces),
-        }
-        given = F.struct(*[tables[form]().alias(form) for form in forms])
-
-        def texts(words: Column) -> Column:
-            def text(doc: Column) -> Column:
-                made = {form: in_a_row(words[form], doc) for form in forms}
-                columns = [
-                    (F.flatten(made[form]) if form == "ids" else F.unhex(F.array_join(made[form], ""))).alias(form)
-                    for form in forms
-                ]
-                return F.struct(*[doc[name].alias(name) for name in keep], *columns)
-
-            return F.transform(F.col("docs"), text)
-
-        return _let(given, texts)
-
     rest = _let(_rank_map(ranks), lambda table: F.transform(F.col("words"), lambda word: merged(table, word)))
-    return bundles.select(F.inline(_let(F.concat("ids", rest), of_words)))
-
-
-def _spelled(ids: Column, spelling: str) -> Column:
-    """Lists of ids as hexadecimal text, by a literal table of what each id is spelled as."""
-    table = F.from_json(F.lit(spelling), "array<string>")
-    return _let(
-        table,
-        lambda spelled: F.transform(ids, lambda one: F.array_join(F.transform(one, lambda i: F.get(spelled, i)), "")),
-    )
+    whole = _looked_up(bundles, known, ranks).withColumn("rest", rest).drop("words")
+    return _texts(whole, [docs.schema[name] for name in keep], ranks, forms)
 
 
 def decode(ids: Column, ranks: Ranks) -> Column:

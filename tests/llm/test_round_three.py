@@ -360,3 +360,34 @@ def test_batches_of_large_rows_are_small(spark):
     rows = ready(spark).range(40, numPartitions=1).select(F.expr("repeat(cast(id % 10 as string), 1 << 20)").alias("text"))
     found = [r["n"] for r in rows.mapInArrow(sizes, "n bigint").collect()]
     assert sum(found) == 40 and max(found) <= 10
+
+
+def test_merges_run_no_function_over_all_parts(spark, capsys):
+    # A merge that went through all ranks by lambdas took most of a word's time.
+    ranks = byte_pairs.Ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    byte_pairs.encode_words(spark.createDataFrame([("word",)], "word string"), ranks).explain(True)
+    plan = re.sub(r"\s", "", capsys.readouterr().out)
+    assert "slice(" in plan and "filter(" not in plan
+
+
+def test_a_table_of_words_takes_little_to_look_up():
+    words = pa.array([f" word{i}" for i in range(300_000)])
+    table = pa.table({"word": words, "ids": pa.array([[1]] * len(words), pa.list_(pa.int32()))})
+    tracemalloc.start()
+    lookup = byte_pairs.Lookup(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 14e6
+    place, found = lookup(pa.array([" word7", "none"]))
+    assert place[0] == 7 and found.tolist() == [True, False]
+
+
+def test_bundles_give_texts_back(spark, ranks, library):
+    draw = random.Random(4)
+    texts = [" ".join(draw.choice(["don't", "aiouantion", "x" * 300, "é", "1999"]) for _ in range(draw.randint(0, 9))) for _ in range(60)]
+    df = spark.createDataFrame([(i, 1, t) for i, t in enumerate(texts)], "c1 bigint, c0 int, text string")
+    out = byte_pairs.encode(df, ranks, keep=["c1", "c0"], forms=["decoded", "ids", "packed"], bundle_words=7, table_words=3)
+    assert out.columns == ["c1", "c0", "decoded", "ids", "packed"]
+    for r in out.collect():
+        ids = library.encode_ordinary(texts[r.c1])
+        assert (r.ids, bytes(r.packed), bytes(r.decoded)) == (ids, np.array(ids, "<u4").tobytes(), texts[r.c1].encode())
