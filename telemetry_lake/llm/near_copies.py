@@ -358,13 +358,23 @@ def without_copies(spark: SparkSession, docs: DataFrame, like: Likeness = Likene
     The kept row has the class's least ``doc_id``; if several rows have that id and text, one of them stays.
     """
     own, key = _free_names(docs.columns, "id", "key")
-    kept = classes(spark, docs, like).filter("kept").select(F.col("doc_id").alias(own), F.col("key").alias(key)).distinct()
-    word_key = F.pandas_udf(lambda texts: pd.Series([text_key(t, words(t)) for t in texts], dtype=object), "binary")
-    repeated = docs.groupBy(F.col("doc_id").cast("bigint").alias(own)).count().filter("count > 1").select(own)
+    path = scratch_path(spark, "kept")
+    placed = classes(spark, docs, like).select(F.col("doc_id").alias(own), F.col("key").alias(key), "kept")
+    placed.write.parquet(path)
+    placed = spark.read.schema(placed.schema).parquet(path)
+    ids = placed.groupBy(own).agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept")).filter("kept")
     same = docs["doc_id"].cast("bigint").eqNullSafe(F.col(own))
+    single = docs.join(ids.filter("n = 1").select(own), same, "left_semi")
+    repeated = ids.filter("n > 1").select(own)
     # Ids are single almost always; only rows of repeated ids (and null ones) need their text's key again.
-    single = docs.join(repeated, same, "left_anti").join(kept.select(own), same, "left_semi")
+    if repeated.isEmpty():
+        return single
+    # Marked as not deterministic, so that keys are made of the rows that the first join leaves, not of all texts.
+    word_key = F.pandas_udf(
+        lambda texts: pd.Series([text_key(t, words(t)) for t in texts], dtype=object), "binary"
+    ).asNondeterministic()
     double = docs.join(repeated, same, "left_semi").withColumn(f"{key}_own", word_key("text"))
+    kept = placed.filter("kept").select(own, key)
     double = double.join(kept, same & (F.col(f"{key}_own") == F.col(key)), "left_semi")
     return single.unionByName(double.dropDuplicates(["doc_id", f"{key}_own"]).drop(f"{key}_own"))
 

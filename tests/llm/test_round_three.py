@@ -250,6 +250,21 @@ def test_near_copies_with_clashing_names_and_one_id(spark):
     assert Counter(r.text for r in kept.collect()) == Counter({t: 1 for t in [*texts, "own words here"]})
 
 
+def test_keys_are_made_again_of_repeated_ids_only(spark):
+    def plan(ids):
+        rows = [(i, f"words of text {n} alone") for n, i in enumerate(ids)]
+        kept = near_copies.without_copies(spark, spark.createDataFrame(rows, "doc_id bigint, text string"))
+        assert sorted(r.text for r in kept.collect()) == sorted(t for _, t in rows)
+        return kept._jdf.queryExecution().optimizedPlan().toString()
+
+    # Single ids: no text is read by Python again, and the table is joined (and shuffled) once.
+    single = plan(range(20))
+    assert "EvalPython" not in single and single.count("Join") == 1
+    # A repeated id: texts reach Python through the join with the repeated ids.
+    before, after = plan([*range(20), 7]).split("ArrowEvalPython")
+    assert "Join LeftSemi" in before and "Join LeftSemi" in after
+
+
 def test_swaps_act_on_texts_without_terms(spark):
     draw = random.Random(3)
     # Toxic texts hold words that begin like an identity term: without the penalty the term inherits their weight.
