@@ -37,6 +37,8 @@ BUCKETS = 1 << 16
 TABLE_WORDS = 2_000_000
 LONG_WORD = 256
 BUNDLE_WORDS = 1_000_000
+# Words that are put in a row at once, about: a worker holds the texts of so many, not of a whole bundle.
+PORTION_WORDS = 1 << 17
 # Fixed value: the pattern that the plain expression of the vocabularies' helper equals on plain characters.
 GPT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -229,8 +231,9 @@ def splitter(pattern: str) -> Splitter:
 
 
 def frequent_words(bundles: DataFrame, ranks: Ranks, at_most: int = TABLE_WORDS) -> DataFrame:
-    """(word, ids) of the words that occur most, every word counted: those of at least ``2**t`` occurrences, with the
-    least ``t`` from 1 on that leaves ``at_most`` words. Words longer than ``LONG_WORD`` bytes are left out."""
+    """(word, hash, ids) of the words that occur most, every word counted: those of at least ``2**t`` occurrences, with the
+    least ``t`` from 1 on that leaves ``at_most`` words, in order of ``hash``, as ``Lookup`` needs it. Words longer than
+    ``LONG_WORD`` bytes are left out."""
     spark = bundles.sparkSession
     each = bundles.select(F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("counts").alias("count"))))
     found = each.groupBy("word").agg(F.sum("count").alias("count"))
@@ -244,30 +247,46 @@ def frequent_words(bundles: DataFrame, ranks: Ranks, at_most: int = TABLE_WORDS)
     while least > 1 and held + sizes.get(least - 1, 0) <= at_most:
         least -= 1
         held += sizes.get(least, 0)
-    return encode_words(counts.filter(power >= least).select("word"), ranks)
+    words = counts.filter(power >= least).select("word", F.xxhash64("word").alias("hash"))
+    return encode_words(words.orderBy("hash"), ranks)
+
+
+def _column(table: pa.Table, name: str) -> pa.Array:
+    """A column in one piece, not copied if it is one already."""
+    parts = table[name]
+    return parts.chunk(0) if parts.num_chunks == 1 else parts.combine_chunks()
 
 
 class Lookup:
-    """Places of words in a table of words: by a hash of each word in order, verified by the words themselves."""
+    """Places of words in a table of words: by a hash of each word in order, verified by the words themselves.
+
+    A table in order of its own column ``hash`` (Spark's ``xxhash64`` of the word) is taken as it is, so that a worker
+    holds nothing beside what was sent; another one is hashed here.
+    """
 
     def __init__(self, table: pa.Table):
-        self.words, self.ids = (table[name].combine_chunks() for name in ("word", "ids"))
-        hashes = self._hashes(self.words)
-        self.order = np.argsort(hashes, kind="stable")
-        self.hashes = hashes[self.order]
+        self.table = table  # held, so that its identity stays its own
+        self.words, self.ids = _column(table, "word"), _column(table, "ids")
+        if "hash" in table.column_names:
+            self.hashes, self.order = _column(table, "hash").to_numpy(), None
+        else:
+            hashes = self._hashes(self.words)
+            self.order = np.argsort(hashes, kind="stable")
+            self.hashes = hashes[self.order]
 
     @staticmethod
     def _hashes(words: pa.Array) -> np.ndarray:
         # Part by part: Python strings of the whole table would take some hundred megabytes of each worker.
         parts = (words.slice(start, 1 << 14).to_pylist() for start in range(0, len(words), 1 << 14))
-        return np.fromiter((xxhash.xxh3_64_intdigest(w) for part in parts for w in part), "u8", len(words))
+        return np.fromiter((xxhash.xxh64_intdigest(w, 42) for part in parts for w in part), "u8", len(words)).view("i8")
 
     def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Place of each word, and whether the word is there: two words of one hash would leave the second unfound."""
         if not len(self.hashes):
             return np.zeros(len(words), "i8"), np.zeros(len(words), bool)
-        at = np.minimum(np.searchsorted(self.hashes, self._hashes(words)), len(self.hashes) - 1)
-        place = self.order[at]
+        place = np.minimum(np.searchsorted(self.hashes, self._hashes(words)), len(self.hashes) - 1)
+        if self.order is not None:
+            place = self.order[place]
         return place, pc.equal(self.words.take(pa.array(place)), words).to_numpy(zero_copy_only=False)
 
 
@@ -283,6 +302,11 @@ def _lookup_of(sent) -> Lookup:
     return _LOOKUPS[key]
 
 
+def drop_lookups() -> None:
+    """Drop the table that this Python worker holds; workers outlive a query."""
+    _LOOKUPS.clear()
+
+
 def _one(values: pa.Array) -> pa.ListArray:
     """All values as the list of one row."""
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
@@ -293,10 +317,17 @@ def _planes(numbers: np.ndarray) -> bytes:
     return numbers.astype("<u4").view("u1").reshape(-1, 4).T.tobytes()
 
 
-def _numbers(planes: bytes) -> np.ndarray:
+def _numbers(planes: bytes | pa.Buffer) -> np.ndarray:
     return np.frombuffer(planes, "u1").reshape(4, -1).T.copy().view("<u4").ravel()
 
 
+def _portions(ends: np.ndarray, words: int) -> list[int]:
+    """Bounds of the texts of a bundle (``ends``: words up to each one's end) in portions of about ``words`` words."""
+    if not len(ends):
+        return [0, 0]
+    return [0, *(np.flatnonzero(np.diff(ends // words)) + 1).tolist(), len(ends)]
+
+
 def _bundles(docs: DataFrame, keep: Sequence[str], pattern: str, bundle_words: int) -> DataFrame:
     """One row per bundle: ``docs`` (kept columns), ``sizes`` (words of each text), ``codes`` (the number of every word in
     a row, both as ``_planes``), ``words`` by number and ``counts``, how often each occurs."""
@@ -313,6 +344,7 @@ def _bundles(docs: DataFrame, keep: Sequence[str], pattern: str, bundle_words: i
         return pa.RecordBatch.from_arrays(columns, names=["docs", "sizes", "codes", "words", "counts"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_lookups()
         split = splitter(pattern)
         held, lists, seen, count = [], [], Numbers(), 0
         for batch in batches:
@@ -369,15 +401,13 @@ def _looked_up(bundles: DataFrame, known: pa.Table, ranks: Ranks) -> DataFrame:
                 place, found = lookup(words)
                 long = pc.greater(pc.binary_length(words), LONG_WORD).to_numpy(zero_copy_only=False)
                 there = found | long
+                order = np.concatenate([np.flatnonzero(part) for part in (found, long, ~there)])  # none long is in the table
                 places = np.empty(len(words), "i4")
-                places[there] = np.arange(there.sum())
-                places[~there] = there.sum() + np.arange((~there).sum())
-                ids = lookup.ids.take(pa.array(place[there], mask=~found[there])).cast(pa.list_(pa.int32()))
+                places[order] = np.arange(len(words), dtype="i4")
+                ids = lookup.ids.take(pa.array(place[found])).cast(pa.list_(pa.int32()))
                 if long.any():
-                    lists, spots = ids.to_pylist(), np.flatnonzero(long)
-                    for spot, made in zip(spots, library(words.take(pa.array(spots)).to_pylist())):
-                        lists[places[spot]] = made
-                    ids = pa.array(lists, pa.list_(pa.int32()))
+                    made = library(words.filter(pa.array(long)).to_pylist())
+                    ids = pa.concat_arrays([ids, pa.array(made, pa.list_(pa.int32()))])
                 sizes = pc.list_value_length(ids).to_numpy(zero_copy_only=False)
                 made = [places, sizes, ids.flatten().to_numpy()]
                 columns = [batch[name].slice(at, 1) for name in ("docs", "sizes", "codes")]
@@ -411,32 +441,34 @@ def _texts(bundles: DataFrame, keep: Sequence[T.StructField], ranks: Ranks, form
         for batch in batches:
             for at in range(len(batch)):
                 row = {name: batch[name][at] for name in batch.schema.names}
-                known, places, sizes = (np.frombuffer(row[n].as_py(), "<i4") for n in ("known", "places", "sizes_known"))
+                known, places, sizes = (np.frombuffer(row[n].as_buffer(), "<i4") for n in ("known", "places", "sizes_known"))
                 rest = row["rest"].values
                 ids = np.concatenate([known, rest.flatten().to_numpy().astype("<i4")])
                 sizes = np.concatenate([sizes, pc.list_value_length(rest).to_numpy(zero_copy_only=False)])
-                codes = places[_numbers(row["codes"].as_py())]
-                ends = np.cumsum(_numbers(row["sizes"].as_py())).tolist()
-
-                def in_a_row(words: list[bytes]) -> list[bytes]:
-                    word = words.__getitem__
-                    return [b"".join(map(word, codes[start:end].tolist())) for start, end in zip([0, *ends], ends)]
-
-                columns = list(row["docs"].values.flatten())
+                of_words = {}  # what each word gives, by place
                 for form in forms:
                     if form == "decoded":
                         tokens = list(map(spelled.__getitem__, ids.tolist()))
                         bounds = np.cumsum([0, *map(len, tokens)])[np.cumsum([0, *sizes])]
-                        made = in_a_row(_slices(b"".join(tokens), np.diff(bounds)))
-                    else:
-                        made = in_a_row(_slices(ids.tobytes(), 4 * sizes.astype("i8")))
-                    if form == "ids":
-                        offsets = np.cumsum([0, *map(len, made)]) // 4
-                        values = pa.array(np.frombuffer(b"".join(made), "<i4"), pa.int32())
-                        columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values))
+                        of_words[form] = _slices(b"".join(tokens), np.diff(bounds))
                     else:
-                        columns.append(pa.array(made, pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
+                        of_words[form] = _slices(ids.tobytes(), 4 * sizes.astype("i8"))
+                codes, ends = _numbers(row["codes"].as_buffer()), np.cumsum(_numbers(row["sizes"].as_buffer()), dtype="i8")
+                docs = row["docs"].values
+                bounds = _portions(ends, PORTION_WORDS)
+                for begin, end in zip(bounds, bounds[1:]):
+                    stops = [int(ends[begin - 1]) if begin else 0, *ends[begin:end].tolist()]
+                    columns = docs.slice(begin, end - begin).flatten()
+                    for form in forms:
+                        word = of_words[form].__getitem__
+                        made = [b"".join(map(word, places[codes[a:z]].tolist())) for a, z in zip(stops, stops[1:])]
+                        if form == "ids":
+                            offsets = np.cumsum([0, *map(len, made)]) // 4
+                            values = pa.array(np.frombuffer(b"".join(made), "<i4"), pa.int32())
+                            columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values))
+                        else:
+                            columns.append(pa.array(made, pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
     schema = T.StructType([*keep, *(T.StructField(form, kinds[form]) for form in forms)])
     return bundles.mapInArrow(put, schema)
@@ -462,15 +494,16 @@ def encode(
     library itself, since the fold takes time with the square of a word's length.
 
     ``table_words`` bounds the table sent to tasks, ``bundle_words`` the words of a bundle; a text with more is one
-    bundle. Neither changes a result. Bundles are written with small row groups, so that a task reads few at once.
+    bundle. Neither changes a result. Every bundle is a row group of its own, so that a task reads one at once.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "bundles")
     made = _bundles(docs.select(*keep, F.col(column).cast("string").alias("_text")), keep, ranks.pattern, bundle_words)
-    made.write.option("compression", "zstd").option("parquet.block.size", 1 << 23).parquet(path)
+    # By size alone a row group would end at 100 bundles at the earliest, when the writer first looks at it.
+    made.write.option("compression", "zstd").option("parquet.block.row.count.limit", 1).parquet(path)
     bundles = spark.read.schema(made.schema).parquet(path)
     known = frequent_words(bundles, ranks, table_words).toArrow()
-    known = known.set_column(0, "word", known["word"].cast(pa.string())).combine_chunks()
+    known = known.set_column(0, "word", known["word"].cast(pa.string())).combine_chunks()  # one piece, for ``Lookup``
     rest = _let(_rank_map(ranks), lambda table: F.transform(F.col("words"), lambda word: merged(table, word)))
     whole = _looked_up(bundles, known, ranks).withColumn("rest", rest).drop("words")
     return _texts(whole, [docs.schema[name] for name in keep], ranks, forms)

@@ -28,7 +28,7 @@ from telemetry_lake.session import configure, scratch_path
 def ready(spark: SparkSession) -> SparkSession:
     """The session with its settings, and Arrow batches that stay small where texts or blocks of rows are long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     return configure(spark)
 
 

@@ -13,6 +13,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -406,3 +407,36 @@ def test_bundles_give_texts_back(spark, ranks, library):
     for r in out.collect():
         ids = library.encode_ordinary(texts[r.c1])
         assert (r.ids, bytes(r.packed), bytes(r.decoded)) == (ids, np.array(ids, "<u4").tobytes(), texts[r.c1].encode())
+
+
+def test_a_table_in_order_is_looked_up_as_it_was_sent(spark, ranks, library):
+    words = [f" w{i}" for i in range(20_000)]
+    bundles = spark.createDataFrame([(words, [2] * len(words))], "words array<string>, counts array<bigint>")
+    table = byte_pairs.frequent_words(bundles, ranks).toArrow()
+    table = table.set_column(0, "word", table["word"].cast(pa.string())).combine_chunks()
+    tracemalloc.start()
+    held = pa.total_allocated_bytes()
+    lookup = byte_pairs.Lookup(table)
+    peak = tracemalloc.get_traced_memory()[1] + pa.total_allocated_bytes() - held
+    tracemalloc.stop()
+    assert peak < 50_000
+    place, found = lookup(pa.array([*words, "none"]))
+    assert found.tolist() == [True] * len(words) + [False]
+    assert lookup.ids.take(pa.array(place[:99])).to_pylist() == [library.encode_ordinary(w) for w in words[:99]]
+
+
+@pytest.mark.parametrize("portion", [1, 5, 1 << 17])
+def test_portions_of_a_bundle_are_its_texts(spark, ranks, library, monkeypatch, portion):
+    monkeypatch.setattr(byte_pairs, "PORTION_WORDS", portion)
+    texts = ["", "a b c", "x" * 300 + " d", None, "one two three four five six seven", "é", "", "y" * 400 + " a b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    got = {r.doc_id: (r.ids, bytes(r.decoded)) for r in byte_pairs.encode(df, ranks, forms=["ids", "decoded"]).collect()}
+    assert got == {i: (library.encode_ordinary(t or ""), (t or "").encode()) for i, t in enumerate(texts)}
+
+
+def test_a_row_group_holds_one_bundle(spark, ranks, monkeypatch, tmp_path):
+    monkeypatch.setattr(byte_pairs, "scratch_path", lambda _, label: str(tmp_path / label))
+    docs = spark.createDataFrame([(i, "some words here") for i in range(9)], "doc_id bigint, text string").coalesce(1)
+    assert byte_pairs.encode(docs, ranks, bundle_words=9).count() == 9
+    files = [pq.ParquetFile(f).metadata for f in (tmp_path / "bundles").glob("*.parquet")]
+    assert sum(f.num_rows for f in files) == sum(f.num_row_groups for f in files) == 3
