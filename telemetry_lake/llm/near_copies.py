@@ -364,7 +364,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, like: Likeness = Likene
     placed = spark.read.schema(placed.schema).parquet(path)
     ids = placed.groupBy(own).agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept")).filter("kept")
     same = docs["doc_id"].cast("bigint").eqNullSafe(F.col(own))
-    single = docs.join(ids.filter("n = 1").select(own), same, "left_semi")
+    # These ids grow with the table, so they are not sent through the driver, however few they are.
+    single = docs.join(ids.filter("n = 1").select(own).hint("merge"), same, "left_semi")
     repeated = ids.filter("n > 1").select(own)
     # Ids are single almost always; only rows of repeated ids (and null ones) need their text's key again.
     if repeated.isEmpty():
