@@ -359,6 +359,73 @@ def test_neighbours_of_vectors_of_any_norm(spark, norms):
     assert hits / (75 * 20) >= 0.9
 
 
+def unit_vectors(count, seed):
+    points = np.random.default_rng(seed).standard_normal((count, 64)).astype(np.float32)
+    return points / np.linalg.norm(points, axis=1)[:, None]
+
+
+@pytest.mark.parametrize("sampled", [1, 1 << 20])
+def test_neighbours_over_several_tasks(spark, sampled):
+    points = unit_vectors(6000, 21)
+    points[100:160] = points[80]  # more equal ones than are wanted
+    rows = [(i, p.tolist()) for i, p in enumerate(points)] + [(7, points[20].tolist()), (40, points[40].tolist())]
+    usable = nearest.usable(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"), "vec_id", "embedding")
+    asked = usable.filter("vec_id % 40 = 0")
+    got = nearest.nearest(usable, asked, 20, nearest.Index(64, bucket=16), rows=1500, sampled=sampled).collect()
+    exact = points.astype(float)
+    hits = 0
+    for query in range(0, 6000, 40):
+        scores = exact @ exact[query]
+        scores[7] = max(scores[7], exact[20] @ exact[query])
+        scores[query] = -np.inf
+        own = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == query)
+        assert [r for r, _, _ in own] == list(range(1, 21))
+        assert np.allclose([x for _, _, x in own], scores[[v for _, v, _ in own]], rtol=1e-9, atol=0)
+        hits += len({v for _, v, _ in own} & set(np.lexsort((np.arange(6000), -scores))[:20].tolist()))
+        if query == 80:
+            assert [v for _, v, _ in own] == list(range(100, 120))
+    assert hits / (150 * 20) >= 0.9
+
+
+def test_queries_that_met_few_rows_are_held_against_all(spark):
+    points = unit_vectors(3000, 22)
+    table = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id bigint, embedding array<float>")
+    usable = nearest.usable(table, "vec_id", "embedding")
+    got = nearest.nearest(usable, usable.filter("vec_id < 30"), 20, nearest.Index(64, bucket=4, mass=0.01), rows=1000).collect()
+    scores = points.astype(float) @ points[:30].astype(float).T
+    for query in range(30):
+        scores[query, query] = -np.inf
+        own = [v for _, v in sorted((r.rank, r.vec_id) for r in got if r.query_id == query)]
+        assert own == np.argsort(-scores[:, query], kind="stable")[:20].tolist()
+
+
+def test_share_of_rows_that_a_query_meets_falls():
+    def share(count, rows):
+        points, index = unit_vectors(20_000, 5), nearest.Index(64)
+        lines = round(math.log2(rows / index.bucket))
+        of = np.split(index.lines(lines * index.tables), index.tables, axis=1)
+        band = nearest.Band(index, 0, 1.000001, of, [np.zeros(lines)] * index.tables, index.near(count, 20), 1.0)
+        least, met = band.least(points[:50]), 0
+        for table, codes in enumerate(band.codes(points)):
+            chances = band.chances(table, points[:50])
+            cells = codes[:, None] // band.weights() % band.cells
+            met += (sum(chances[:, i][:, cells[:, i]] for i in range(lines)) >= least[:, None]).mean()
+        return met
+
+    small, large = share(50_000, 50_000), share(15_000_000, 1_000_000)
+    assert small < 0.8 and large < 0.2
+
+
+def test_vectors_are_judged_without_lambdas(spark):
+    rows = [(1, [1.0, 2.0]), (2, [0.0, 0.0]), (3, [float("nan"), 1.0]), (4, [1.0, None]), (5, None), (6, []), (None, [1.0, 1.0])]
+    rows += [(7, [float("inf"), 1.0]), (8, [float("-inf"), 1.0]), (9, [-1.0, 0.0]), (10, [None, None])]
+    for kind in ("float", "double"):
+        usable = nearest.usable(spark.createDataFrame(rows, f"vec_id int, embedding array<{kind}>"), "vec_id", "embedding")
+        assert sorted(r.vec_id for r in usable.collect()) == [1, 9]
+        # A lambda over the components took 250 us a vector and 32-bit numbers doubled what is shuffled.
+        assert "lambda" not in usable._jdf.queryExecution().toString() and usable.dtypes[1][1] == f"array<{kind}>"
+
+
 def test_a_worker_holds_one_vocabulary():
     one, other = (public_tokenizers.path(name) for name in ("word_bpe_49k.json", "byte_bpe_50k.json"))
     vocabulary.vocabulary(one).encode("some words")
