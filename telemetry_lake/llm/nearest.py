@@ -209,19 +209,32 @@ def _best(at: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.nda
     return few[_ranks(at[few]) < k]
 
 
+class _Rows:
+    """Rows as they come, in one place: about ``share`` of them are expected."""
+
+    def __init__(self, share: int):
+        self.share, self.count, self.ids, self.vectors = share + share // 50 + 4096, 0, None, None
+
+    def add(self, ids: np.ndarray, x: np.ndarray) -> None:
+        end = self.count + len(ids)
+        if self.ids is None or end > len(self.ids):
+            size = max(self.share, end + end // 4)
+            old = (self.ids[: self.count], self.vectors[: self.count]) if self.count else (ids[:0], x[:0])
+            self.ids, self.vectors = np.empty(size, np.int64), np.empty((size, x.shape[1]), x.dtype)
+            self.ids[: self.count], self.vectors[: self.count] = old
+        self.ids[self.count : end], self.vectors[self.count : end] = ids, x
+        self.count = end
+
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.ids[: self.count], self.vectors[: self.count]
+
+
 class _Held:
     """The rows of a task, and its tables: for each band of norms the rows in order of their buckets."""
 
-    def __init__(self, blocks: list[tuple[np.ndarray, np.ndarray]], bands: dict[int, Band], index: Index, k: int):
-        total = sum(len(ids) for ids, _ in blocks)
-        self.ids = np.empty(total, np.int64)
-        self.vectors = np.empty((total, blocks[0][1].shape[1]), blocks[0][1].dtype)
-        of, end = np.empty(total, np.int32), 0
-        while blocks:
-            ids, x = blocks.pop()
-            here = slice(end, end + len(ids))
-            self.ids[here], self.vectors[here], of[here] = ids, x, index.bands(_norms(x))
-            end += len(ids)
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, bands: dict[int, Band], index: Index, k: int):
+        self.ids, self.vectors = ids, vectors
+        of = np.concatenate([index.bands(_norms(vectors[i : i + 32768])) for i in range(0, len(ids), 32768)])
         live = self.rows = self._once(k)
         self.single = len(np.unique(self.ids[live])) == len(live)
         self.tables: list[tuple[Band, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]] = []
@@ -469,7 +482,7 @@ def _bands(vectors: DataFrame, k: int, index: Index, rows: int) -> tuple[dict[in
     return out, count, tasks
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int, index: Index, rows: int = 1 << 20, sampled: int = 1 << 20) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, index: Index, rows: int = 3 << 18, sampled: int = 1 << 20) -> DataFrame:
     """The ``k`` nearest found by inner product for every query: ``query_id, rank, vec_id, score``.
 
     ``vectors`` and ``queries`` come from ``usable``; vectors of another dimension than the index's take no part. A
@@ -502,7 +515,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, index: Index, rows:
         task = F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))).alias("task")
         sent = blocks.select(task, F.lit(1).alias("kind"), "block", "ids", "vectors", "limits", "bounds")
         both = vectors.mapInArrow(dealt, DEALT).unionByName(sent).repartitionById(tasks, "task")
-        search = _searched(bands, index, [_kind(d) for d in (vectors, asked)], k, enough)
+        search = _searched(bands, index, [_kind(d) for d in (vectors, asked)], k, count // tasks, enough)
         met = both.sortWithinPartitions("task", "kind").mapInArrow(search, FOUND)
         own = blocks.select(
             "block", F.col("ids").alias("queries"), "slots", F.col("found").alias("ids"), "scores", F.lit(None).cast("binary").alias("seen")
@@ -568,7 +581,7 @@ def _packed(index: Index, bands: dict[int, Band], sample: Broadcast | None, k: i
         return _rows(ASKED, [(number, *(v.tobytes() for v in values))])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Held([sample.value[:2]], {}, index, k) if sample is not None and len(sample.value[0]) else None
+        held = _Held(*sample.value[:2], {}, index, k) if sample is not None and len(sample.value[0]) else None
         rest: tuple[np.ndarray, np.ndarray] | None = None
         for ids, x in _gathered(batches, index.dimension, 4096):
             if rest is not None:
@@ -583,8 +596,9 @@ def _packed(index: Index, bands: dict[int, Band], sample: Broadcast | None, k: i
     return pack
 
 
-def _searched(bands: dict[int, Band], index: Index, kinds: list[str], k: int, enough: int, size: int = 1 << 16) -> Callable:
-    """The rows of a task come first, then blocks of queries, of which ``size`` go through its tables together."""
+def _searched(bands: dict[int, Band], index: Index, kinds: list[str], k: int, share: int, enough: int) -> Callable:
+    """The rows of a task come first, then blocks of queries, of which about ``size`` go through its tables together."""
+    size = 1 << 15
 
     def answer(held: _Held, blocks: list[tuple]) -> Iterator[pa.RecordBatch]:
         ids, x, limits, bounds = (np.concatenate([b[i] for b in blocks]) for i in (1, 2, 3, 4))
@@ -600,20 +614,20 @@ def _searched(bands: dict[int, Band], index: Index, kinds: list[str], k: int, en
             yield _rows(FOUND, [(number, None, *(v.tobytes() for v in values))])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, loaded, held, waiting = -1, [], None, []
+        task, rows, held, waiting = -1, None, None, []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["task"] != task:
                     if waiting:
                         yield from answer(held, waiting)
-                    task, loaded, held, waiting = row["task"], [], None, []
+                    task, rows, held, waiting = row["task"], _Rows(share), None, []
                 ids = np.frombuffer(row["ids"], "<i8")
                 x = np.frombuffer(row["vectors"], kinds[row["kind"]]).reshape(-1, index.dimension)
                 if row["kind"] == 0:
-                    loaded.append((ids, x))
+                    rows.add(ids, x)
                     continue
-                if held is None and loaded:
-                    held = _Held(loaded, bands, index, k)
+                if held is None and rows.count:
+                    held = _Held(*rows.all(), bands, index, k)
                 if held is not None:
                     limits = np.frombuffer(row["limits"], "<f4").reshape(len(ids), -1)
                     waiting.append((row["block"], ids, x, limits, np.frombuffer(row["bounds"], "<f8")))
