@@ -13,7 +13,7 @@ nearer, buckets fewer that may hold them, and the share of rows that a query mee
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cache
 from math import erf, log, sqrt
 
@@ -144,6 +144,17 @@ class Band:
             out[start : start + 1024] = low
         return out - np.float32(1e-4)
 
+    def share(self) -> float:
+        """Products that a query takes for each row, among random directions; a row counts in every table it is met in."""
+        points = np.random.default_rng(self.index.seed + 2).standard_normal((2048, self.index.dimension))
+        points /= np.linalg.norm(points, axis=1)[:, None]
+        queries, met = points[:64], 0.0
+        least = self.least(queries)
+        for table, codes in enumerate(self.codes(points * self.largest)):
+            chances, cells = self.chances(table, queries), codes[:, None] // self.weights() % self.cells
+            met += (sum(chances[:, i][:, cells[:, i]] for i in range(cells.shape[1])) >= least[:, None]).mean()
+        return float(met)
+
 
 @cache
 def _normal_steps() -> tuple[np.ndarray, np.ndarray]:
@@ -286,7 +297,7 @@ class _Chunk:
         self.most = self.cut.max(initial=-np.inf)
         # Vectors that are 32-bit numbers of about norm 1 need no scaling.
         self.plain = held.vectors.dtype == np.float32 and unit == 1
-        self.taken, self.space = np.empty((4096, vectors.shape[1]), np.float32), np.empty(1 << 22, np.float32)
+        self.taken, self.space = np.empty((1024, vectors.shape[1]), np.float32), np.empty(512 * 1024, np.float32)
         self.seen = np.zeros(len(ids), np.int64)
         self.state = (np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(0, np.int32))
         self.pending, self.waiting = [], 0
@@ -297,12 +308,12 @@ class _Chunk:
         least = largest / self.unit + self.slack
         if least < self.most:
             at = at[self.cut[at] <= least]
-        for low in range(0, len(rows), 1024):
-            some = rows[low : low + 1024]
+        for low in range(0, len(rows), 512):
+            some = rows[low : low + 512]
             x = self.held.vectors[some]
             x = x if self.plain else (x / self.unit).astype(np.float32)
-            for first in range(0, len(at), 4096):
-                self._products(some, x, at[first : first + 4096])
+            for first in range(0, len(at), 1024):
+                self._products(some, x, at[first : first + 1024])
         if self.waiting > self.limit:
             self.settle()
 
@@ -479,6 +490,9 @@ def _bands(vectors: DataFrame, k: int, index: Index, rows: int) -> tuple[dict[in
         spread = sqrt(max(0.01, 1 - float(middle @ middle)))
         of = np.split(index.lines(lines * index.tables), index.tables, axis=1) if lines else [index.lines(0)]
         out[name] = Band(index, number, largest, of, [middle @ own for own in of], index.near(n, k), spread)
+        if lines and index.hashes is None and out[name].share() >= 0.4:
+            # Products in small buckets take about three times as long: so few rows are one bucket, with all neighbours.
+            out[name] = replace(out[name], lines=[index.lines(0)], middle=[np.zeros(0)])
     return out, count, tasks
 
 
